@@ -39,7 +39,8 @@ def fill_from_longest(df: DataFrame, array: str) -> DataFrame:
     """
     fallback = longest_array(df, array).scalar()
     given = F.when(F.size(array) > 0, F.col(array))
-    return df.withColumn(array, sorted_names(F.coalesce(given, fallback)))
+    filled = df.withColumn(array, F.coalesce(given, fallback))
+    return filled.withColumn(array, sorted_names(F.col(array)))
 
 
 # --- best element per key ---------------------------------------------------

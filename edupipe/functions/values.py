@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edupipe import fixed_values as fv
@@ -45,12 +45,12 @@ def email_or_null(c: Column, pattern: str = fv.EMAIL_PATTERN) -> Column:
 
 
 def int_in_range_or_null(c: Column, low: int, high: int) -> Column:
-    number = c.try_cast("int")
+    number = lenient_int(c)
     return F.when(number.between(low, high), number)
 
 
 def lenient_int(c: Column) -> Column:
-    """Whole or decimal text to integer, cut towards zero; anything else is null."""
+    """Whole or decimal number or text to integer, cut towards zero; anything else is null."""
     return c.try_cast("double").try_cast("int")
 
 
@@ -99,3 +99,14 @@ def funding_category(coverage: Column) -> Column:
 
 def field_of_study(code: Column) -> Column:
     return map_value(code, fv.FIELDS_OF_STUDY)
+
+
+def reference_value_or_null(
+    df: DataFrame, column: str, known: DataFrame, known_column: str, pattern: str
+) -> DataFrame:
+    """The lower-cased, trimmed value if it fits the pattern and is in the reference list, else null."""
+    names = known.select(lower_trim(F.col(known_column)).alias("__known")).distinct()
+    key = F.when(F.col(column).rlike(pattern), lower_trim(F.col(column)))
+    return df.withColumn(column, key).join(names, F.col(column) == F.col("__known"), "left").select(
+        *[F.col("__known").alias(c) if c == column else F.col(c) for c in df.columns]
+    )

@@ -124,23 +124,20 @@ def profile_similarity(
 ) -> DataFrame:
     """Cosine between one person's weighted items and everyone else's.
 
-    The person's items select the matching edges; norms and dot products are
-    pre-aggregated per person, so nothing of size people × people arises.
+    The person's items are joined to all edges; norm and dot product come from
+    one pre-aggregated pass, so nothing of size people × people arises.
     """
     target = F.lit(str(target))
     weighted = edges.withColumn("w", edge_weight(F.col("type"), weights)).where("w is not null")
     own = weighted.where(F.col("src") == target).select("type", "dst", F.col("w").alias("own_w"))
     own_norm = F.sqrt(own.agg(F.sum(F.col("own_w") * F.col("own_w"))).scalar())
     others = weighted.where(F.col("src") != target)
-    dots = (
-        others.join(own, ["type", "dst"])
-        .groupBy("src")
-        .agg(F.sum(F.col("w") * F.col("own_w")).alias("dot"))
-    )
-    norms = others.groupBy("src").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     return (
-        dots.join(norms, "src")
-        .select(F.col("src").alias("person"), (F.col("dot") / (F.col("norm") * own_norm)).alias("score"))
+        others.join(own, ["type", "dst"], "left")
+        .groupBy(F.col("src").alias("person"))
+        .agg(F.sum(F.col("w") * F.col("own_w")).alias("dot"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+        .where("dot is not null")
+        .select("person", (F.col("dot") / (F.col("norm") * own_norm)).alias("score"))
         .orderBy(F.desc("score"), "person")
         .limit(n)
     )
