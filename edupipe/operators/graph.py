@@ -77,6 +77,11 @@ def related_items(edges: DataFrame, item, n: int, name: str, count: str) -> Data
     return top_targets(others, n, name, count)
 
 
+def _as_text(person) -> Column:
+    """A person key as text; a column (such as a scalar subquery) is taken as it is."""
+    return person.cast("string") if isinstance(person, Column) else F.lit(str(person))
+
+
 def common_neighbours(
     edges: DataFrame, recipients: DataFrame, target, scholarship, n: int = fv.TOP_ITEMS,
     types: Sequence[str] = tuple(fv.SIMILARITY_EDGES),
@@ -86,7 +91,7 @@ def common_neighbours(
     ``recipients`` are HAS_SCHOLARSHIP edges.  A target who holds any scholarship
     has no result.  Holders without a shared item stay with score 0.
     """
-    target = F.lit(str(target))
+    target = _as_text(target)
     holders = (
         recipients.where((F.col("dst") == scholarship) & (F.col("src").cast("string") != target))
         .select(F.col("src").cast("string").alias("src"))
@@ -127,7 +132,7 @@ def profile_similarity(
     The person's items are joined to all edges; norm and dot product come from
     one pre-aggregated pass, so nothing of size people × people arises.
     """
-    target = F.lit(str(target))
+    target = _as_text(target)
     weighted = edges.withColumn("w", edge_weight(F.col("type"), weights)).where("w is not null")
     own = weighted.where(F.col("src") == target).select("type", "dst", F.col("w").alias("own_w"))
     own_norm = F.sqrt(own.agg(F.sum(F.col("own_w") * F.col("own_w"))).scalar())
