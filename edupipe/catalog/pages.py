@@ -1 +1,81 @@
+"""Fetched pages: blocks, links and catalogue items."""
 
+from pyspark.sql import functions as F
+
+from edupipe.catalog.registry import query
+from edupipe.functions.links import with_main_link
+from edupipe.operators import web
+
+
+@query("page_blocks")
+def page_blocks(t):
+    return web.page_blocks(t.pages, "page_id", "url", "url", "html")
+
+
+_TEXT = "trim(replace(replace(replace(regexp_replace({}, '<[^>]*>', '', 'g'), '&quot;', '\"'), '&lt;', '<'), '&amp;', '&'))"
+
+
+@query(
+    "page_headings",
+    f"""SELECT project, tag, text FROM (
+          SELECT CAST(page_id AS VARCHAR) AS project, 'h1' AS tag, {_TEXT.format("unnest(regexp_extract_all(html, '<h1>(.*?)</h1>', 1))")} AS text FROM pages
+          UNION ALL
+          SELECT CAST(page_id AS VARCHAR), 'li', {_TEXT.format("unnest(regexp_extract_all(html, '<li>(.*?)</li>', 1))")} FROM pages)
+        WHERE text <> ''""",
+)
+def page_headings(t):
+    blocks = web.page_blocks(t.pages, "page_id", "url", "url", "html")
+    return blocks.where(F.col("tag").isin("h1", "li")).select("project", "tag", "text")
+
+
+@query(
+    "page_links",
+    """SELECT DISTINCT page_id, link FROM (
+         SELECT page_id, url, regexp_extract(url, '^(https?://[^/]+)', 1) || replace(unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)), '&amp;', '&') AS link FROM pages)
+       WHERE link <> url AND NOT contains(link, '#')""",
+)
+def page_links(t):
+    found = web.page_links(t.pages, "page_id", "url", "html")
+    return found.select("page_id", F.explode("links").alias("link"))
+
+
+def _hrefs():
+    return F.regexp_extract_all("html", F.lit('href="([^"]*)"'), 1)
+
+
+@query(
+    "links_with_main",
+    """SELECT page_id, len(links) AS num_subpages, array_to_string(list_sort(links), ' ') AS links FROM (
+         SELECT page_id, list_distinct(list_concat([regexp_replace(url, '/+$', '') || CASE WHEN page_id % 2 = 0 THEN '/' ELSE '' END],
+                list_filter(regexp_extract_all(html, 'href="([^"]*)"', 1), lambda x: true))) AS links FROM pages)""",
+)
+def links_with_main(t):
+    bare = F.regexp_replace("url", "/+$", "")
+    # Every other page lists its own address already, with a trailing slash.
+    own = F.when(F.col("page_id") % 2 == 0, F.array(F.concat(bare, F.lit("/")))).otherwise(F.array().cast("array<string>"))
+    linked = t.pages.select("page_id", with_main_link(F.concat(own, _hrefs()), bare).alias("links"))
+    return linked.select(
+        "page_id", F.size("links").cast("long").alias("num_subpages"), F.array_join(F.array_sort("links"), " ").alias("links")
+    )
+
+
+@query(
+    "link_counts",
+    """SELECT page_id, link, count(link) OVER (PARTITION BY page_id) AS num_subpages FROM (
+         SELECT page_id, unnest(list_concat(regexp_extract_all(html, 'href="([^"]*)"', 1), [url])) AS link FROM pages)
+       WHERE NOT contains(link, '#')""",
+)
+def link_counts(t):
+    linked = t.pages.select("page_id", "url", F.concat(_hrefs(), F.array("url")).alias("links"))
+    rows = web.link_rows(linked, "page_id", "url", "links", "#")
+    return rows.select("page_id", "link", F.col("num_subpages").cast("long").alias("num_subpages"))
+
+
+@query(
+    "page_anchors",
+    """SELECT page_id, trim(regexp_extract(a, '>([^<]*)</a>', 1)) AS title, regexp_extract(a, 'href="([^"]*)"', 1) AS link
+       FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a [^>]*href="[^"]*"[^>]*>[^<]*</a>')) AS a FROM pages)
+       WHERE trim(regexp_extract(a, '>([^<]*)</a>', 1)) <> '' AND regexp_extract(a, 'href="([^"]*)"', 1) <> ''""",
+)
+def page_anchors(t):
+    return web.anchors(t.pages, "page_id", "html")

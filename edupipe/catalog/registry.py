@@ -20,6 +20,11 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
+    def stream(self, name: str) -> DataFrame:
+        """The table as a file stream; as a pattern, so that one file serves as well as a folder."""
+        pattern = f"{self.folder}/{name}[.]parquet"
+        return self.spark.readStream.schema(getattr(self, name).schema).parquet(pattern)
+
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
@@ -33,8 +38,3 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         return fn
 
     return add
-
-
-def quoted(values) -> str:
-    """SQL list of texts."""
-    return ", ".join("'" + str(v).replace("'", "''") + "'" for v in values)
