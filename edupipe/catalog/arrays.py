@@ -11,9 +11,9 @@ from edupipe.plans import shapes
 from edupipe.plans.people import standardise
 
 
-def _words(t):
+def _words(t, *fields):
     """doc_id and its words as structs."""
-    return t.documents.select("doc_id", shapes.word_structs(F.col("text")).alias("words"))
+    return t.documents.select("doc_id", shapes.piece_structs(F.split("text", " "), *fields).alias("words"))
 
 
 def _listed(df, *fields):
@@ -22,9 +22,11 @@ def _listed(df, *fields):
     return df.select("doc_id", F.coalesce(F.array_join(shown, " "), F.lit("-")).alias("kept"))
 
 
-_WORDS_SQL = """SELECT doc_id, pos, word, coalesce(right(lower(word), 1), '') AS name, length(word) AS n,
+_PIECES_SQL = """SELECT doc_id, pos, word, coalesce(right(lower(word), 1), '') AS name, length(word) AS n,
     CASE WHEN length(word) > 6 THEN 'advanced' WHEN length(word) > 3 THEN 'intermediate' ELSE 'beginner' END AS level
-  FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS word, generate_subscripts(string_split(text, ' '), 1) AS pos FROM documents)"""
+  FROM (SELECT doc_id, unnest(string_split(text, {0})) AS word, generate_subscripts(string_split(text, {0}), 1) AS pos FROM documents)"""
+_WORDS_SQL = _PIECES_SQL.format("' '")
+_LINES_SQL = _PIECES_SQL.format("chr(10)")
 
 
 def _best_sql(key, order, shown):
@@ -35,23 +37,23 @@ def _best_sql(key, order, shown):
 
 @query("nested_dedupe", _best_sql("lower(word)", "", "word"))
 def nested_dedupe(t):
-    return _listed(arrays.dedupe_in_array(_words(t), "words", "lower"), "word")
+    return _listed(arrays.dedupe_in_array(_words(t, "word", "lower"), "words", "lower"), "word")
 
 
 @query("nested_keep_highest", _best_sql("name", "CASE level WHEN 'advanced' THEN 3 WHEN 'intermediate' THEN 2 ELSE 1 END DESC, ", "name || ':' || level || ':' || word"))
 def nested_keep_highest(t):
-    kept = arrays.keep_highest_in_array(_words(t), "words", "name", "level", fv.LANGUAGE_RANK)
+    kept = arrays.keep_highest_in_array(_words(t, "name", "level", "word"), "words", "name", "level", fv.LANGUAGE_RANK)
     return _listed(kept, "name", "level", "word")
 
 
 @query("nested_keep_latest", _best_sql("name", "CASE WHEN n % 5 = 0 THEN NULL ELSE 2000 + n END DESC NULLS LAST, ", "name || ':' || word"))
 def nested_keep_latest(t):
-    return _listed(arrays.keep_latest_in_array(_words(t), "words", "name", "year"), "name", "word")
+    return _listed(arrays.keep_latest_in_array(_words(t, "name", "year", "word"), "words", "name", "year"), "name", "word")
 
 
 @query("nested_keep_longest", _best_sql("name", "CASE WHEN n % 4 = 0 THEN NULL ELSE n + 0.5 END DESC NULLS LAST, ", "name || ':' || word"))
 def nested_keep_longest(t):
-    kept = arrays.keep_longest_in_array(_words(t), "words", "name", "designations", "duration")
+    kept = arrays.keep_longest_in_array(_words(t, "name", "word", "designations"), "words", "name", "designations", "duration")
     return _listed(kept, "name", "word")
 
 
@@ -59,7 +61,7 @@ def nested_keep_longest(t):
     "nested_transform",
     r"""SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda l: length(l) || '=' ||
           array_to_string(list_transform(string_split(l, ' '), lambda w: lower(trim(w)) || '/' ||
-            coalesce(CAST(CAST(trunc(TRY_CAST(nullif(regexp_extract(w, '([0-9]+(?:\.[0-9]+)?)', 1), '') AS DOUBLE)) AS INT) AS VARCHAR), '')), ',')), '|') AS rebuilt
+            coalesce(CAST(TRY_CAST(trunc(TRY_CAST(nullif(regexp_extract(w, '([0-9]+(?:\.[0-9]+)?)', 1), '') AS DOUBLE)) AS INT) AS VARCHAR), '')), ',')), '|') AS rebuilt
         FROM documents""",
 )
 def nested_transform(t):
@@ -101,7 +103,7 @@ def explode_keep_empty(t):
 
 @query("facet_rows", f"SELECT doc_id, name AS skill, level FROM ({_WORDS_SQL})")
 def facet_rows(t):
-    return nested.facet(_words(t), "doc_id", "words", {"skill": "name", "level": "level"})
+    return nested.facet(_words(t, "name", "level"), "doc_id", "words", {"skill": "name", "level": "level"})
 
 
 @query(
@@ -169,15 +171,20 @@ def argmax_array(t):
           CASE WHEN d.lang = 'en' THEN d.source || '.' || d.doc_id || '@gmail.com' ELSE '-' END AS email,
           CASE WHEN d.n_chars % 130 BETWEEN 18 AND 100 THEN CAST(d.n_chars % 130 AS INT) ELSE -1 END AS age,
           CASE d.lang WHEN 'de' THEN 'germany' WHEN 'fr' THEN 'france' ELSE '-' END AS country,
-          s.n_skills, s.n_languages, s.n_educations, s.n_experiences, l.best AS languages
+          k.n_skills, s.n_languages, s.n_educations, s.n_experiences, s.n_courses, l.best AS languages, e.latest AS educations
         FROM documents d
-        JOIN (SELECT doc_id, count(DISTINCT lower(trim(word))) AS n_skills, count(DISTINCT name) AS n_languages,
-                     count(DISTINCT name) AS n_educations, count(DISTINCT name) AS n_experiences
-              FROM ({_WORDS_SQL}) GROUP BY doc_id) s ON s.doc_id = d.doc_id
-        JOIN (SELECT doc_id, string_agg(name || ':' || level, ' ' ORDER BY pos) AS best FROM (
-                SELECT * FROM ({_WORDS_SQL}) QUALIFY row_number() OVER (PARTITION BY doc_id, name
+        JOIN (SELECT doc_id, count(DISTINCT lower(trim(word))) AS n_skills FROM ({_WORDS_SQL}) GROUP BY doc_id) k ON k.doc_id = d.doc_id
+        JOIN (SELECT doc_id, count(DISTINCT trim(name)) AS n_languages, count(DISTINCT trim(name)) AS n_educations,
+                     count(DISTINCT trim(name)) AS n_experiences, count(DISTINCT lower(trim(word))) AS n_courses
+              FROM ({_LINES_SQL}) GROUP BY doc_id) s ON s.doc_id = d.doc_id
+        JOIN (SELECT doc_id, string_agg(trim(name) || ':' || level, ' ' ORDER BY pos) AS best FROM (
+                SELECT * FROM ({_LINES_SQL}) QUALIFY row_number() OVER (PARTITION BY doc_id, trim(name)
                   ORDER BY CASE level WHEN 'advanced' THEN 3 WHEN 'intermediate' THEN 2 ELSE 1 END DESC, pos) = 1)
-              GROUP BY doc_id) l ON l.doc_id = d.doc_id""",
+              GROUP BY doc_id) l ON l.doc_id = d.doc_id
+        JOIN (SELECT doc_id, string_agg(trim(name) || ':' || coalesce(CAST(year AS VARCHAR), '-'), ' ' ORDER BY pos) AS latest FROM (
+                SELECT * FROM (SELECT *, CASE WHEN n % 5 <> 0 THEN 2000 + n END AS year FROM ({_LINES_SQL}))
+                QUALIFY row_number() OVER (PARTITION BY doc_id, trim(name) ORDER BY year DESC NULLS LAST, pos) = 1)
+              GROUP BY doc_id) e ON e.doc_id = d.doc_id""",
 )
 def standardise_profile(t):
     profiles = shapes.profiles(t.documents)
@@ -189,6 +196,13 @@ def standardise_profile(t):
         F.coalesce("email", F.lit("-")).alias("email"),
         F.coalesce("age", F.lit(-1)).alias("age"),
         F.coalesce("country", F.lit("-")).alias("country"),
-        *[F.size(a).cast("long").alias(f"n_{a}") for a in ("skills", "languages", "educations", "experiences")],
-        F.array_join(F.transform("languages", lambda x: F.concat(x["language"], F.lit(":"), x["level"])), " ").alias("languages"),
+        *[F.size(a).cast("long").alias(f"n_{a}") for a in ("skills", "languages", "educations", "experiences", "courses")],
+        F.array_join(F.transform("languages", lambda x: F.concat_ws(":", x["language"], x["level"])), " ").alias("languages"),
+        F.array_join(
+            F.transform(
+                "educations",
+                lambda x: F.concat_ws(":", x["institution_name"], F.coalesce(x["graduation_year"].cast("string"), F.lit("-"))),
+            ),
+            " ",
+        ).alias("educations"),
     )

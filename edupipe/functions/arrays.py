@@ -46,9 +46,9 @@ def fill_from_longest(df: DataFrame, array: str) -> DataFrame:
 # --- best element per key ---------------------------------------------------
 
 
-def descending_nulls_last(c: Column) -> tuple[Column, Column]:
-    """Sort fields that put the greatest number first and nulls at the end."""
-    return c.isNull(), -c.cast("double")
+def descending_nulls_last(c: Column) -> Column:
+    """A number whose ascending order is that of ``c`` descending with nulls at the end."""
+    return F.coalesce(-c.cast("double"), F.lit(float("inf")))
 
 
 def keep_best_in_array(
@@ -61,11 +61,8 @@ def keep_best_in_array(
     order.  Null and empty arrays become null.
     """
     def ranked(x: Column, i: Column) -> Column:
-        parts = [key(x).alias("key")]
-        for n, fn in enumerate(order):
-            missing, negated = descending_nulls_last(fn(x))
-            parts += [missing.alias(f"missing{n}"), negated.alias(f"order{n}")]
-        return F.struct(*parts, i.alias("pos"), x.alias("value"))
+        ranks = [descending_nulls_last(fn(x)).alias(f"order{n}") for n, fn in enumerate(order)]
+        return F.struct(key(x).alias("key"), *ranks, i.alias("pos"), x.alias("value"))
 
     runs = F.col("__runs")
     head = F.filter(

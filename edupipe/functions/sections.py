@@ -39,9 +39,11 @@ class Section:
 
     @property
     def pattern(self) -> str:
-        stops = "|".join(self.stops)
-        end = rf"(?=\n(?:{stops}){_COLON_OR_LINE}|\z)" if self.colon else rf"(?=\n(?:{stops})\n)"
-        return rf"(?iu){self.opening}[\s\S]*?{end}"
+        """Opening, then whole lines up to the first stop line; no backtracking over the text."""
+        ending = _COLON_OR_LINE if self.colon else _LINE
+        stop = rf"\n(?:{'|'.join(self.stops)}){ending}"
+        must_stop = "" if self.colon else f"(?={stop})"
+        return rf"(?iu){self.opening}[^\n]*+(?:(?!{stop})\n[^\n]*+)*+{must_stop}"
 
     def body(self, text: Column) -> Column:
         """Stripped body; '' for an empty section, null when the section is absent."""

@@ -6,48 +6,43 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def word_structs(text: Column) -> Column:
-    """The words of a text as structs with a name, a level, a year and an inner array."""
-    def element(word: Column) -> Column:
-        n = F.length(word)
+def piece_structs(pieces: Column, *fields: str) -> Column:
+    """The pieces of a text (words, lines) as structs of the wanted fields."""
+    def element(piece: Column) -> Column:
+        n = F.length(piece)
         level = F.when(n > 6, "advanced").when(n > 3, "intermediate").otherwise("beginner")
         duration = F.when(n % 4 != 0, F.concat((n + 0.5).cast("string"), F.lit(" years")))
-        return F.struct(
-            word.alias("word"),
-            F.lower(word).alias("lower"),
-            F.right(F.lower(word), F.lit(1)).alias("name"),
-            level.alias("level"),
-            F.when(n % 5 != 0, n + 2000).alias("year"),
-            F.array(F.struct(word.alias("role"), duration.alias("duration"))).alias("designations"),
-        )
+        made = {
+            "word": piece,
+            "lower": F.lower(piece),
+            "name": F.lower(F.right(piece, F.lit(1))),
+            "level": level,
+            "year": F.when(n % 5 != 0, n + 2000),
+            "designations": F.array(F.struct(piece.alias("designation"), duration.alias("duration"))),
+        }
+        return F.struct(*[made[field.split("=")[-1]].alias(field.split("=")[0]) for field in fields])
 
-    return F.transform(F.split(text, " "), element)
+    return F.transform(pieces, element)
 
 
 def profiles(documents: DataFrame) -> DataFrame:
-    """One raw profile per document, its arrays made of the words of the text."""
-    words = word_structs(F.col("text"))
+    """One raw profile per document: skills are its words, the other arrays its lines."""
+    words, lines = F.split("text", " "), F.split("text", "\n")
     lang = F.col("lang")
-    domain = F.when(lang == "en", "@GMAIL.com").otherwise("@mail.example")
-    email = F.concat("source", F.lit("."), F.col("doc_id").cast("string"), F.when(lang == "en", "@gmail.com").otherwise(domain))
-
-    def each(build):
-        return F.transform(words, lambda w: F.struct(*[c.alias(n) for n, c in build(w).items()]))
-
+    domain = F.when(lang == "en", "@gmail.com").otherwise("@mail.example")
     return documents.select(
         "doc_id",
         F.concat(F.lit(" "), F.upper("source")).alias("name"),
-        email.alias("email"),
+        F.concat("source", F.lit("."), F.col("doc_id").cast("string"), domain).alias("email"),
         (F.col("n_chars") % 130).cast("string").alias("age"),
         F.when(lang == "de", "Germany").when(lang == "fr", "FRANCE ").when(lang == "es", "Sp4in").otherwise("Atlantis").alias("country"),
-        each(lambda w: {"company_name": w["name"], "designations": F.transform(
-            w["designations"], lambda d: F.struct(d["role"].alias("designation"), d["duration"].alias("duration")))}).alias("experiences"),
-        each(lambda w: {"college": w["name"], "degree": w["level"], "graduation_year": w["year"].cast("string"), "major": w["word"]}).alias("educations"),
-        each(lambda w: {"name": w["name"], "institute": w["word"], "issued_date": w["year"].cast("string")}).alias("licenses"),
-        each(lambda w: {"name": w["word"]}).alias("skills"),
-        each(lambda w: {"name": w["name"], "level": F.initcap(w["level"])}).alias("languages"),
-        each(lambda w: {"course_name": w["word"], "associated_with": w["name"]}).alias("courses"),
-        each(lambda w: {"honor_name": w["name"]}).alias("honors"),
+        piece_structs(lines, "company_name=name", "designations").alias("experiences"),
+        piece_structs(lines, "college=name", "degree=level", "graduation_year=year", "major=word").alias("educations"),
+        piece_structs(lines, "name", "institute=word", "issued_date=year").alias("licenses"),
+        piece_structs(words, "name=word").alias("skills"),
+        piece_structs(lines, "name", "level").alias("languages"),
+        piece_structs(lines, "course_name=word", "associated_with=name").alias("courses"),
+        piece_structs(lines, "honor_name=name").alias("honors"),
     )
 
 
