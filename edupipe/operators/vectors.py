@@ -116,8 +116,8 @@ def _with_cells(units: DataFrame, pivots: np.ndarray) -> DataFrame:
                     [*batch.columns, pa.array(cell, pa.int32()), near], [*batch.schema.names, "cell", "radius"]
                 )
 
-    if len(pivots) == 1:
-        return units.withColumns({"cell": F.lit(0), "radius": F.lit(0.0)})
+    if len(pivots) == 1:  # one cell; a computed value, so that joins on it stay equi joins
+        return units.withColumns({"cell": F.pmod(F.xxhash64("id"), F.lit(1)).cast("int"), "radius": F.lit(0.0)})
     extra = [T.StructField("cell", T.IntegerType()), T.StructField("radius", T.DoubleType())]
     return units.mapInArrow(nearest, T.StructType([*units.schema.fields, *extra]))
 
@@ -138,35 +138,32 @@ def _cell_pairs(
     return pairs
 
 
-def _pairs_to_search(
-    pivots: np.ndarray, corpus: DataFrame, queries: DataFrame, enough: int
-) -> list[tuple[int, int]]:
-    if len(pivots) == 1:
-        return [(0, 0)]
+def _cell_stats(cells: DataFrame) -> dict[int, tuple[int, float]]:
+    """cell -> (vectors, largest radius); one row per pivot reaches the driver."""
+    rows = cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("radius").alias("r")).collect()
+    return {row["cell"]: (row["n"], row["r"]) for row in rows}
 
-    def by_cell(df: DataFrame, value: Column) -> dict:
-        rows = df.groupBy("cell").agg(value.alias("x")).collect()  # a row per pivot
-        return {r["cell"]: r["x"] for r in rows if r["x"] is not None}
 
-    near = best_per_key(corpus.select("cell", "radius", "id"), ["cell"], [F.asc("radius"), F.asc("id")], enough)
-    outer = by_cell(corpus, F.max("radius"))
-    inner = by_cell(near, F.when(F.count("*") == enough, F.max("radius")))
-    reach = outer if queries is corpus else by_cell(queries, F.max("radius"))
-    return _cell_pairs(pivots, reach, outer, inner)
+def _inner_radii(cells: DataFrame, enough: int) -> dict[int, float]:
+    """cell -> radius that holds ``enough`` vectors, for cells that have as many."""
+    near = best_per_key(cells.select("cell", "radius", "id"), ["cell"], [F.asc("radius"), F.asc("id")], enough)
+    rows = near.groupBy("cell").agg(F.count("*").alias("n"), F.max("radius").alias("r")).collect()
+    return {row["cell"]: row["r"] for row in rows if row["n"] == enough}
 
 
-def _blocks(cells: DataFrame, block_rows: int, name: str) -> DataFrame:
-    """One row per block: the ids of about ``block_rows`` vectors, ascending, and their values."""
-    counts = cells.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).alias("parts"))
-    cut = cells.join(F.broadcast(counts), "cell").withColumn(  # at most MAX_PIVOTS rows
-        "part", F.pmod(F.xxhash64("id"), F.col("parts"))
-    )
+def _blocks(cells: DataFrame, parts: DataFrame, name: str) -> DataFrame:
+    """One row per block (cell, part): ids ascending, and their vectors.
+
+    ``parts`` says into how many blocks a cell is cut (at most MAX_PIVOTS rows).
+    """
+    cut = cells.join(F.broadcast(parts), "cell").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
     packed = F.sort_array(F.collect_list(F.struct("id", "u")))
     return (
         cut.groupBy("cell", "part")
         .agg(packed.alias("rows"))
         .select(
             F.col("cell").alias(f"{name}_cell"),
+            F.col("part").alias(f"{name}_part"),
             F.col("rows.id").alias(f"{name}_ids"),
             F.col("rows.u").alias(f"{name}_units"),
         )
@@ -183,8 +180,13 @@ def _block_top(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(above | (level & (level.cumsum(axis=1) <= room)))
 
 
-def _search(corpus: DataFrame, queries: DataFrame, pairs: DataFrame, k: int, block_rows: int) -> DataFrame:
-    """(id, recommended_id, score) of the k best corpus rows of every query row."""
+def _search(corpus: DataFrame, queries: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """(id, recommended_id, score) of the k best corpus rows of every query row.
+
+    corpus, queries: blocks; pairs(q_cell, c_cell, c_parts) lists the cells to
+    search and how many blocks they have.  A query block is sent to each of these
+    blocks by its (cell, part), so a crowded cell is the work of many tasks.
+    """
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
@@ -202,13 +204,12 @@ def _search(corpus: DataFrame, queries: DataFrame, pairs: DataFrame, k: int, blo
                         ["id", "recommended_id", "score"],
                     )
 
-    met = (
-        _blocks(queries, block_rows, "q")
-        .join(F.broadcast(pairs), "q_cell")  # at most MAX_PIVOTS squared
-        .join(_blocks(corpus, block_rows, "c"), "c_cell")
-        .select("q_ids", "q_units", "c_ids", "c_units")
+    sent = (
+        queries.join(F.broadcast(pairs), "q_cell")  # at most MAX_PIVOTS squared rows
+        .withColumn("c_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("c_parts") - 1)))
     )
-    id_type = queries.schema["id"].dataType.simpleString()
+    met = sent.join(corpus, ["c_cell", "c_part"]).select("q_ids", "q_units", "c_ids", "c_units")
+    id_type = queries.schema["q_ids"].dataType.elementType.simpleString()
     hits = met.mapInArrow(multiply, f"id {id_type}, recommended_id {id_type}, score double")
     return best_per_key(hits, ["id"], [F.desc("score"), F.asc("recommended_id")], k)
 
@@ -237,10 +238,24 @@ def knn_table(
     sample = candidates.orderBy(F.xxhash64("id"), "id").limit(wanted)
     pivots = np.array([np.frombuffer(r["u"]) for r in sample.collect()]) if wanted > 1 else np.zeros((1, 1))
     corpus_cells, query_cells = _with_cells(candidates, pivots), _with_cells(distinct, pivots)
-    pairs = corpus.sparkSession.createDataFrame(
-        _pairs_to_search(pivots, corpus_cells, query_cells, enough), "q_cell int, c_cell int"
+    corpus_stats = _cell_stats(corpus_cells)
+    query_stats = corpus_stats if queries is None else _cell_stats(query_cells)
+    inner = _inner_radii(corpus_cells, enough) if len(pivots) > 1 else {}
+    pairs = _cell_pairs(
+        pivots, {c: r for c, (_, r) in query_stats.items()}, {c: r for c, (_, r) in corpus_stats.items()}, inner
+    )
+
+    def cut(stats: dict[int, tuple[int, float]]) -> dict[int, int]:
+        return {cell: -(-rows // block_rows) for cell, (rows, _) in stats.items()}
+
+    spark, corpus_parts, query_parts = corpus.sparkSession, cut(corpus_stats), cut(query_stats)
+    parts_schema = "cell int, parts long"
+    found = _search(
+        _blocks(corpus_cells, spark.createDataFrame(list(corpus_parts.items()), parts_schema), "c"),
+        _blocks(query_cells, spark.createDataFrame(list(query_parts.items()), parts_schema), "q"),
+        spark.createDataFrame([(q, c, corpus_parts[c]) for q, c in pairs], "q_cell int, c_cell int, c_parts long"),
+        enough,
     )
-    found = _search(corpus_cells, query_cells, pairs, enough, block_rows)
 
     answered = query_units.join(distinct.withColumnRenamed("id", "first"), "u").select("id", "first")
     hits = answered.join(found.withColumnRenamed("id", "first"), "first").where("id != recommended_id")

@@ -60,9 +60,9 @@ def test_pruning_leaves_out_far_cells(spark):
     rng = np.random.default_rng(5)
     m = np.concatenate([np.eye(16)[i] + rng.normal(size=(40, 16)) * 0.01 for i in range(16)])
     pivots = np.eye(16)
-    units = vectors._unit_vectors(_frame(spark, m), "id", "v")
-    cells = vectors._with_cells(units, pivots)
-    pairs = vectors._pairs_to_search(pivots, cells, cells, 6)
+    cells = vectors._with_cells(vectors._unit_vectors(_frame(spark, m), "id", "v"), pivots)
+    radii = {c: r for c, (_, r) in vectors._cell_stats(cells).items()}
+    pairs = vectors._cell_pairs(pivots, radii, radii, vectors._inner_radii(cells, 6))
     assert sorted(pairs) == [(i, i) for i in range(16)]
 
 
