@@ -120,12 +120,12 @@ def split_info_table(t):
 
 @query(
     "cascade_delete",
-    """SELECT l_orderkey, count(*) AS n_lines, sum(CAST(l_quantity AS BIGINT)) AS quantity FROM lineitem
-       WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P') GROUP BY 1""",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM lineitem
+       WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')""",
 )
 def cascade_delete(t):
     left = relational.cascade_delete(t.lineitem, "l_orderkey", t.orders.where("o_orderstatus = 'P'"), "o_orderkey")
-    return left.groupBy("l_orderkey").agg(F.count("*").alias("n_lines"), F.sum(F.col("l_quantity").cast("long")).alias("quantity"))
+    return left.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
 
 
 @query(

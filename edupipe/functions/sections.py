@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from edupipe import fixed_values as fv
-from edupipe.functions.text import strip_all
+from edupipe.functions.text import filled, strip_all
 
 _LINE = r"\n"
 _COLON_OR_LINE = r"\s*(?:\n|:)"
@@ -47,7 +47,7 @@ class Section:
 
     def body(self, text: Column) -> Column:
         """Stripped body; '' for an empty section, null when the section is absent."""
-        found = F.nullif(F.regexp_extract(text, self.pattern, 0), F.lit(""))
+        found = F.get(F.regexp_extract_all(text, F.lit(self.pattern), 0), F.lit(0))
         return strip_all(F.regexp_replace(found, rf"(?iu)\A{self.opening}", ""))
 
 
@@ -65,7 +65,7 @@ def extract_section(
     """
     bodies = [section.body(text) for text, section in attempts]
     if skip_empty:
-        bodies = [F.nullif(body, F.lit("")) for body in bodies]
+        bodies = [filled(body) for body in bodies]
     value = F.coalesce(*bodies, F.lit(default))
     return value if null_if_null is None else F.when(null_if_null.isNotNull(), value)
 
@@ -112,7 +112,7 @@ def deadline(procedure: Column, overview: Column) -> Column:
 
 def _given(c: Column) -> Column:
     """The stripped text of a filled-in field; null for null, blank or ``N/A``."""
-    return F.when(c != "N/A", F.nullif(strip_all(c), F.lit("")))
+    return F.when(c != "N/A", filled(strip_all(c)))
 
 
 def requirements(application_requirements: Column, overview: Column) -> Column:
@@ -122,7 +122,7 @@ def requirements(application_requirements: Column, overview: Column) -> Column:
 
 def documents(procedure: Column, overview: Column) -> Column:
     listed = [
-        F.nullif(Section([heading], fv.DOCUMENT_STOPS, colon=True).body(procedure), F.lit(""))
+        filled(Section([heading], fv.DOCUMENT_STOPS, colon=True).body(procedure))
         for heading in fv.DOCUMENT_HEADINGS
     ]
     papers = extract_section([(overview, Section(fv.PAPER_HEADINGS, fv.PAPER_STOPS))])

@@ -18,6 +18,11 @@ def strip_all(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
+def filled(c: Column) -> Column:
+    """The text, or null when empty.  Unlike ``nullif`` this evaluates a costly text once."""
+    return F.get(F.filter(F.array(c), lambda x: x != ""), F.lit(0))
+
+
 def clean_text(c: Column) -> Column:
     """Lower-case and trim; any run of two or more blanks becomes one space."""
     return F.regexp_replace(F.trim(F.lower(c)), r"\s{2,}", " ")

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from edupipe.operators.dedupe import best_per_key
 
@@ -45,20 +46,47 @@ def merge_same_key(
 ) -> DataFrame:
     """Merge the rows that share ``key`` (null included) into one.
 
-    arrays:  array column -> (element field that must stay unique, greater-is-better fields)
+    arrays:  array column -> (element field that must stay unique, at most one
+             greater-is-better field)
     scalars: the first non-null value by ``order`` is kept
 
-    Elements of all rows are reduced to one per (key, element field) before any
-    array is rebuilt, so what is collected is bounded by the distinct elements.
+    All arrays are reduced in one pass to one element per (key, element field),
+    map side first, before any is rebuilt: what is collected per key is bounded by
+    the distinct names, not by the rows.
     """
     first = F.struct(*order)
-    merged = df.groupBy(F.col(key).alias("__key")).agg(
-        *[F.min_by(c, F.when(F.col(c).isNotNull(), first)).alias(c) for c in scalars]
+    owner = F.col(key).alias("__key")
+    no_rank = F.lit(None).cast("double")
+
+    def slots(filled: str, value: Column) -> list[Column]:
+        """One column per array and one for the scalars, all null but one."""
+        types = {array: df.schema[array].dataType.elementType for array in arrays}
+        types["__row"] = T.StructType([df.schema[c] for c in scalars])
+        return [(value if name == filled else F.lit(None)).cast(kind).alias(name) for name, kind in types.items()]
+
+    def elements(array: str, field: str, better: Sequence[str]) -> DataFrame:
+        e = F.col("__e")
+        rank = e[better[0]].cast("double") if better else no_rank
+        exploded = df.select(owner, F.explode(array).alias("__e"))
+        return exploded.select(
+            "__key", F.lit(array).alias("__kind"), e[field].cast("string").alias("__field"), rank.alias("__rank"),
+            F.to_json(e).alias("__text"), *slots(array, e),
+        )
+
+    kept_scalars = df.groupBy(owner).agg(
+        F.struct(*[F.min_by(c, F.when(F.col(c).isNotNull(), first)).alias(c) for c in scalars]).alias("__s")
+    )
+    nothing = F.lit(None).cast("string")
+    rows = kept_scalars.select(
+        "__key", F.lit("__row").alias("__kind"), nothing.alias("__field"), no_rank.alias("__rank"),
+        nothing.alias("__text"), *slots("__row", F.col("__s")),
     )
     for array, (field, better) in arrays.items():
-        elements = df.select(F.col(key).alias("__key"), F.explode(array).alias("__e"))
-        ranking = [F.col(f"__e.{b}").desc_nulls_last() for b in better] + [F.to_json("__e")]
-        kept = best_per_key(elements.withColumn("__f", F.col(f"__e.{field}")), ["__key", "__f"], ranking)
-        rebuilt = kept.groupBy(F.col("__key").alias("__k")).agg(F.sort_array(F.collect_list("__e")).alias(array))
-        merged = merged.join(rebuilt, F.col("__key").eqNullSafe(F.col("__k")), "left").drop("__k")
-    return merged.withColumnRenamed("__key", key)
+        rows = rows.unionByName(elements(array, field, better))
+    best = best_per_key(rows, ["__key", "__kind", "__field"], [F.col("__rank").desc_nulls_last(), F.asc("__text")])
+    merged = best.groupBy("__key").agg(
+        F.first("__row", ignorenulls=True).alias("__row"),
+        *[F.sort_array(F.collect_list(array)).alias(array) for array in arrays],
+    )
+    filled = [F.when(F.size(array) > 0, F.col(array)).alias(array) for array in arrays]
+    return merged.select(F.col("__key").alias(key), *[F.col("__row")[c].alias(c) for c in scalars], *filled)

@@ -66,11 +66,8 @@ def insert_if_absent(target: DataFrame, incoming: DataFrame, key: str, order: Se
     """Target plus the incoming keys it lacks; of a repeated key the first by ``order``."""
     columns = [c for c in incoming.columns if c != key]
     first = F.struct(*order)
-    fresh = (
-        incoming.join(target.select(key), key, "left_anti")
-        .groupBy(key)
-        .agg(*[F.min_by(c, first).alias(c) for c in columns])
-    )
+    firsts = incoming.groupBy(key).agg(*[F.min_by(c, first).alias(c) for c in columns])
+    fresh = firsts.join(target.select(key), key, "left_anti")
     return target.unionByName(fresh.select(*target.columns))
 
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from edupipe import fixed_values as fv
 from edupipe.operators import filters
 from edupipe.schemas import CLICK_HISTORY
 from edupipe.sources import readers, writers
+from edupipe.streaming import clicks, ttl
 
 
 def clean_history(rows: DataFrame) -> DataFrame:
@@ -18,21 +20,16 @@ def clean_history(rows: DataFrame) -> DataFrame:
 def clean_pending(spark: SparkSession, source: str, destination: str) -> int:
     """Clean every day folder of ``source`` that ``destination`` lacks; returns how many.
 
-    All pending days are one job: the days come from the paths of the scan, which
-    is then limited to them.
+    Days are compared by folder name; the pending ones are read in one job.
     """
-    scan = readers.read_csv(spark, f"{source}/*/*.csv", CLICK_HISTORY)
-    dated = readers.with_path_fields(scan.select("*", "_metadata"))
-    if readers.path_exists(spark, destination):
-        done = spark.read.parquet(destination).select(F.col("date_folder").cast("string").alias("date_folder"))
-    else:
-        done = spark.createDataFrame([], "date_folder string")
-    days = [r["date_folder"] for r in readers.pending_partitions(dated, done, "date_folder").collect()]  # one per day
-    if days:
-        pending = dated.where(F.col("date_folder").isin(days)).drop("_metadata")
-        clean = clean_history(pending)
-        clean.hint("rebalance", "date_folder").write.mode("append").partitionBy("date_folder").parquet(destination)
-    return len(days)
+    done = {name.removeprefix("date_folder=") for name in readers.folder_names(spark, destination)}
+    pending = sorted(readers.folder_names(spark, source) - done)
+    if pending:
+        scan = readers.read_csv(spark, [f"{source}/{day}" for day in pending], CLICK_HISTORY)
+        rows = readers.with_path_fields(scan.select("*", "_metadata")).drop("_metadata")
+        clean = clean_history(rows).hint("rebalance", "date_folder")
+        clean.write.mode("append").partitionBy("date_folder").parquet(destination)
+    return len(pending)
 
 
 def archive_recent(rows: DataFrame, path: str, kind: str, ts: str, as_of: Column) -> None:
@@ -58,3 +55,15 @@ def expired_history(spark: SparkSession, path: str, as_of: Column, days: int = 7
     """Day folders past their retention."""
     folders = spark.read.parquet(path).select(F.col("dt").cast("string").alias("dt"))
     return filters.expired_folders(folders, "dt", as_of, days)
+
+
+def fresh_recommendations(saves: DataFrame, neighbours: DataFrame, tie: str, ttl_seconds: int = fv.CACHE_TTL_SECONDS) -> DataFrame:
+    """Recommendations for the saves that no earlier answer still covers.
+
+    saves(user_id, item_id, timestamp, tie); neighbours as for ``clicks.recommend``.
+    A save without any neighbour has no answer and so starts no time to live.
+    """
+    answered = neighbours.where(F.size("neighbours") > 0)
+    able = saves.join(answered.select("item_id"), "item_id", "left_semi")
+    passed = ttl.first_per_ttl(able, ["user_id", "item_id"], "timestamp", tie, ttl_seconds)
+    return clicks.recommend(passed.withColumn("timestamp", F.timestamp_seconds("second")), answered)

@@ -19,7 +19,7 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, separator: str = ","
+    spark: SparkSession, path: str | list[str], schema: T.StructType | None = None, separator: str = ","
 ) -> DataFrame:
     """CSV with a header, ``"`` as quote and escape.  Without a schema every column is text;
     with one, a cell that does not fit becomes null."""
@@ -66,21 +66,14 @@ def pending_partitions(source: DataFrame, done: DataFrame, partition: str) -> Da
     return source.select(partition).distinct().join(done.select(partition).distinct(), partition, "left_anti")
 
 
-# --- newest data set under a folder -----------------------------------------
+# --- names and times of files; no data is read --------------------------------
 
 
-def _list(spark: SparkSession, folder: str, recursive: bool) -> list[tuple[str, int]]:
-    """(path, modification time) of the files in a folder; file names only, no data."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
+def _glob(spark: SparkSession, pattern: str) -> list[tuple[int, str]]:
+    """(modification time, path) of what matches a pattern."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found: list[tuple[str, int]] = []
-    if fs.exists(path):
-        files = fs.listFiles(path, recursive)
-        while files.hasNext():
-            status = files.next()
-            found.append((status.getPath().toString(), status.getModificationTime()))
-    return found
+    return [(s.getModificationTime(), s.getPath().toString()) for s in fs.globStatus(path) or []]
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -88,12 +81,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
+def folder_names(spark: SparkSession, folder: str) -> set[str]:
+    """Names directly under a folder; hidden ones are left out."""
+    names = {path.rsplit("/", 1)[1] for _, path in _glob(spark, f"{folder}/*")}
+    return {n for n in names if not n.startswith((".", "_"))}
+
+
 def latest_file(spark: SparkSession, folder: str, suffixes: Sequence[str] = ("",)) -> str:
     """Path of the newest file of a folder by modification time (ties: greatest name)."""
     files = [
-        (time, path)
-        for path, time in _list(spark, folder, False)
-        if path.endswith(tuple(suffixes)) and not path.rsplit("/", 1)[1].startswith((".", "_"))
+        found
+        for found in _glob(spark, f"{folder}/*")
+        if found[1].endswith(tuple(suffixes)) and not found[1].rsplit("/", 1)[1].startswith((".", "_"))
     ]
     if not files:
         raise FileNotFoundError(f"no files in {folder}")
@@ -101,12 +100,9 @@ def latest_file(spark: SparkSession, folder: str, suffixes: Sequence[str] = ("",
 
 
 def latest_dataset(spark: SparkSession, folder: str, stem: str = "") -> str:
-    """Folder of the newest completely written data set: the one whose ``_SUCCESS`` mark is newest."""
-    marks = [
-        (time, path.rsplit("/", 1)[0])
-        for path, time in _list(spark, folder, True)
-        if path.endswith("/_SUCCESS") and stem in path
-    ]
-    if not marks:
+    """The newest completely written data set of a folder, by the time of its ``_SUCCESS`` mark."""
+    marks = [(time, path.rsplit("/", 1)[0]) for time, path in _glob(spark, f"{folder}/*/_SUCCESS")]
+    named = [mark for mark in marks if stem in mark[1].rsplit("/", 1)[1]]
+    if not named:
         raise FileNotFoundError(f"no complete data set in {folder}")
-    return max(marks)[1]
+    return max(named)[1]

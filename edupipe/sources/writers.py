@@ -45,8 +45,8 @@ def write_json_array(df: DataFrame, path: str) -> None:
 def write_jdbc(
     df: DataFrame, url: str, table: str, properties: Mapping[str, str], batch_size: int = 1000, connections: int = 8
 ) -> None:
-    """Append in batches, over at most ``connections`` connections."""
-    df.coalesce(connections).write.mode("append").option("batchsize", batch_size).jdbc(
+    """Append in batches over ``connections`` connections; the work before keeps its own parallelism."""
+    df.repartition(connections).write.mode("append").option("batchsize", batch_size).jdbc(
         url, table, properties=dict(properties)
     )
 
