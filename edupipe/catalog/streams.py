@@ -6,7 +6,7 @@ from edupipe import fixed_values as fv
 from edupipe.catalog.registry import query
 from edupipe.functions.text import composite_key
 from edupipe.operators import recommend, vectors
-from edupipe.plans import shapes
+from edupipe.plans import clickstream, shapes
 from edupipe.session import fresh_path
 from edupipe.sources import writers
 from edupipe.streaming import clicks, ttl
@@ -118,6 +118,51 @@ def stream_ttl_first(t):
     return ttl.first_per_ttl(t.events, ["user_id"], "ts", "event_id")
 
 
+@query("stream_ttl_state", _TTL_SQL)
+def stream_ttl_state(t):
+    """The same as a real stream with keyed state."""
+    out, setting = fresh_path(t.spark, "ttl"), "spark.sql.streaming.stateStore.providerClass"
+    before = t.spark.conf.get(setting)
+    t.spark.conf.set(setting, ttl.STATE_STORE)
+    try:
+        kept = ttl.stream_first_per_ttl(t.stream("events"), ["user_id"], "ts", "event_id")
+        clicks.write_stream(kept, f"{out}/rows", f"{out}/checkpoint")
+    finally:
+        t.spark.conf.set(setting, before)
+    return t.spark.read.parquet(f"{out}/rows")
+
+
+@query(
+    "recommend_fresh",
+    f"""WITH RECURSIVE knn AS (SELECT * FROM (
+          SELECT q.vec_id AS item, v.vec_id AS rec, list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS score
+          FROM embeddings q JOIN embeddings v ON v.vec_id <> q.vec_id WHERE v.label % 2 = 0)
+          QUALIFY row_number() OVER (PARTITION BY item ORDER BY round(score, 12) DESC, rec) <= 5),
+        e AS (SELECT DISTINCT user_id, CAST({_ITEM} AS BIGINT) AS item, CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS second
+              FROM events WHERE event_type IN ('purchase', 'click')),
+        chain AS (
+          SELECT user_id, item, min(second) AS second FROM e GROUP BY 1, 2
+          UNION ALL
+          SELECT c.user_id, c.item, min(e.second) FROM chain c JOIN e ON e.user_id = c.user_id AND e.item = c.item AND e.second >= c.second + 864000
+          GROUP BY 1, 2)
+        SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(item AS VARCHAR) AS source_id, rec AS recommended_id, round(score, 6) AS score, second
+        FROM chain JOIN knn USING (item)""",
+)
+def recommend_fresh(t):
+    """Saves and detail clicks, at most one answer per user and item in ten days."""
+    open_items = t.embeddings.where("label % 2 = 0")
+    table = vectors.knn_table(open_items, "vec_id", "embedding", fv.TOP_ITEMS, queries=t.embeddings)
+    lists = vectors.neighbour_lists(table.withColumn("vec_id", F.col("vec_id").cast("string")), "vec_id")
+    saves = t.events.where("event_type IN ('purchase', 'click')").select(
+        F.col("user_id").cast("string").alias("user_id"), F.get_json_object("props", "$.k").alias("item_id"),
+        F.col("ts").cast("timestamp").alias("timestamp"), "event_id",
+    )
+    fresh = clickstream.fresh_recommendations(saves, lists, "event_id", 864_000)
+    return fresh.select(
+        "user_id", "source_id", "recommended_id", F.round("score", 6).alias("score"), F.unix_seconds("timestamp").alias("second")
+    )
+
+
 @query(
     "latest_per_source",
     f"""SELECT CAST({_ITEM} AS INT) AS source_id, event_id AS recommended_id, value AS score FROM events WHERE user_id = 7

@@ -7,7 +7,7 @@ from html.parser import HTMLParser
 from urllib.parse import urljoin, urlparse
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -184,3 +184,14 @@ def anchors(pages: DataFrame, key: str, html: str) -> DataFrame:
 
 def drop_anchor_links(df: DataFrame, column: str, fragment: str = "/#") -> DataFrame:
     return drop_containing(df, column, fragment)
+
+
+def register_page_blocks(spark: SparkSession, name: str = "page_blocks") -> None:
+    """A table function for SQL: ``SELECT … FROM pages, LATERAL page_blocks(html)``."""
+
+    class PageBlocks:
+        def eval(self, html: str) -> Iterator[tuple[int, str, str]]:
+            for position, (tag, text) in enumerate(blocks_of(html or "")):
+                yield position, tag, text
+
+    spark.udtf.register(name, F.udtf(PageBlocks, returnType="position int, tag string, text string", useArrow=True))

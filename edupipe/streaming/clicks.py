@@ -5,7 +5,8 @@ Every function works the same on a batch and on a streaming DataFrame.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,3 +87,23 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, partition: Sequence[
     if partition:
         writer = writer.partitionBy(*partition)
     writer.trigger(availableNow=True).start(path).awaitTermination()
+
+
+def write_tables(events: DataFrame, checkpoint: str, save: Callable[[DataFrame, str, int], None]) -> None:
+    """Process all that is available, handing every micro batch to ``save`` table by table.
+
+    ``save(rows, table_name, batch_id)`` is for sinks without a streaming writer (such as
+    a database).  A batch may come again after a failure: ``batch_id`` tells.
+    """
+    tables = [re.sub("_events$", "_table", topic) for topic in fv.TOPICS]
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for table in tables:
+                save(batch.where(F.col("table_name") == table).drop("table_name"), table, batch_id)
+        finally:
+            batch.unpersist()
+
+    writer = route(events).writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
+    writer.trigger(availableNow=True).start().awaitTermination()

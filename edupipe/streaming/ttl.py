@@ -89,11 +89,18 @@ class _LastPassed(StatefulProcessor):
         pass
 
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def stream_first_per_ttl(
     events: DataFrame, keys: Sequence[str], ts: str, tie: str, ttl: int = fv.CACHE_TTL_SECONDS
 ) -> DataFrame:
-    """Streaming form with keyed state (RocksDB state store); same rows as the batch
-    form when events arrive in order of time."""
+    """Streaming form with keyed state; same rows as the batch form when events arrive
+    in order of time.
+
+    The query must run with ``spark.sql.streaming.stateStore.providerClass`` set to
+    ``STATE_STORE``.  Of a key's rows in a micro batch only one per second is held.
+    """
     timed = events.select(*keys, _seconds(ts).alias("second"), tie)
     return timed.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=_LastPassed(keys, tie, ttl),

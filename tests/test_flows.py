@@ -200,3 +200,30 @@ def test_decode_and_save_clicks(spark):
     saves = clicks.save_clicks(events).collect()
     assert [(r["user_id"], r["item_id"], r["timestamp"]) for r in saves] == [("7", "AB", datetime.datetime(2025, 4, 5, 18, 5, 16))]
     assert {r[0] for r in clicks.route(events).select("table_name").collect()} == {"details_table", "faq_table"}
+
+
+def test_stream_into_tables(spark):
+    source, out = fresh_path(spark, "source"), fresh_path(spark, "out")
+    rows = [(t, str(i)) for i, t in enumerate(["faq_events", "details_events", "faq_events", "other"])]
+    spark.createDataFrame(rows, "topic string, id string").write.parquet(source)
+    stream = spark.readStream.schema("topic string, id string").parquet(source)
+
+    def save(batch, table, batch_id):
+        batch.write.mode("overwrite").parquet(f"{out}/{table}/{batch_id}")
+
+    clicks.write_tables(stream, f"{out}/checkpoint", save)
+    assert tuples(spark.read.parquet(f"{out}/faq_table/0"), "id") == [("0",), ("2",)]
+    assert tuples(spark.read.parquet(f"{out}/details_table/0"), "id") == [("1",)]
+    assert spark.read.parquet(f"{out}/search_table/0").count() == 0
+
+
+def test_only_answered_saves_start_the_time_to_live(spark):
+    saves = spark.sql("""SELECT u user_id, i item_id, CAST(t AS timestamp) timestamp, n FROM VALUES
+        ('u', 'a', '2024-01-01 00:00:00', 1), ('u', 'a', '2024-01-01 00:59:59', 2), ('u', 'a', '2024-01-01 01:00:00', 3),
+        ('u', 'b', '2024-01-01 00:00:00', 4), ('w', 'a', '2024-01-01 00:30:00', 5) v(u, i, t, n)""")
+    neighbours = spark.createDataFrame([("a", [("x", 0.9), ("y", 0.8)]), ("b", [])], "item_id string, neighbours array<struct<recommended_id:string,score:double>>")
+    got = clickstream.fresh_recommendations(saves, neighbours, "n")
+    rows = tuples(got.select("user_id", "source_id", "recommended_id", F.hour("timestamp"), F.minute("timestamp"), "clicked"))
+    assert rows == sorted(
+        (u, "a", r, h, m, False) for u, h, m in [("u", 0, 0), ("u", 1, 0), ("w", 0, 30)] for r in ("x", "y")
+    )

@@ -47,3 +47,10 @@ def test_page_blocks_keep_order_and_pages(spark):
     assert [tuple(r) for r in rows] == [("1", 0, "b"), ("1", 1, "a")]
     links = web.page_links(df.withColumn("h", F.lit('<a href="/q">q</a>')), "i", "u", "h")
     assert links.count() == 3
+
+
+def test_blocks_from_sql(spark):
+    web.register_page_blocks(spark)
+    spark.createDataFrame([(1, "<h1>a</h1><p>b</p>"), (2, None)], "i int, h string").createOrReplaceTempView("fetched")
+    got = spark.sql("SELECT i, position, tag, text FROM fetched, LATERAL page_blocks(h)")
+    assert tuples(got) == [(1, 0, "h1", "a"), (1, 1, "p", "b")]
