@@ -104,4 +104,4 @@ def quarantine_split(t):
        FROM events GROUP BY 1""",
 )
 def quarantine_counts(t):
-    return quality.outcome_summary(*quality.quarantine(_cut(t), "props", _PROPS))
+    return quality.outcome_summary(quality.mark_outcome(_cut(t), "props", _PROPS))

@@ -55,8 +55,8 @@ def lenient_int(c: Column) -> Column:
 
 
 def first_number(c: Column, pattern: str = fv.DECIMAL_PATTERN, type_name: str = "float") -> Column:
-    """The first number in a text; without one the empty match casts to null."""
-    return F.regexp_extract(c, pattern, 1).try_cast(type_name)
+    """The first number in a text; null without one (checked first: a failing cast is slow)."""
+    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, 1).try_cast(type_name))
 
 
 def placeholder_default(c: Column, default: str = fv.NOT_SPECIFIED) -> Column:

@@ -49,10 +49,10 @@ def upsert_edges(
 def edges_of_columns(df: DataFrame, src: str, targets: Mapping[str, str]) -> DataFrame:
     """Unique (src, type, dst) edges of several types from one pass over the rows.
 
-    targets: edge type -> column with its target.  Ends are text.
+    targets: edge type -> column with its target; the columns have one common type.
     """
-    ends = F.array(*[F.struct(F.lit(kind).alias("type"), F.col(c).cast("string").alias("dst")) for kind, c in targets.items()])
-    rows = df.select(F.col(src).cast("string").alias("src"), F.explode(ends).alias("e"))
+    ends = F.array(*[F.struct(F.lit(kind).alias("type"), F.col(c).alias("dst")) for kind, c in targets.items()])
+    rows = df.select(F.col(src).alias("src"), F.explode(ends).alias("e"))
     return rows.select("src", "e.type", "e.dst").where("src is not null and dst is not null").distinct()
 
 

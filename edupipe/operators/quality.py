@@ -58,23 +58,25 @@ def run_stats(df: DataFrame, measures: Mapping[str, Column]) -> DataFrame:
     return row.unpivot([], list(measures), "name", "value")
 
 
+def mark_outcome(df: DataFrame, json: str, schema: T.StructType) -> DataFrame:
+    """Add ``parsed`` and ``outcome``: ``succeeded`` when the JSON fits the schema, else ``failed``."""
+    spot = T.StructType([*schema.fields, T.StructField("__bad", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"}
+    broken = F.col("parsed").isNull() | F.col("parsed.__bad").isNotNull()
+    parsed = df.withColumn("parsed", F.from_json(json, spot, options))
+    return parsed.withColumn("outcome", F.when(broken, "failed").otherwise("succeeded"))
+
+
 def quarantine(df: DataFrame, json: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """(rows whose JSON fits the schema with its fields, rows whose JSON does not)."""
-    spot = T.StructType([*schema.fields, T.StructField("__bad", T.StringType())])
-    parsed = df.withColumn(
-        "__p", F.from_json(json, spot, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"})
-    )
-    broken = F.col("__p").isNull() | F.col("__p.__bad").isNotNull()
-    good = parsed.where(~broken).select(*df.columns, *[F.col(f"__p.{f.name}") for f in schema.fields])
-    return good, parsed.where(broken).select(*df.columns)
+    marked = mark_outcome(df, json, schema)
+    good = marked.where("outcome = 'succeeded'").select(*df.columns, *[F.col(f"parsed.{f.name}") for f in schema.fields])
+    return good, marked.where("outcome = 'failed'").select(*df.columns)
 
 
-def outcome_summary(good: DataFrame, bad: DataFrame) -> DataFrame:
-    counts = [
-        part.agg(F.count("*").alias("n_rows")).select(F.lit(label).alias("outcome"), "n_rows")
-        for label, part in (("succeeded", good), ("failed", bad))
-    ]
-    return counts[0].unionByName(counts[1])
+def outcome_summary(marked: DataFrame) -> DataFrame:
+    """(outcome, n_rows) in one pass."""
+    return marked.groupBy("outcome").agg(F.count("*").alias("n_rows"))
 
 
 def fail_if_none_succeeded(good: DataFrame) -> DataFrame:

@@ -39,15 +39,10 @@ def served(recs: DataFrame, as_of: Column, ttl_seconds: int = fv.CACHE_TTL_SECON
     A user's answer is keyed by user and source; the answer without a user
     (``general``) by source alone.
     """
-    by_user = recs.select(
-        composite_key(fv.CACHE_PREFIX, F.col("user_id"), F.col("source_id")).alias("cache_key"), "timestamp"
-    )
-    general = recs.select(
-        composite_key(fv.CACHE_PREFIX, F.lit(fv.GENERAL_USER), F.col("source_id")).alias("cache_key"), "timestamp"
-    )
+    keys = [composite_key(fv.CACHE_PREFIX, user, F.col("source_id")) for user in (F.col("user_id"), F.lit(fv.GENERAL_USER))]
     age = F.unix_micros(as_of) - F.unix_micros(F.max("timestamp"))
     return (
-        by_user.unionByName(general)
+        recs.select(F.explode(F.array(*keys)).alias("cache_key"), "timestamp")
         .groupBy("cache_key")
         .agg(F.count("*").alias("n_rows"), age.alias("age"))
         .select("cache_key", "n_rows", (F.col("age") < ttl_seconds * 1_000_000).alias("is_cached"))

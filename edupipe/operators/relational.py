@@ -79,27 +79,22 @@ def merge_records(
     Inside a source the last row by its ``order`` wins (columns of the same types
     in every source).  Columns a source does not have are left as they were.
     """
-    columns: list[str] = []
-    for source in sources:
-        columns += [c for c in source.columns if c != key and c not in columns]
+    setters: dict[str, list[int]] = {}
+    for n, source in enumerate(sources):
+        for c in source.columns:
+            if c != key:
+                setters.setdefault(c, []).append(n)
     parts = [
-        source.select(
-            key,
-            *[F.col(c) for c in source.columns if c != key],
-            F.struct(F.lit(n).alias("source"), *[c.alias(f"o{i}") for i, c in enumerate(by)]).alias("__at"),
-            F.array(*[F.lit(c) for c in source.columns]).alias("__sets"),
-        )
+        source.withColumn("__at", F.struct(F.lit(n).alias("source"), *[c.alias(f"o{i}") for i, c in enumerate(by)]))
         for n, (source, by) in enumerate(zip(sources, order, strict=True))
     ]
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part, allowMissingColumns=True)
-    return union.groupBy(key).agg(
-        *[
-            F.max_by(c, F.when(F.array_contains("__sets", c), F.col("__at"))).alias(c)
-            for c in columns
-        ]
-    )
+    last = [
+        F.max_by(c, F.when(F.col("__at.source").isin(numbers), F.col("__at"))).alias(c) for c, numbers in setters.items()
+    ]
+    return union.groupBy(key).agg(*last)
 
 
 def known_keys(df: DataFrame, key: str) -> DataFrame:

@@ -11,7 +11,7 @@ from edupipe import fixed_values as fv
 from edupipe.functions import arrays
 from edupipe.functions.text import lower_trim
 from edupipe.functions.values import email_or_null, enum_or_null, first_number, int_in_range_or_null, lenient_int, reference_value_or_null
-from edupipe.operators import graph, nested
+from edupipe.operators import graph, nested, relational, vectors
 
 # array -> (field that stays unique, greater-is-better fields)
 UNIQUE_FIELDS = {
@@ -134,3 +134,62 @@ def edges(facet_tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         order = [F.col(p) for p in properties]
         out[kind] = graph.upsert_edges(rows, kind, "email", "item", properties, order)
     return out
+
+
+# --- basic records of users and alumni ----------------------------------------
+
+
+def _person(records: DataFrame, extra: Mapping[str, Column]) -> DataFrame:
+    return records.select(
+        F.trim("Email").alias("email"),
+        F.trim("Name").alias("name"),
+        lenient_int(F.col("Age")).alias("age"),
+        F.trim("Gender").alias("gender"),
+        *[c.alias(name) for name, c in extra.items()],
+    ).where("email is not null")
+
+
+def basic_people(users: DataFrame, alumni: DataFrame) -> DataFrame:
+    """One person per email; alumni records overwrite the fields both have."""
+    of_users = _person(users, {"plan": F.trim("Plan")})
+    of_alumni = _person(alumni, {"status": F.trim("Status")})
+    by = [F.col(c) for c in ("name", "age", "gender")]
+    return relational.merge_records([of_users, of_alumni], "email", [by, by])
+
+
+def basic_edges(users: DataFrame, alumni: DataFrame) -> dict[str, DataFrame]:
+    """Where people live, and which scholarship alumni had in which year."""
+    lives = [r.select(F.trim("Email").alias("email"), F.trim("Country").alias("item")) for r in (users, alumni)]
+    held = alumni.select(
+        F.trim("Email").alias("email"),
+        F.trim("Associeted_Scholarship").alias("item"),
+        lenient_int(F.col("Year_Scholarship")).alias("year_recipient"),
+    )
+    return {
+        "LIVES_IN": graph.upsert_edges(lives[0].unionByName(lives[1]), "LIVES_IN", "email", "item"),
+        "HAS_SCHOLARSHIP": graph.upsert_edges(
+            held, "HAS_SCHOLARSHIP", "email", "item", ["year_recipient"], [F.col("year_recipient")]
+        ),
+    }
+
+
+def embedding_index(people: DataFrame, edges: DataFrame, embeddings: DataFrame) -> DataFrame:
+    """(email, embedding, status, scholarship_id): what similar-people searches read.
+
+    embeddings(node, embedding) come from walks; people without one are left out.
+    """
+    marked = graph.person_status(people.select("email"), "email", edges, "src", "dst")
+    return marked.join(
+        embeddings.where("node like 'person:%'").select(F.expr("substring(node, 8)").alias("email"), "embedding"), "email"
+    )
+
+
+def similar_people(index: DataFrame, email: str, k: int = fv.TOP_PEOPLE) -> DataFrame:
+    """The nearest users who are not alumni."""
+    return vectors.top_k(index, "email", "embedding", email, k, F.col("status") == "user")
+
+
+def similar_alumni(index: DataFrame, email: str, scholarship: str, k: int = fv.TOP_PEOPLE) -> DataFrame:
+    """The nearest alumni of a scholarship."""
+    wanted = (F.col("status") == "alumni") & (F.col("scholarship_id") == scholarship)
+    return vectors.top_k(index, "email", "embedding", email, k, wanted)

@@ -15,6 +15,8 @@ from edupipe import fixed_values as fv
 from edupipe.functions import arrays, links, records, sections, text, values
 from edupipe.operators import dedupe, filters, quality, relational
 from edupipe.schemas import STRUCTURED_SCHOLARSHIP
+from edupipe.session import materialise
+from edupipe.sources import readers, writers
 
 
 def trusted(raw: DataFrame, updated: Column | None = None) -> DataFrame:
@@ -167,6 +169,17 @@ def relational_tables(standard: DataFrame, countries: DataFrame) -> dict[str, Da
     }
 
 
+def load_relational(structured: DataFrame, countries: DataFrame, folder: str) -> dict[str, DataFrame]:
+    """Standardise once, write every relational table under ``folder`` and return them as written.
+
+    The standard rows feed six outputs, so they are written to the shared folder first.
+    """
+    tables = relational_tables(materialise(standardised(structured), "standard"), countries)
+    for name, table in tables.items():
+        writers.write_parquet(table, f"{folder}/{name}")
+    return {name: readers.read_parquet(structured.sparkSession, f"{folder}/{name}") for name in tables}
+
+
 def violations(tables: dict[str, DataFrame], countries: DataFrame) -> dict[str, DataFrame]:
     """The declared constraints of the relational tables, each as its violating rows."""
     fields = list(fv.FIELDS_OF_STUDY)

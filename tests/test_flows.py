@@ -150,6 +150,32 @@ def test_facets_and_edges(spark):
     assert union.groupBy("type").count().count() == 5
 
 
+def test_basic_people_to_similar_people(spark):
+    users = spark.createDataFrame([("30", "Peru", " a@x ", "F", "Ann", "free"), ("x", "Peru", "b@x", "M", "Bob", "paid"), ("1", "Peru", None, "M", "No", "paid")], schemas.BASIC_USER)
+    alumni = spark.createDataFrame([("31.0", "Grant", "Chile", "a@x", None, "Anna", "Alumni", "2020")], schemas.BASIC_ALUMNI)
+    assert tuples(people.basic_people(users, alumni), "email", "name", "age", "gender", "plan", "status") == sorted(
+        [("a@x", "Anna", 31, None, "free", "Alumni"), ("b@x", "Bob", None, "M", "paid", None)], key=repr
+    )
+    edges = people.basic_edges(users, alumni)
+    assert tuples(edges["LIVES_IN"], "src", "dst") == [("a@x", "Chile"), ("a@x", "Peru"), ("b@x", "Peru")]
+    assert tuples(edges["HAS_SCHOLARSHIP"]) == [("a@x", "HAS_SCHOLARSHIP", "Grant", 2020)]
+    vectors = spark.createDataFrame([("person:a@x", [1.0, 0.0]), ("person:b@x", [0.9, 0.1]), ("LIVES_IN:Peru", [1.0, 1.0])], "node string, embedding array<double>")
+    index = people.embedding_index(people.basic_people(users, alumni), edges["HAS_SCHOLARSHIP"], vectors)
+    assert tuples(index, "email", "status", "scholarship_id") == sorted([("a@x", "alumni", "Grant"), ("b@x", "user", None)], key=repr)
+    assert tuples(people.similar_people(index, "a@x"), "email") == [("b@x",)]
+    assert tuples(people.similar_alumni(index, "b@x", "Grant"), "email") == [("a@x",)]
+    assert people.similar_alumni(index, "b@x", "Other").count() == 0
+
+
+def test_load_relational_writes_every_table(spark):
+    countries = spark.createDataFrame([(1, "Germany")], "country_id int, name string")
+    tables = scholarships.load_relational(_structured(spark), countries, fresh_path(spark, "tables"))
+    assert {name: t.count() for name, t in tables.items()} == {
+        "scholarship_filter": 1, "scholarship_info": 1, "program_country": 1, "origin_country": 0,
+        "scholarship_field_of_study": 1, "rejected": 1,
+    }
+
+
 def test_clean_pending_days(spark):
     source, out = fresh_path(spark, "source"), fresh_path(spark, "out")
     header = "id,user_id,timestamp,page,clicked_element,clicked_parameter,duration,location"

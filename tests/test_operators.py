@@ -149,7 +149,7 @@ def test_quarantine(spark):
     good, bad = quality.quarantine(df, "j", schema)
     assert tuples(good, "i", "k") == sorted([(1, 5), (5, None)], key=repr)
     assert tuples(bad, "i") == [(2,), (3,), (4,)]
-    assert tuples(quality.outcome_summary(good, bad)) == [("failed", 3), ("succeeded", 2)]
+    assert tuples(quality.outcome_summary(quality.mark_outcome(df, "j", schema))) == [("failed", 3), ("succeeded", 2)]
     with pytest.raises(RuntimeError):
         quality.fail_if_none_succeeded(good.where("false"))
 
