@@ -12,7 +12,8 @@ def page_blocks(t):
     return web.page_blocks(t.pages, "page_id", "url", "url", "html")
 
 
-_TEXT = "trim(replace(replace(replace(regexp_replace({}, '<[^>]*>', '', 'g'), '&quot;', '\"'), '&lt;', '<'), '&amp;', '&'))"
+# As in HTML, an entity may lack its semicolon.
+_TEXT = "trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace({}, '<[^>]*>', '', 'g'), '&quot;?', '\"', 'g'), '&lt;?', '<', 'g'), '&amp;?', '&', 'g'))"
 
 
 @query(

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edupipe import fixed_values as fv
+from edupipe.operators.quality import duplicate_keys
 
 
 def upsert_nodes(
@@ -32,6 +33,11 @@ def upsert_nodes(
     return nodes.select("label", "key", *properties)
 
 
+def repeated_nodes(nodes: DataFrame) -> DataFrame:
+    """(label, key, n) of node keys that are not unique within their label."""
+    return duplicate_keys(nodes, ["label", "key"])
+
+
 def upsert_edges(
     df: DataFrame, kind: str, src: str, dst: str, properties: Sequence[str] = (), order: Sequence[Column] = ()
 ) -> DataFrame:

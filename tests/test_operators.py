@@ -168,6 +168,13 @@ def test_upserts(spark):
     assert tuples(graph.upsert_edges(rows, "T", "s", "d", ["n"], [F.col("n")])) == [("a", "T", "x", 2)]
 
 
+def test_upserted_nodes_are_unique(spark):
+    df = spark.createDataFrame([("a", 1), (" a", 2), ("b", 3)], "k string, n int")
+    nodes = graph.upsert_nodes(df, "Skill", "k")
+    assert graph.repeated_nodes(nodes).count() == 0
+    assert tuples(graph.repeated_nodes(nodes.union(nodes))) == [("Skill", "a", 2), ("Skill", "b", 2)]
+
+
 def test_common_neighbours(spark):
     edges = _edges(spark, [
         ("t", "HAS_SKILL", "py"), ("t", "SPEAKS", "en"), ("t", "LIVES_IN", "de"),
