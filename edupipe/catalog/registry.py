@@ -16,6 +16,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
@@ -26,7 +27,9 @@ class Tables:
         return self.spark.readStream.schema(getattr(self, name).schema).parquet(pattern)
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(self.path(name))
+        return self._read[name]
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

@@ -7,7 +7,7 @@ from edupipe.catalog.registry import query
 from edupipe.functions.text import composite_key
 from edupipe.operators import recommend, vectors
 from edupipe.plans import clickstream, shapes
-from edupipe.session import fresh_path
+from edupipe.session import fresh_path, materialise
 from edupipe.sources import writers
 from edupipe.streaming import clicks, ttl
 
@@ -95,7 +95,7 @@ def stream_recommend(t):
     table = vectors.knn_table(open_items, "vec_id", "embedding", fv.TOP_ITEMS, queries=t.embeddings)
     table = table.withColumns({"vec_id": F.col("vec_id").cast("string"), "recommended_id": F.col("recommended_id").cast("string")})
     out = fresh_path(t.spark, "recommendations")
-    lists = vectors.neighbour_lists(table, "vec_id")
+    lists = materialise(vectors.neighbour_lists(table, "vec_id"), "neighbours")  # every micro batch reads it
     hits = clicks.recommend(clicks.save_clicks(clicks.decode(_streamed(t))), lists)
     clicks.write_stream(hits, f"{out}/rows", f"{out}/checkpoint")
     rows = t.spark.read.parquet(f"{out}/rows")
@@ -152,7 +152,7 @@ def recommend_fresh(t):
     """Saves and detail clicks, at most one answer per user and item in ten days."""
     open_items = t.embeddings.where("label % 2 = 0")
     table = vectors.knn_table(open_items, "vec_id", "embedding", fv.TOP_ITEMS, queries=t.embeddings)
-    lists = vectors.neighbour_lists(table.withColumn("vec_id", F.col("vec_id").cast("string")), "vec_id")
+    lists = materialise(vectors.neighbour_lists(table.withColumn("vec_id", F.col("vec_id").cast("string")), "vec_id"), "neighbours")
     saves = t.events.where("event_type IN ('purchase', 'click')").select(
         F.col("user_id").cast("string").alias("user_id"), F.get_json_object("props", "$.k").alias("item_id"),
         F.col("ts").cast("timestamp").alias("timestamp"), "event_id",

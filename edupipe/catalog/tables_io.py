@@ -138,8 +138,8 @@ def coerce_to_schema(t):
             T.StructField("container", T.StringType()),
         ]
     )
-    rows = t.events.select("event_id", json.alias("json"))
-    coerced = rows.select("event_id", *records.coerce_to_schema(F.col("json"), schema))
+    rows = t.events.select("event_id", records.parse_object(json, schema).alias("object"))
+    coerced = rows.select("event_id", *records.coerced_fields(F.col("object"), schema))
     return coerced.withColumns(
         {"tags": F.array_join("tags", ","), "extra": F.coalesce(F.try_element_at("extra", F.lit("a")), F.lit("-"))}
     )

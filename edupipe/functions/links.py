@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from edupipe import fixed_values as fv
+from edupipe.functions.text import filled
 
 
 def _address_pattern(start: str, domains: Sequence[str]) -> str:
@@ -44,7 +45,7 @@ def extract_websites(
     for word in special_words:
         named = named | F.contains(F.lower(text), F.lit(word))
     return F.coalesce(
-        F.nullif(joined, F.lit("")), F.when(named, F.lit(special_default)), F.lit(fv.NOT_SPECIFIED)
+        filled(joined), F.when(named, F.lit(special_default)), F.lit(fv.NOT_SPECIFIED)
     )
 
 

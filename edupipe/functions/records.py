@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from edupipe import fixed_values as fv
-from edupipe.functions.text import lower_trim, strip_all
+from edupipe.functions.text import filled, strip_all
 
 
 def json_array_to_text(c: Column) -> Column:
@@ -20,7 +20,7 @@ def json_array_to_text(c: Column) -> Column:
 
 def embedded_json(c: Column) -> Column:
     """The widest ``{...}`` inside a text; null when there is none."""
-    return F.nullif(F.regexp_extract(c, r"(?s)\{.*\}", 0), F.lit(""))
+    return filled(F.regexp_extract(c, r"(?s)\{.*\}", 0))
 
 
 def map_to_json(m: Column) -> Column:
@@ -31,31 +31,33 @@ def values_as_text(m: Column) -> Column:
     return F.transform_values(m, lambda _, v: v.cast("string"))
 
 
-def _json_field(json: Column, field: T.StructField, default: str) -> Column:
-    """One field of a JSON object as its declared type.
+def parse_object(json: Column, schema: T.StructType) -> Column:
+    """The declared fields of a JSON object as texts, in one parse; containers keep their JSON."""
+    return F.from_json(json, T.StructType([T.StructField(name, T.StringType()) for name in schema.names]))
 
-    A wrong container gives an empty one; containers in a text field stay JSON;
-    null and empty text become the default.
-    """
-    raw = F.get_json_object(json, f"$['{field.name}']")
-    if isinstance(field.dataType, (T.ArrayType, T.MapType)):
-        opening = "[" if isinstance(field.dataType, T.ArrayType) else "{"
-        empty = F.array() if opening == "[" else F.create_map()
-        value = F.when(F.startswith(F.ltrim(raw), F.lit(opening)), F.from_json(raw, field.dataType))
-        return F.coalesce(value, empty.cast(field.dataType))
-    if isinstance(field.dataType, T.StringType):
+
+def _coerced(raw: Column, data_type: T.DataType, default: str) -> Column:
+    if isinstance(data_type, (T.ArrayType, T.MapType)):
+        opening, empty = ("[", F.array()) if isinstance(data_type, T.ArrayType) else ("{", F.create_map())
+        value = F.when(F.startswith(raw, F.lit(opening)), F.from_json(raw, data_type))
+        return F.coalesce(value, empty.cast(data_type))
+    if isinstance(data_type, T.StringType):
         return F.coalesce(F.nullif(raw, F.lit("")), F.lit(default))
-    return raw.try_cast(field.dataType)
+    return raw.try_cast(data_type)
 
 
-def coerce_to_schema(json: Column, schema: T.StructType, default: str = fv.NOT_SPECIFIED) -> Sequence[Column]:
-    """One column per declared field, read leniently from a JSON object."""
-    return [_json_field(json, f, default).alias(f.name) for f in schema.fields]
+def coerced_fields(parsed: Column, schema: T.StructType, default: str = fv.NOT_SPECIFIED) -> Sequence[Column]:
+    """One column per declared field of a :func:`parse_object` result.
+
+    A wrong container gives an empty one; containers in a text field stay JSON;
+    null and empty text become the default; other types are cast or null.
+    """
+    return [_coerced(parsed[f.name], f.dataType, default).alias(f.name) for f in schema.fields]
 
 
 def field_or(json: Column, name: str, fallback: Column) -> Column:
     """A text field of a JSON object, or the fallback when it is missing or empty."""
-    return F.coalesce(F.nullif(F.get_json_object(json, f"$['{name}']"), F.lit("")), fallback)
+    return F.coalesce(filled(F.get_json_object(json, f"$['{name}']")), fallback)
 
 
 def deterministic_id(parts: Sequence[Column]) -> Column:
@@ -74,11 +76,3 @@ def id_list(a: Column) -> Column:
 
 def scholarship_id(name: Column, countries: Column, level: Column, codes: Column) -> Column:
     return deterministic_id([id_text(name), id_list(countries), id_text(level), id_list(codes)])
-
-
-def lookup_key(c: Column) -> Column:
-    return lower_trim(c)
-
-
-def constant_map(values: Mapping[str, str]) -> Column:
-    return F.create_map(*[F.lit(v) for pair in values.items() for v in pair])

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from edupipe import fixed_values as fv
 from edupipe.functions.values import first_number, map_value
+from edupipe.operators.skew import salted_join
 
 
 def best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int = 1) -> DataFrame:
@@ -87,10 +88,7 @@ def group_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def count_back(df: DataFrame, keys: Sequence[str], counted: str, into: str) -> DataFrame:
     """Each row with the number of non-null ``counted`` values of its group.
 
-    The counts are pre-aggregated and joined back; unlike a window this never
-    sorts a whole group in one task, and AQE splits a skewed side.
+    The counts are pre-aggregated and joined back, heavy groups by salt; unlike a
+    window this never holds a whole group in one task.
     """
-    right = [F.col(k).alias(f"__{k}") for k in keys]
-    counts = df.groupBy(*right).agg(F.count(counted).alias(into))
-    match = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    return df.join(counts, match, "left").drop(*[f"__{k}" for k in keys])
+    return salted_join(df, df.groupBy(*keys).agg(F.count(counted).alias(into)), keys, "left", null_safe=True)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from edupipe import fixed_values as fv
 from edupipe.operators.quality import duplicate_keys
+from edupipe.operators.relational import having_any
 
 
 def upsert_nodes(
@@ -79,17 +80,17 @@ def top_targets(edges: DataFrame, n: int, name: str, count: str) -> DataFrame:
 
 
 def _people_with(edges: DataFrame, item) -> DataFrame:
-    return edges.where(F.col("dst") == item).select("src").distinct()
+    return edges.where(F.col("dst") == item).select("src")
 
 
 def top_targets_for_item(item_edges: DataFrame, item, target_edges: DataFrame, n: int, name: str, count: str) -> DataFrame:
     """Where the people with ``item`` point to through another edge type, the ``n`` most common."""
-    return top_targets(target_edges.join(_people_with(item_edges, item), "src", "left_semi"), n, name, count)
+    return top_targets(having_any(target_edges, "src", _people_with(item_edges, item), "src"), n, name, count)
 
 
 def related_items(edges: DataFrame, item, n: int, name: str, count: str) -> DataFrame:
     """Items that occur most often with ``item`` at the same person."""
-    others = edges.where(F.col("dst") != item).join(_people_with(edges, item), "src", "left_semi")
+    others = having_any(edges.where(F.col("dst") != item), "src", _people_with(edges, item), "src")
     return top_targets(others, n, name, count)
 
 

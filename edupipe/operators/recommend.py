@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from edupipe import fixed_values as fv
 from edupipe.functions.text import composite_key
 from edupipe.operators.dedupe import best_per_key
+from edupipe.operators.skew import salted_join
 
 
 def latest_per_source(recs: DataFrame, user, n: int = fv.TOP_ITEMS) -> DataFrame:
@@ -68,7 +69,7 @@ def mark_clicked(recs: DataFrame, clicks: DataFrame) -> DataFrame:
     """
     seen = clicks.select("user_id", "recommended_id").distinct().withColumn("__seen", F.lit(True))
     return (
-        recs.join(seen, ["user_id", "recommended_id"], "left")
+        salted_join(recs, seen, ["user_id", "recommended_id"], "left")
         .withColumn("clicked", F.coalesce("clicked", F.lit(False)) | F.coalesce("__seen", F.lit(False)))
         .drop("__seen")
         .select(*recs.columns)

@@ -1,0 +1,54 @@
+"""Joins of many rows with one row per key, when some keys are very common."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+SHARES = 1000
+
+
+def _same(keys: Sequence[str], prefix: str) -> list[Column]:
+    return [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys]
+
+
+def heavy_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys (null included) with more than 1/SHARES of all rows, and how many shares they hold.
+
+    There are fewer than SHARES of them, so the result can always be broadcast.
+    """
+    total = rows.agg(F.count("*")).scalar()
+    counted = rows.groupBy(*[F.col(k).alias(f"__h_{k}") for k in keys]).agg(F.count("*").alias("n"))
+    shares = F.ceil(F.col("n") * SHARES / total)
+    return counted.where(F.col("n") * SHARES > total).select(*[f"__h_{k}" for k in keys], shares.alias("__shares"))
+
+
+def _spread(rows: DataFrame) -> Column:
+    """A number that differs between rows and, for equal rows, between input partitions;
+    a task that runs again gives the same."""
+    plain = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.xxhash64(F.spark_partition_id(), *plain)
+
+
+def salted_join(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str, null_safe: bool = False) -> DataFrame:
+    """``rows`` joined (left, left_semi, left_anti, inner) with at most one ``lookup`` row per key.
+
+    The rows of a heavy key are dealt out over as many salts as it holds shares,
+    its lookup row is repeated for each; all other keys join as usual.  So no task
+    gets more than about 1/SHARES of the rows because of one key.  (AQE alone does not
+    split a join whose other side comes straight from an aggregation.)
+    """
+    heavy = F.broadcast(heavy_keys(rows, keys))  # fewer than SHARES rows
+    helpers = [f"__h_{k}" for k in keys]
+    dealt = rows.withColumn("__spread", _spread(rows)).join(heavy, _same(keys, "__h_"), "left")
+    salt = F.coalesce(F.pmod("__spread", "__shares"), F.lit(0).cast("long"))
+    left = dealt.withColumn("__salt", salt).drop("__spread", "__shares", *helpers)
+    repeats = F.sequence(F.lit(0).cast("long"), F.coalesce("__shares", F.lit(1).cast("long")) - 1)
+    right = lookup.join(heavy, _same(keys, "__h_"), "left").withColumn("__r_salt", F.explode(repeats)).drop("__shares", *helpers)
+    right = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    match = _same(keys, "__r_") if null_safe else [F.col(k) == F.col(f"__r_{k}") for k in keys]
+    joined = left.join(right, [*match, F.col("__salt") == F.col("__r_salt")], how)
+    return joined.drop("__salt", "__r_salt", *[f"__r_{k}" for k in keys])

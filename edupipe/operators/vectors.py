@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from edupipe import fixed_values as fv
 from edupipe.operators.dedupe import best_per_key
+from edupipe.operators.skew import salted_join
 
 # --- expressions -------------------------------------------------------------
 
@@ -257,10 +258,14 @@ def knn_table(
         enough,
     )
 
-    answered = query_units.join(distinct.withColumnRenamed("id", "first"), "u").select("id", "first")
-    hits = answered.join(found.withColumnRenamed("id", "first"), "first").where("id != recommended_id")
-    top = best_per_key(hits, ["id"], [F.desc("score"), F.asc("recommended_id")], k)
-    return top.select(F.col("id").alias(key), "recommended_id", "score")
+    # One list of k+1 per distinct vector; every item takes it without itself.
+    hit = F.struct((-F.col("score")).alias("order"), "recommended_id", "score")
+    lists = found.groupBy("id").agg(F.sort_array(F.collect_list(hit)).alias("hits"))
+    by_vector = distinct.join(lists, "id").select("u", "hits")
+    answered = salted_join(query_units, by_vector, ["u"], "inner")
+    others = F.filter("hits", lambda h: h["recommended_id"] != F.col("id"))
+    top = answered.select("id", F.explode(F.slice(others, 1, k)).alias("h"))
+    return top.select(F.col("id").alias(key), "h.recommended_id", "h.score")
 
 
 def neighbour_lists(table: DataFrame, key: str, item: str = "item_id") -> DataFrame:

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from edupipe import fixed_values as fv
 from edupipe.functions import arrays, links, records, sections, text, values
@@ -68,24 +69,30 @@ def prompts(grouped_rows: DataFrame, template: str, sections_of: Sequence[tuple[
     return grouped_rows.withColumn("prompt", text.fill_template(template, payload))
 
 
+def _parsed_answers(answers: DataFrame, wanted: T.StructType) -> DataFrame:
+    """Answers with the JSON object found in their text; those without one are left out."""
+    found = answers.withColumn("json", records.embedded_json(F.col("answer"))).where("json is not null")
+    return found.withColumn("object", records.parse_object(F.col("json"), wanted))
+
+
 def structured_from_pages(answers: DataFrame, updated: Column) -> DataFrame:
     """Answers (project, main_link, answer text) to structured scholarships.
 
     The JSON inside the answer is read leniently; name and website fall back to
     the project and its page.  Answers without JSON are left out.
     """
-    found = answers.withColumn("json", records.embedded_json(F.col("answer"))).where("json is not null")
-    schema_fields = [f for f in STRUCTURED_SCHOLARSHIP.fields if f.name != "scholarship_id"]
-    coerced = found.select(
-        "project", "main_link", "json", *records.coerce_to_schema(F.col("json"), type(STRUCTURED_SCHOLARSHIP)(schema_fields))
-    )
+    wanted = T.StructType([f for f in STRUCTURED_SCHOLARSHIP.fields if f.name != "scholarship_id"])
+    found = _parsed_answers(answers, wanted)
+    coerced = found.select("project", "main_link", "object", *records.coerced_fields(F.col("object"), wanted))
+
+    def given_or(name: str, fallback: Column) -> Column:
+        return F.coalesce(F.nullif(F.col("object")[name], F.lit("")), fallback)
+
     filled = coerced.withColumns(
         {
-            "scholarship_name": records.field_or(F.col("json"), "scholarship_name", F.col("project")),
-            "website": records.field_or(F.col("json"), "website", F.col("main_link")),
-            "last_updated_utc": records.field_or(
-                F.col("json"), "last_updated_utc", F.date_format(updated, fv.DATE_TIME_FORMAT)
-            ),
+            "scholarship_name": given_or("scholarship_name", F.col("project")),
+            "website": given_or("website", F.col("main_link")),
+            "last_updated_utc": given_or("last_updated_utc", F.date_format(updated, fv.DATE_TIME_FORMAT)),
         }
     )
     return filled.withColumn(
@@ -107,8 +114,8 @@ def structured_from_trusted(answers: DataFrame) -> DataFrame:
 
     Descriptive columns come from the row, the others from the JSON in the answer.
     """
-    found = answers.withColumn("json", records.embedded_json(F.col("answer"))).where("json is not null")
-    wanted = type(STRUCTURED_SCHOLARSHIP)([STRUCTURED_SCHOLARSHIP[c] for c in EXTRACTED])
+    wanted = T.StructType([STRUCTURED_SCHOLARSHIP[c] for c in EXTRACTED])
+    found = _parsed_answers(answers, wanted)
     own_id = records.deterministic_id(
         [records.id_text(F.col(c)) for c in ("scholarship_name", "program_country", "program_level", "fields_of_study")]
     )
@@ -119,7 +126,7 @@ def structured_from_trusted(answers: DataFrame) -> DataFrame:
         F.array("program_country").alias("program_country"),
         F.col("origin_countries").alias("origin_country"),
         *["program_level", "required_level", "intake", "documents", "website", "last_updated_utc"],
-        *records.coerce_to_schema(F.col("json"), wanted, default=""),
+        *records.coerced_fields(F.col("object"), wanted, default=""),
     ).select(*STRUCTURED_SCHOLARSHIP.names)
 
 

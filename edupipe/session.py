@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +52,24 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/edupipe-{label}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def bucketed(df: DataFrame, label: str, columns: list[str]) -> Iterator[DataFrame]:
+    """Write ``df`` once, bucketed by ``columns``: repeated joins on them do not shuffle it again.
+
+    The catalog entry is gone after the block; the files stay in the shared folder.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = fresh_path(spark, label)
+    table = f"edupipe_{label}_{path.rsplit('-', 1)[1]}"
+    writer = df.repartition(buckets, *columns).write.bucketBy(buckets, *columns)
+    writer.option("path", path).saveAsTable(table)
+    try:
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edupipe import fixed_values as fv
-from edupipe.functions.text import after_label
+from edupipe.functions.text import after_label, filled
 from edupipe.schemas import CLICK_EVENT
 
 
@@ -58,7 +58,7 @@ def save_clicks(events: DataFrame) -> DataFrame:
     item = after_label(F.col("clicked_parameter"), fv.ITEM_LABEL)
     return (
         events.where((F.col("topic") == fv.SAVE_TOPIC) & (F.trim(element) == fv.SAVE_ELEMENT))
-        .withColumn("item_id", F.nullif(item, F.lit("")))
+        .withColumn("item_id", filled(item))
         .where(F.col("item_id").isNotNull())
     )
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from edupipe import fixed_values as fv
-from edupipe.operators import dedupe, filters, graph, nested, quality, recommend, relational
+from edupipe.operators import dedupe, filters, graph, nested, quality, recommend, relational, skew
 
 # --- filters ------------------------------------------------------------------
 
@@ -79,6 +79,25 @@ def test_counts(spark):
     assert tuples(dedupe.group_counts(df.where("false"), ["k"])) == [(0, 0, 0)]
 
 
+@pytest.mark.parametrize("how", ["left", "left_semi", "left_anti", "inner"])
+def test_salted_join_equals_a_plain_join(spark, how):
+    rows = [(k, i % 7) for i in range(600) for k in (["hot", None] if i % 2 else ["hot", f"k{i}"])]
+    left = spark.createDataFrame(rows, "k string, v int").repartition(6)
+    right = spark.createDataFrame([("hot", 1), ("k4", 2), ("k8", 3), ("zz", 4), (None, 5)], "k string, w int")
+    plain = left.join(right, "k", how)
+    assert tuples(skew.salted_join(left, right, ["k"], how), *plain.columns) == tuples(plain)
+    heavy = {r["__h_k"]: r["__shares"] for r in skew.heavy_keys(left, ["k"]).collect()}
+    assert heavy["hot"] == 500 and heavy[None] == 250
+
+
+def test_rows_of_a_heavy_key_are_dealt_out(spark):
+    left = spark.range(0, 40_000, 1, 8).select(F.lit("hot").alias("k"), (F.col("id") % 3).alias("v"))
+    joined = skew.salted_join(left, spark.createDataFrame([("hot", 1)], "k string, w int"), ["k"], "left")
+    assert joined.count() == 40_000
+    spread = left.withColumn("s", F.pmod(skew._spread(left), F.lit(1000))).agg(F.count_distinct("s")).first()[0]
+    assert spread >= 20  # 3 distinct rows in 8 partitions
+
+
 # --- arrays across rows ---------------------------------------------------------
 
 
