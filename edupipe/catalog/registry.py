@@ -17,6 +17,7 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder.rstrip("/")
         self._read: dict[str, DataFrame] = {}
+        spark.conf.set("spark.sql.session.timeZone", "UTC")  # the tables hold times without a zone
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"

@@ -61,6 +61,11 @@ def write_history(df: DataFrame, path: str, kind: str, ts: str) -> None:
     dated.hint("rebalance", F.col(kind), F.col("dt")).write.mode("append").partitionBy(kind, "dt").parquet(path)
 
 
+def publish(messages: DataFrame, servers: str) -> None:
+    """Send (topic, key, value) messages, each to its own topic (needs Spark's Kafka package)."""
+    messages.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
+
+
 def keyed_messages(df: DataFrame, topic: str, key: str, columns: Sequence[str]) -> DataFrame:
     """(topic, key, value) messages: the key and the whole record as JSON, both UTF-8 bytes."""
     return df.select(
