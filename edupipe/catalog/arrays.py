@@ -13,7 +13,7 @@ from edupipe.plans.people import standardise
 
 def _words(t, *fields):
     """doc_id and its words as structs."""
-    return t.documents.select("doc_id", shapes.piece_structs(F.split("text", " "), *fields).alias("words"))
+    return t.spread("documents").select("doc_id", shapes.piece_structs(F.split("text", " "), *fields).alias("words"))
 
 
 def _listed(df, *fields):
@@ -72,7 +72,7 @@ def nested_transform(t):
     def line(x):
         return F.struct(F.length(x).alias("company"), F.transform(F.split(x, " "), word).alias("designations"))
 
-    rebuilt = t.documents.select("doc_id", F.transform(F.split("text", "\n"), line).alias("experiences"))
+    rebuilt = t.spread("documents").select("doc_id", F.transform(F.split("text", "\n"), line).alias("experiences"))
     shown = F.transform(
         "experiences",
         lambda e: F.concat(
@@ -97,7 +97,7 @@ def nested_transform(t):
 )
 def explode_keep_empty(t):
     with_at = F.filter(F.split("text", " "), lambda w: F.contains(w, F.lit("@")))
-    rows = nested.explode_keep_empty(t.documents.select("doc_id", with_at.alias("words")), "words", "word")
+    rows = nested.explode_keep_empty(t.spread("documents").select("doc_id", with_at.alias("words")), "words", "word")
     return rows.select("doc_id", F.coalesce("word", F.lit("-")).alias("word"))
 
 
@@ -117,7 +117,7 @@ def facet_two_level(t):
         roles = F.transform(F.split(x, " "), lambda w: F.struct(F.lower(F.trim(w)).alias("role")))
         return F.struct(F.length(x).alias("company"), roles.alias("designations"))
 
-    nested_lines = t.documents.select("doc_id", F.transform(F.split("text", "\n"), line).alias("experiences"))
+    nested_lines = t.spread("documents").select("doc_id", F.transform(F.split("text", "\n"), line).alias("experiences"))
     return nested.facet_two_level(
         nested_lines, "doc_id", "experiences", "designations", {"company_name": "company"}, {"role": "role"}
     )
@@ -161,7 +161,7 @@ def fill_from_longest(t):
        FROM (SELECT string_split(text, ' ') AS words FROM documents) ORDER BY 1 DESC, 2 DESC LIMIT 1""",
 )
 def argmax_array(t):
-    longest = arrays.longest_array(t.documents.select(F.split("text", " ").alias("words")), "words")
+    longest = arrays.longest_array(t.spread("documents").select(F.split("text", " ").alias("words")), "words")
     return longest.select(F.size("words").alias("n_words"), F.array_join("words", ",").alias("words"))
 
 
@@ -187,7 +187,7 @@ def argmax_array(t):
               GROUP BY doc_id) e ON e.doc_id = d.doc_id""",
 )
 def standardise_profile(t):
-    profiles = shapes.profiles(t.documents)
+    profiles = shapes.profiles(t.spread("documents"))
     countries = t.spark.createDataFrame([("Germany",), ("France",), ("Spain",)], "name string")
     clean = standardise(profiles, countries, "name")
     return clean.select(

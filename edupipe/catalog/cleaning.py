@@ -262,7 +262,7 @@ _MAIL_PATTERN = r"^[a-zA-Z0-9_.+-]+@mail[1-5]\.example\.(com|org|net|edu)$"
          FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{_ADDRESS}')) AS address FROM documents)""",
 )
 def validate_email(t):
-    found = t.documents.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(_ADDRESS), 0)).alias("address"))
+    found = t.spread("documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(_ADDRESS), 0)).alias("address"))
     return found.select(
         "doc_id",
         "address",

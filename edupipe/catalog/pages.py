@@ -9,7 +9,7 @@ from edupipe.operators import web
 
 @query("page_blocks")
 def page_blocks(t):
-    return web.page_blocks(t.pages, "page_id", "url", "url", "html")
+    return web.page_blocks(t.spread("pages"), "page_id", "url", "url", "html")
 
 
 # As in HTML, an entity may lack its semicolon.
@@ -25,7 +25,7 @@ _TEXT = "trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace({}, '<
         WHERE text <> ''""",
 )
 def page_headings(t):
-    blocks = web.page_blocks(t.pages, "page_id", "url", "url", "html")
+    blocks = web.page_blocks(t.spread("pages"), "page_id", "url", "url", "html")
     return blocks.where(F.col("tag").isin("h1", "li")).select("project", "tag", "text")
 
 
@@ -36,7 +36,7 @@ def page_headings(t):
        WHERE link <> url AND NOT contains(link, '#')""",
 )
 def page_links(t):
-    found = web.page_links(t.pages, "page_id", "url", "html")
+    found = web.page_links(t.spread("pages"), "page_id", "url", "html")
     return found.select("page_id", F.explode("links").alias("link"))
 
 
@@ -54,7 +54,7 @@ def links_with_main(t):
     bare = F.regexp_replace("url", "/+$", "")
     # Every other page lists its own address already, with a trailing slash.
     own = F.when(F.col("page_id") % 2 == 0, F.array(F.concat(bare, F.lit("/")))).otherwise(F.array().cast("array<string>"))
-    linked = t.pages.select("page_id", with_main_link(F.concat(own, _hrefs()), bare).alias("links"))
+    linked = t.spread("pages").select("page_id", with_main_link(F.concat(own, _hrefs()), bare).alias("links"))
     return linked.select(
         "page_id", F.size("links").cast("long").alias("num_subpages"), F.array_join(F.array_sort("links"), " ").alias("links")
     )
@@ -67,7 +67,7 @@ def links_with_main(t):
        WHERE NOT contains(link, '#')""",
 )
 def link_counts(t):
-    linked = t.pages.select("page_id", "url", F.concat(_hrefs(), F.array("url")).alias("links"))
+    linked = t.spread("pages").select("page_id", "url", F.concat(_hrefs(), F.array("url")).alias("links"))
     rows = web.link_rows(linked, "page_id", "url", "links", "#")
     return rows.select("page_id", "link", F.col("num_subpages").cast("long").alias("num_subpages"))
 
@@ -79,4 +79,4 @@ def link_counts(t):
        WHERE trim(regexp_extract(a, '>([^<]*)</a>', 1)) <> '' AND regexp_extract(a, 'href="([^"]*)"', 1) <> ''""",
 )
 def page_anchors(t):
-    return web.anchors(t.pages, "page_id", "html")
+    return web.anchors(t.spread("pages"), "page_id", "html")

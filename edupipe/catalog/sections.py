@@ -42,7 +42,7 @@ def extract_section(t):
         "\nApplication Deadline\n31/12/2025",
     )
     o, none = F.col("o"), F.lit(None).cast("string")
-    return t.documents.select("doc_id", overview.alias("o")).select(
+    return t.spread("documents").select("doc_id", overview.alias("o")).select(
         "doc_id",
         sections.description(o).alias("description"),
         sections.duration(o).alias("duration"),
@@ -78,7 +78,7 @@ def extract_section_fallback(t):
     overview = F.when(lang.isin("fr", "es"), F.concat("text", tail)).otherwise(F.col("text"))
     requirements = F.when(lang == "en", " B2 ").when(lang == "fr", "N/A")
     p, o = F.col("p"), F.col("o")
-    return t.documents.select("doc_id", procedure.alias("p"), overview.alias("o"), requirements.alias("r")).select(
+    return t.spread("documents").select("doc_id", procedure.alias("p"), overview.alias("o"), requirements.alias("r")).select(
         "doc_id",
         sections.deadline(p, o).alias("deadline"),
         sections.documents(p, o).alias("documents"),
@@ -103,6 +103,6 @@ def extract_urls(t):
         ))
         .when(kind == 2, "Ask for BAföG")
     )
-    return t.pages.select(
+    return t.spread("pages").select(
         "page_id", links.extract_websites([contact, F.col("html"), F.col("url"), F.lit("")]).alias("website")
     )

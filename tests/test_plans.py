@@ -5,6 +5,7 @@ from conftest import FOLDER
 from helpers import plan_of
 
 from edupipe.catalog import QUERIES
+from edupipe.catalog.registry import Tables
 
 KEEPS_ONE_PER_KEY = ["dedupe_keyed", "keep_highest_rank", "keep_latest", "keep_longest", "latest_per_source", "vector_knn_table"]
 STAYS_IN_ITS_ROW = ["nested_dedupe", "nested_keep_highest", "nested_keep_latest", "nested_keep_longest", "nested_transform", "extract_section", "extract_urls", "link_counts"]
@@ -24,4 +25,13 @@ def test_rows_per_key_are_cut_before_the_shuffle(spark, name):
 
 @pytest.mark.parametrize("name", STAYS_IN_ITS_ROW)
 def test_array_and_text_work_needs_no_shuffle(spark, name):
-    assert "Exchange" not in plan_of(QUERIES[name](spark, FOLDER))
+    """But for dealing out the rows of a small file."""
+    plan = plan_of(QUERIES[name](spark, FOLDER))
+    assert "hashpartitioning" not in plan and "rangepartitioning" not in plan
+    assert plan.count("Exchange") == plan.count("Exchange RoundRobinPartitioning") <= 1
+
+
+def test_a_table_with_enough_partitions_is_not_dealt_out(spark):
+    tables = Tables(spark, FOLDER)
+    tables._read["documents"] = spark.range(0, 100, 1, spark.sparkContext.defaultParallelism)
+    assert "Exchange" not in plan_of(tables.spread("documents"))
