@@ -98,8 +98,3 @@ def merge_records(
         F.max_by(c, F.when(F.col("__at.source").isin(numbers), F.col("__at"))).alias(c) for c, numbers in setters.items()
     ]
     return union.groupBy(key).agg(*last)
-
-
-def known_keys(df: DataFrame, key: str) -> DataFrame:
-    """Rows with a usable key, trimmed."""
-    return df.withColumn(key, F.trim(F.col(key))).where(F.col(key).isNotNull())

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from edupipe import fixed_values as fv
-from edupipe.operators.filters import drop_containing
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _SILENT = frozenset(("script", "style", "template"))
@@ -182,10 +181,6 @@ def anchors(pages: DataFrame, key: str, html: str) -> DataFrame:
     )
 
 
-def drop_anchor_links(df: DataFrame, column: str, fragment: str = "/#") -> DataFrame:
-    return drop_containing(df, column, fragment)
-
-
 def register_page_blocks(spark: SparkSession, name: str = "page_blocks") -> None:
     """A table function for SQL: ``SELECT … FROM pages, LATERAL page_blocks(html)``."""
 
