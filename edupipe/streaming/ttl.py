@@ -19,7 +19,7 @@ from edupipe import fixed_values as fv
 
 
 def _seconds(ts: str):
-    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / 1_000_000).cast("long")
+    return F.unix_seconds(F.col(ts).cast("timestamp"))
 
 
 def passing(seconds: Sequence[int], last: int | None, ttl: int) -> list[int]:
