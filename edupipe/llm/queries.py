@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from edupipe.llm.decontaminate import contamination
 from edupipe.llm.exact_dedup import exact_copies
+from edupipe.llm.language_id import identify
+from edupipe.llm.main_text import extract
 from edupipe.llm.ngram_jaccard import near_duplicates
+from edupipe.llm.repeated_bytes import removals
 from edupipe.llm.token_counts import token_counts
 from edupipe.llm.token_files import read_token_files, write_token_files
 
@@ -72,9 +75,26 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return found.select("row.doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op7_main_text")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 @query("op8_token_files")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), END_ID)
     read = read_token_files(spark, parts)
     n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
     return read.select("doc_id", "start", n_tokens, F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op9_repeated_bytes")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = removals(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
