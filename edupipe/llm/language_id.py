@@ -67,11 +67,9 @@ def gram_counts(text: str) -> np.ndarray | None:
     for at in range(0, len(text), SEGMENT):
         # a very long text is read in segments; a word at their edge counts as two words
         points = np.frombuffer(text[at : at + SEGMENT].lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-        kept = np.where(letters[points], points, 32)
+        kept = np.concatenate([[32], np.where(letters[points], points, 32), [32]])
         found = found or bool((kept != 32).any())
-        same = np.ones(len(kept), bool)
-        same[1:] = (kept[1:] != 32) | (kept[:-1] != 32)
-        c = np.concatenate([[32], kept[same], [32]]).astype(np.uint64)
+        c = kept[np.concatenate([[True], (kept[1:] != 32) | (kept[:-1] != 32)])].astype(np.uint64)
         one = c * np.uint64(0x9E3779B97F4A7C15)
         two = (one[:-1] ^ (one[:-1] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + c[1:]
         three = (two[:-1] ^ (two[:-1] >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) + c[2:]

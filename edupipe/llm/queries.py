@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from edupipe.llm.decontaminate import contamination
 from edupipe.llm.exact_dedup import exact_copies
 from edupipe.llm.language_id import identify
+from edupipe.llm.line_dedup import line_dedup
 from edupipe.llm.main_text import extract
 from edupipe.llm.ngram_jaccard import near_duplicates
+from edupipe.llm.packing import pack_documents
 from edupipe.llm.repeated_bytes import removals
 from edupipe.llm.token_counts import token_counts
 from edupipe.llm.token_files import read_token_files, write_token_files
@@ -43,6 +45,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "class_id")
 
 
+@query("op2_pack")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op3_token_counts")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -98,3 +105,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = removals(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op10_line_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select(
+        "row.doc_id", "n_lines", "n_removed", "n_chunks", F.length("row.text").cast("long").alias("n_chars_left"),
+        F.sha2(F.coalesce("row.text", F.lit("")).cast("binary"), 256).alias("left_sha256"),
+    )

@@ -35,12 +35,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edupipe.llm.common import KEY, keyed
 from edupipe.llm.linking import grouped
+from edupipe.llm.narrowing import document_filter, narrowed
 from edupipe.session import materialise
 
 DEPTH = 400
@@ -49,7 +49,6 @@ MEMBERS = 2048                # different runs of a group that one task refines
 RANGES = (64, 8, 1)           # windows in a range, digit by digit, when a group is dealt out
 SEGMENT = 1 << 20             # window starts that are anchored at a time
 PLACE_BITS = 22               # of a key: the place inside a segment
-FILTER_WORDS = 1 << 20        # 64-bit words of the filter of documents: 8 MB
 
 ANCHORS = "dk long, p long, o_min int, o_max int, h long, u1 long, u2 long"
 CONTEXTS = "g1 long, g2 long, dk long, p long, o_min int, o_max int, wanted boolean, low int, ctx binary"
@@ -210,40 +209,6 @@ def _deal(size: int, before: int | None):
     return deal
 
 
-def _documents_filter(keys: DataFrame) -> np.ndarray:
-    """A Bloom filter of the column dk, of fixed size; what it lets through by mistake only costs time."""
-    one = F.xxhash64(KEY)
-    two = F.xxhash64(F.lit(1), KEY)
-    spots = keys.select(F.explode(F.array(one, two)).alias("x"))
-    word = F.pmod("x", F.lit(FILTER_WORDS)).cast("int").alias("word")
-    bit = F.expr("shiftleft(1L, cast(pmod(shiftright(x, 32), 64) as int))")
-    rows = spots.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    words = np.zeros(FILTER_WORDS, np.int64)
-    words[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
-    return words
-
-
-def _passes(shared: Broadcast, wanted: bool):
-    """Keep the rows (dk, text, x1, x2) that the filter lets through, or the others."""
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
-        for batch in batches:
-            inside = np.ones(batch.num_rows, bool)
-            for column in ("x1", "x2"):
-                x = batch.column(column).to_numpy()
-                inside &= (words[x % FILTER_WORDS] >> ((x >> 32) % 64)) & 1 == 1
-            kept = batch.filter(pa.array(inside == wanted))
-            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["dk", "text"])
-
-    return keep
-
-
-def _filtered(texts: DataFrame, words: np.ndarray, wanted: bool) -> DataFrame:
-    shared = texts.sparkSession.sparkContext.broadcast(words)
-    spots = texts.select(KEY, "text", F.xxhash64(KEY).alias("x1"), F.xxhash64(F.lit(1), KEY).alias("x2"))
-    return spots.mapInArrow(_passes(shared, wanted), "dk long, text binary")
-
-
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """(dk, start, stop) of stretches of repeated windows of documents (dk, text as bytes); they may overlap."""
     found = materialise(texts.mapInArrow(_anchor_rows, ANCHORS), "anchors")
@@ -263,7 +228,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         F.col("one.dk").alias(KEY), F.struct(F.col("one.p").alias("p"), "o_min", "o_max", "h", (F.col("n") == 1).alias("wanted")).alias("r"),
     )
     by_document = materialise(open_.groupBy(KEY).agg(F.collect_list("r").alias("runs")), "open-runs")
-    some = _filtered(texts, _documents_filter(by_document), True)
+    some = narrowed(texts, document_filter(by_document), True)
     level = materialise(some.join(by_document, KEY).mapInArrow(_context_rows, CONTEXTS), "contexts")
 
     size = None
@@ -329,9 +294,9 @@ def removals(docs: DataFrame) -> DataFrame:
     texts = rows.select(KEY, F.coalesce(F.col("row.text").cast("string"), F.lit("")).cast("binary").alias("text"))
     spans = repeated_spans(texts).groupBy(KEY).agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     spans = materialise(spans, "spans")
-    words = _documents_filter(spans)
-    whole = _filtered(texts, words, False).mapInArrow(_removed, REMOVED)  # needs no shuffle
-    cut = _filtered(texts, words, True).join(spans, KEY, "left").mapInArrow(_removed, REMOVED)
+    words = document_filter(spans)
+    whole = narrowed(texts, words, False).mapInArrow(_removed, REMOVED)  # needs no shuffle
+    cut = narrowed(texts, words, True).join(spans, KEY, "left").mapInArrow(_removed, REMOVED)
     found = whole.unionByName(cut)
     return found.join(rows.select(KEY, F.col("row.doc_id").alias("doc_id")), KEY)
 
