@@ -25,8 +25,7 @@ def group_collapse_to_list(t):
 
 @query(
     "collect_snippets",
-    """SELECT conv_id, turn // 1000 AS part, string_agg(text, chr(10) ORDER BY turn, text) AS payload
-       FROM conversations GROUP BY 1, 2""",
+    "SELECT conv_id, string_agg(text, chr(10) ORDER BY turn, text) AS payload FROM conversations GROUP BY 1",
 )
 def collect_snippets(t):
     return dedupe.collect_snippets(t.conversations, ["conv_id"], "turn", "text")

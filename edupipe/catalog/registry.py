@@ -22,15 +22,6 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
-    def spread(self, name: str) -> DataFrame:
-        """The table for work that is heavy per row.
-
-        A small file is one row group, that is one task; its rows are dealt out when
-        the scan has fewer tasks than there are cores.  A large table is left alone.
-        """
-        df, cores = getattr(self, name), self.spark.sparkContext.defaultParallelism
-        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
     def stream(self, name: str) -> DataFrame:
         """The table as a file stream; as a pattern, so that one file serves as well as a folder."""
         pattern = f"{self.folder}/{name}[.]parquet"

@@ -46,12 +46,16 @@ def email_or_null(c: Column, pattern: str = fv.EMAIL_PATTERN) -> Column:
 
 def int_in_range_or_null(c: Column, low: int, high: int) -> Column:
     number = lenient_int(c)
-    return F.when(number.between(low, high), number)
+    return F.when(number.between(low, high), number.cast("int"))
 
 
 def lenient_int(c: Column) -> Column:
-    """Whole or decimal number or text to integer, cut towards zero; anything else is null."""
-    return c.try_cast("double").try_cast("int")
+    """Whole or decimal number or text to a 64-bit integer, cut towards zero; anything else is null.
+
+    Whole numbers are read as such, because a double holds them up to 2^53 only.
+    """
+    whole = c.cast("string").rlike(r"^\s*[+-]?\d+\s*$")
+    return F.when(whole, c.try_cast("long")).otherwise(c.try_cast("double").try_cast("long"))
 
 
 def first_number(c: Column, pattern: str = fv.DECIMAL_PATTERN, type_name: str = "float") -> Column:

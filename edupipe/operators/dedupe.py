@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from edupipe import fixed_values as fv
 from edupipe.functions.values import first_number, map_value
-from edupipe.operators.skew import salted_join
+from edupipe.session import materialise
 
 
 def best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int = 1) -> DataFrame:
@@ -57,18 +57,15 @@ def collapse_to_list(
     )
 
 
-def collect_snippets(
-    df: DataFrame, keys: Sequence[str], position: str, text: str, part_length: int = 1000, separator: str = "\n"
-) -> DataFrame:
-    """Texts of a group in order of position, joined, in parts of ``part_length`` positions.
+def collect_snippets(df: DataFrame, keys: Sequence[str], position: str, text: str, separator: str = "\n") -> DataFrame:
+    """One row per group: its texts in order of position (then text), joined.
 
-    Usually a group is one part.  A very large one becomes many rows (``part`` 0,
-    1, …) so that no task has to hold it whole; joined in order they are the whole text.
+    The payload of a group is one text, sent out as one prompt, so a group is as
+    large as one text may be; it is gathered by the aggregation itself.
     """
-    part = F.floor(F.col(position) / part_length).alias("part")
     ordered = F.array_sort(F.collect_list(F.struct(F.col(position).alias("p"), F.col(text).alias("t"))))
     return (
-        df.groupBy(*keys, part)
+        df.groupBy(*keys)
         .agg(ordered.alias("__s"))
         .withColumn("payload", F.array_join(F.transform("__s", lambda s: s["t"]), separator))
         .drop("__s")
@@ -88,7 +85,11 @@ def group_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def count_back(df: DataFrame, keys: Sequence[str], counted: str, into: str) -> DataFrame:
     """Each row with the number of non-null ``counted`` values of its group.
 
-    The counts are pre-aggregated and joined back, heavy groups by salt; unlike a
-    window this never holds a whole group in one task.
+    The counts are pre-aggregated, written once and joined back.  Read from files
+    they are a plain side of the join, so Spark splits the rows of a hot group, and
+    unlike a window no task holds a whole group.
     """
-    return salted_join(df, df.groupBy(*keys).agg(F.count(counted).alias(into)), keys, "left", null_safe=True)
+    counts = materialise(df.groupBy(*keys).agg(F.count(counted).alias(into)), "counts")
+    counts = counts.withColumnsRenamed({k: f"__c_{k}" for k in keys})
+    match = [F.col(k).eqNullSafe(F.col(f"__c_{k}")) for k in keys]
+    return df.join(counts, match, "left").drop(*[f"__c_{k}" for k in keys])

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from edupipe import fixed_values as fv
 from edupipe.functions.text import lower_trim
-from edupipe.operators.skew import salted_join
 
 
 def drop_placeholders(df: DataFrame, columns: Sequence[str], placeholders: Sequence[str] = tuple(fv.PLACEHOLDERS)) -> DataFrame:
@@ -55,7 +54,7 @@ def expired_folders(df: DataFrame, folder: str, as_of: Column, days: int) -> Dat
 
 def keep_listed(df: DataFrame, column: str, listed: DataFrame, listed_column: str) -> DataFrame:
     """Rows whose value is in the list; the list may be of any size."""
-    return salted_join(df, listed.select(F.col(listed_column).alias(column)).distinct(), [column], "left_semi")
+    return df.join(listed.select(F.col(listed_column).alias(column)), column, "left_semi")
 
 
 def drop_containing(df: DataFrame, column: str, fragment: str) -> DataFrame:

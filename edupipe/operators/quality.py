@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edupipe.operators.skew import salted_join
-
 
 def outside_accepted(df: DataFrame, column: str, accepted: Sequence[str]) -> DataFrame:
     """Rows where the column is null or not an accepted value."""
@@ -36,8 +34,7 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def orphans(df: DataFrame, key: str, parents: DataFrame, parent_key: str) -> DataFrame:
     """Rows whose non-null key has no parent."""
-    known = parents.select(F.col(parent_key).alias(key)).distinct()
-    return salted_join(df.where(F.col(key).isNotNull()), known, [key], "left_anti")
+    return df.where(F.col(key).isNotNull()).join(parents.select(F.col(parent_key).alias(key)), key, "left_anti")
 
 
 def array_outside(df: DataFrame, array: str, allowed: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from edupipe import fixed_values as fv
 from edupipe.functions.text import composite_key
 from edupipe.operators.dedupe import best_per_key
-from edupipe.operators.skew import salted_join
+from edupipe.session import materialise
 
 
 def latest_per_source(recs: DataFrame, user, n: int = fv.TOP_ITEMS) -> DataFrame:
@@ -65,11 +65,12 @@ def cache_audit(entries: DataFrame, as_of: Column, ttl_seconds: int = fv.CACHE_T
 def mark_clicked(recs: DataFrame, clicks: DataFrame) -> DataFrame:
     """Set ``clicked`` on every row whose (user, recommended item) was clicked.
 
-    Clicks are made distinct first; a row marked earlier stays marked.
+    Clicks are made distinct and written once, so that the join reads a plain side
+    and Spark can split a hot pair; a row marked earlier stays marked.
     """
-    seen = clicks.select("user_id", "recommended_id").distinct().withColumn("__seen", F.lit(True))
+    seen = materialise(clicks.select("user_id", "recommended_id").distinct(), "clicked").withColumn("__seen", F.lit(True))
     return (
-        salted_join(recs, seen, ["user_id", "recommended_id"], "left")
+        recs.join(seen, ["user_id", "recommended_id"], "left")
         .withColumn("clicked", F.coalesce("clicked", F.lit(False)) | F.coalesce("__seen", F.lit(False)))
         .drop("__seen")
         .select(*recs.columns)

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edupipe.functions.text import lower_trim
-from edupipe.operators.skew import salted_join
 
 FILTER_COLUMNS = ["scholarship_id", "funding_category", "program_level", "required_level", "intake", "status"]
 INFO_COLUMNS = [
@@ -51,13 +50,17 @@ def enrich(df: DataFrame, other: DataFrame, left_key: str, right_key: str) -> Da
 
 
 def having_any(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
-    """Rows whose key occurs in the other table."""
-    return salted_join(df, other.select(F.col(other_key).alias(key)).distinct(), [key], "left_semi")
+    """Rows whose key occurs in the other table.
+
+    A plain semi join: without a ``distinct`` on the other side both sides are plain
+    shuffles, and Spark splits a hot key itself.
+    """
+    return df.join(other.select(F.col(other_key).alias(key)), key, "left_semi")
 
 
 def having_none(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
     """Rows whose key does not occur in the other table; a null key never does."""
-    return salted_join(df, other.select(F.col(other_key).alias(key)).distinct(), [key], "left_anti")
+    return df.join(other.select(F.col(other_key).alias(key)), key, "left_anti")
 
 
 def cascade_delete(children: DataFrame, child_key: str, deleted: DataFrame, deleted_key: str) -> DataFrame:

@@ -73,13 +73,13 @@ def standardise(profiles: DataFrame, countries: DataFrame, country_column: str)
             "educations": _rebuild("educations", lambda x: {
                 "institution_name": lower_trim(x["college"]),
                 "degree": enum_or_null(x["degree"], fv.DEGREES),
-                "graduation_year": lenient_int(x["graduation_year"]),
+                "graduation_year": lenient_int(x["graduation_year"]).try_cast("int"),
                 "major": lower_trim(x["major"]),
             }),
             "licenses": _rebuild("licenses", lambda x: {
                 "license_name": lower_trim(x["name"]),
                 "institute_name": lower_trim(x["institute"]),
-                "issued_year": lenient_int(x["issued_date"]),
+                "issued_year": lenient_int(x["issued_date"]).try_cast("int"),
             }),
             "languages": _rebuild("languages", lambda x: {
                 "language": lower_trim(x["name"]),
@@ -143,7 +143,7 @@ def _person(records: DataFrame, extra: Mapping[str, Column]) -> DataFrame:
     return records.select(
         F.trim("Email").alias("email"),
         F.trim("Name").alias("name"),
-        lenient_int(F.col("Age")).alias("age"),
+        lenient_int(F.col("Age")).try_cast("int").alias("age"),
         F.trim("Gender").alias("gender"),
         *[c.alias(name) for name, c in extra.items()],
     ).where("email is not null")
@@ -163,7 +163,7 @@ def basic_edges(users: DataFrame, alumni: DataFrame) -> dict[str, DataFrame]:
     held = alumni.select(
         F.trim("Email").alias("email"),
         F.trim("Associeted_Scholarship").alias("item"),
-        lenient_int(F.col("Year_Scholarship")).alias("year_recipient"),
+        lenient_int(F.col("Year_Scholarship")).try_cast("int").alias("year_recipient"),
     )
     return {
         "LIVES_IN": graph.upsert_edges(lives[0].unionByName(lives[1]), "LIVES_IN", "email", "item"),

@@ -57,10 +57,10 @@ def grouped(trusted_rows: DataFrame) -> DataFrame:
     )
 
 
-def project_texts(blocks: DataFrame, position: str, part_length: int = 1000) -> DataFrame:
+def project_texts(blocks: DataFrame, position: str) -> DataFrame:
     """The distinct text blocks of every project page, joined in order."""
     distinct = blocks.select("project", "main_link", position, "text").distinct()
-    return dedupe.collect_snippets(distinct, ["project", "main_link"], position, "text", part_length)
+    return dedupe.collect_snippets(distinct, ["project", "main_link"], position, "text")
 
 
 def prompts(grouped_rows: DataFrame, template: str, sections_of: Sequence[tuple[str, str]]) -> DataFrame:

@@ -3,13 +3,19 @@
 The first event of a key passes; a later one passes when at least ``ttl`` whole
 seconds have gone by since the last that passed.  Click times are given in whole
 seconds and so is the time to live, so events are compared by their second.
+
+Events without a time are left out: nothing can be said about their span.  A null
+key is a key like any other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,16 +28,33 @@ def _seconds(ts: str):
     return F.unix_seconds(F.col(ts).cast("timestamp"))
 
 
-def passing(seconds: Sequence[int], last: int | None, ttl: int) -> list[int]:
-    """Of ascending seconds those that pass, given the last one that did."""
+def passing(seconds: np.ndarray, last: int | None, ttl: int) -> list[int]:
+    """Positions of ascending seconds that pass, given the last second that did.
+
+    Goes from one that passes straight to the next one, however many lie between.
+    """
     out = []
-    for second in seconds:
-        if last is None or second - last >= ttl:
-            out.append(second)
-            last = second
+    at = 0 if last is None else int(np.searchsorted(seconds, last + ttl))
+    while at < len(seconds):
+        out.append(at)
+        at = max(at + 1, int(np.searchsorted(seconds, seconds[at] + ttl)))
     return out
 
 
+def _new_key(columns: list[pa.Array], before: list[pa.Scalar] | None) -> np.ndarray:
+    """Which rows have another key than the row above; nulls equal each other."""
+    new = np.zeros(len(columns[0]), bool)
+    new[0] = before is None
+    for i, column in enumerate(columns):
+        above = column.slice(0, len(column) - 1)
+        if before is not None:
+            above = pa.concat_arrays([pa.array([before[i].as_py()], column.type), above])
+        here = column if before is not None else column.slice(1)
+        differs = pc.if_else(pc.or_(pc.is_null(here), pc.is_null(above)), pc.xor(pc.is_null(here), pc.is_null(above)), pc.not_equal(here, above))
+        new[len(new) - len(here):] |= differs.to_numpy(zero_copy_only=False).astype(bool)
+    return new
+
+
 def first_per_ttl(
     events: DataFrame, keys: Sequence[str], ts: str, tie: str, ttl: int = fv.CACHE_TTL_SECONDS
 ) -> DataFrame:
@@ -39,51 +62,69 @@ def first_per_ttl(
 
     Events of one key and second count once (the least ``tie``); that reduction
     runs before the shuffle, so however many events a key has, at most one row
-    per second of the covered time reaches the scan of its key.  The scan itself
-    walks sorted rows and remembers one number.
+    per second of the covered time reaches the scan of its key.  The scan goes
+    through sorted Arrow batches in steps from one event that passes to the next.
     """
-    per_second = events.groupBy(*keys, _seconds(ts).alias("second")).agg(F.min(tie).alias(tie))
+    timed = events.withColumn("second", _seconds(ts)).where("second is not null")
+    per_second = timed.groupBy(*keys, "second").agg(F.min(tie).alias(tie))
     ordered = per_second.repartition(*keys).sortWithinPartitions(*keys, "second")
-    names = list(keys)
+    width = len(keys)
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, last = None, 0
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, last = None, None
         for batch in batches:
-            keep = []
-            rows = zip(zip(*(batch[c] for c in names), strict=True), batch["second"], strict=True)
-            for key, second in rows:
-                passes = key != current or second - last >= ttl
-                if passes:
-                    current, last = key, second
-                keep.append(passes)
-            yield batch[keep]
-
-    return ordered.mapInPandas(scan, ordered.schema)
+            if not batch.num_rows:
+                continue
+            columns = batch.columns[:width]
+            new = _new_key(columns, before)
+            seconds = batch.column("second").to_numpy()
+            starts = np.flatnonzero(new)
+            bounds = np.concatenate([[] if new[0] else [0], starts, [len(seconds)]]).astype(int)
+            keep = new.copy()
+            # the first event of a key passes; a key whose events span less has no other one
+            spans = seconds[bounds[1:] - 1] - seconds[bounds[:-1]]
+            for run in np.flatnonzero((spans >= ttl) | ~new[bounds[:-1]]):
+                low, high = bounds[run], bounds[run + 1]
+                known = None if new[low] else last
+                keep[low + np.array(passing(seconds[low:high], known, ttl), int)] = True
+            passed = seconds[bounds[-2]:][keep[bounds[-2]:]]
+            last = int(passed[-1]) if len(passed) else last
+            before = [c[len(seconds) - 1] for c in columns]
+            yield batch.filter(pa.array(keep))
+
+    return ordered.mapInArrow(scan, ordered.schema)
 
 
 class _LastPassed(StatefulProcessor):
-    """Keeps the last second that passed, per key."""
+    """Keeps the last second that passed, per key, until its time to live is over."""
 
     def __init__(self, keys: Sequence[str], tie: str, ttl: int) -> None:
         self.keys, self.tie, self.ttl = list(keys), tie, ttl
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.state = handle.getValueState("last", T.StructType([T.StructField("second", T.LongType())]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         first: dict[int, object] = {}
         for chunk in rows:
-            best = chunk.groupby("second")[self.tie].min()
-            for second, tie in best.items():
-                first[second] = min(tie, first.get(second, tie))
+            for second, tie in zip(chunk["second"].tolist(), chunk[self.tie].tolist(), strict=True):
+                if second not in first or tie < first[second]:
+                    first[second] = tie
+        seconds = np.array(sorted(first), np.int64)
         last = int(self.state.get()[0]) if self.state.exists() else None
-        kept = passing(sorted(first), last, self.ttl)
+        kept = seconds[passing(seconds, last, self.ttl)].tolist()
         if kept:
-            self.state.update((int(kept[-1]),))
-            out = pd.DataFrame({"second": kept, self.tie: [first[s] for s in kept]})
-            for name, value in zip(self.keys, key, strict=True):
-                out.insert(0, name, value)
-            yield out[[*self.keys, "second", self.tie]]
+            if last is not None:
+                self.handle.deleteTimer((last + self.ttl) * 1000)
+            self.state.update((kept[-1],))
+            self.handle.registerTimer((kept[-1] + self.ttl) * 1000)
+            columns = {name: pd.Series([value] * len(kept), dtype=object) for name, value in zip(self.keys, key, strict=True)}
+            yield pd.DataFrame({**columns, "second": kept, self.tie: [first[s] for s in kept]})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()  # what comes now is later than the watermark, so it passes with or without state
+        yield from ()
 
     def close(self) -> None:
         pass
@@ -93,18 +134,22 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 
 
 def stream_first_per_ttl(
-    events: DataFrame, keys: Sequence[str], ts: str, tie: str, ttl: int = fv.CACHE_TTL_SECONDS
+    events: DataFrame, keys: Sequence[str], ts: str, tie: str, ttl: int = fv.CACHE_TTL_SECONDS, late: str = "1 hour"
 ) -> DataFrame:
     """Streaming form with keyed state; same rows as the batch form when events arrive
     in order of time.
 
+    Events later than ``late`` behind the newest are dropped.  A key's state goes when the watermark
+    is past its time to live, so state does not grow with the keys ever seen.
     The query must run with ``spark.sql.streaming.stateStore.providerClass`` set to
-    ``STATE_STORE``.  Of a key's rows in a micro batch only one per second is held.
+    ``STATE_STORE``.  Of a key's rows in a micro batch only one per second is held.  ``tie`` must not be null.
     """
-    timed = events.select(*keys, _seconds(ts).alias("second"), tie)
+    moment = F.col(ts).cast("timestamp")
+    timed = events.select(*keys, moment.alias("__moment"), _seconds(ts).alias("second"), tie)
+    timed = timed.where(F.col("second").isNotNull() & F.col(tie).isNotNull()).withWatermark("__moment", late)
     return timed.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=_LastPassed(keys, tie, ttl),
-        outputStructType=timed.schema,
+        outputStructType=timed.drop("__moment").schema,
         outputMode="append",
-        timeMode="none",
+        timeMode="eventTime",
     )

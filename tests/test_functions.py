@@ -71,6 +71,8 @@ def test_age(spark):
 
 def test_lenient_int(spark):
     assert each(spark, values.lenient_int, ["2.0", "2.9", "-2.9", "7", "x", "", None, "1e20"]) == [2, 2, -2, 7, None, None, None, None]
+    large = ["9007199254740993", " -9223372036854775808", "9223372036854775808", "+3000000000.7"]
+    assert each(spark, values.lenient_int, large) == [9007199254740993, -9223372036854775808, None, 3000000000]
 
 
 def test_first_number(spark):

@@ -66,10 +66,10 @@ def test_collapse_to_list(spark):
     assert {r["name"]: (r["os"], r["u"]) for r in got.collect()} == {"n": (["a", "b"], "t0"), None: (["c"], "t")}
 
 
-def test_snippets_in_parts(spark):
-    df = spark.createDataFrame([("p", i, f"t{i}") for i in range(5)], "k string, i long, t string").repartition(3)
-    got = tuples(dedupe.collect_snippets(df, ["k"], "i", "t", part_length=2), "k", "part", "payload")
-    assert got == [("p", 0, "t0\nt1"), ("p", 1, "t2\nt3"), ("p", 2, "t4")]
+def test_snippets_make_one_payload(spark):
+    df = spark.createDataFrame([("p", i, f"t{i}") for i in range(2500)] + [(None, 0, "n")], "k string, i long, t string").repartition(3)
+    got = tuples(dedupe.collect_snippets(df, ["k"], "i", "t"), "k", "payload")
+    assert sorted(got, key=repr) == sorted([("p", "\n".join(f"t{i}" for i in range(2500))), (None, "n")], key=repr)
 
 
 def test_counts(spark):

@@ -59,6 +59,62 @@ def test_stream_equals_batch(spark):
     assert _got(spark.read.parquet(f"{out}/rows")) == _brute(rows, 3600)
 
 
+def test_null_keys_null_times_and_large_keys(spark):
+    big = 9007199254740993
+    rows = [(None, 0, 1), (None, 10, 2), (None, 20, 3), (None, 4000, 4), (big, None, 5), (big, 0, 6), (big, 4000, 7), (big - 1, 1, 8), (big, 4001, 9)]
+    data = [(u, None if s is None else START + datetime.timedelta(seconds=s), e) for u, s, e in rows]
+    events = spark.createDataFrame(data, "user long, ts timestamp, event long")
+    expected = [(None, 0, 1), (None, 4000, 4), (big - 1, 1, 8), (big, 0, 6), (big, 4000, 7)]
+    got = _plain(ttl.first_per_ttl(events, ["user"], "ts", "event"))
+    assert got == sorted(expected, key=repr)
+    source = fresh_path(spark, "source")
+    events.coalesce(1).write.parquet(source)
+    stream = spark.readStream.schema(events.schema).parquet(source)
+    assert _plain(_run(spark, ttl.stream_first_per_ttl(stream, ["user"], "ts", "event"))) == sorted(expected, key=repr)
+    assert ttl.first_per_ttl(events.limit(0), ["user"], "ts", "event").collect() == []
+
+
+def _plain(df):
+    base = int(START.replace(tzinfo=datetime.timezone.utc).timestamp())
+    return sorted(((r["user"], r["second"] - base, r["event"]) for r in df.collect()), key=repr)
+
+
+def _run(spark, kept):
+    out = fresh_path(spark, "out")
+    query = (
+        kept.writeStream.format("parquet").option("checkpointLocation", f"{out}/checkpoint").outputMode("append")
+        .trigger(availableNow=True).start(f"{out}/rows")
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{out}/rows")
+
+
+def test_state_goes_when_its_time_is_over(spark):
+    source, out = fresh_path(spark, "source"), fresh_path(spark, "out")
+    for part in range(4):  # other users in every file, three hours apart
+        rows = [(f"u{part}-{i}", part * 10_800 + i, i) for i in range(20)]
+        _events(spark, rows).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema("user string, ts timestamp, event long").option("maxFilesPerTrigger", 1).parquet(source)
+    kept = ttl.stream_first_per_ttl(stream, ["user"], "ts", "event")
+    query = (
+        kept.writeStream.format("parquet").option("checkpointLocation", f"{out}/checkpoint").outputMode("append")
+        .trigger(availableNow=True).start(f"{out}/rows")
+    )
+    query.awaitTermination()
+    assert spark.read.parquet(f"{out}/rows").count() == 80
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] < 80 * 2
+
+
+def test_many_batches_of_one_key(spark):
+    rows = [("hot", i * 7, i) for i in range(5000)] + [("z", i * 1800, i) for i in range(9)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
+    try:
+        assert _got(ttl.first_per_ttl(_events(spark, rows), ["user"], "ts", "event")) == _brute(rows, 3600)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_seconds_are_counted_once_before_the_shuffle(spark):
     rows = [("a", i / 1000, i) for i in range(5000)]
     df = ttl.first_per_ttl(_events(spark, rows), ["user"], "ts", "event")
