@@ -7,14 +7,25 @@ from edupipe.functions.links import with_main_link
 from edupipe.operators import web
 
 
-@query("page_blocks")
-def page_blocks(t):
-    return web.page_blocks(t.pages, "page_id", "url", "url", "html")
-
-
 # As in HTML, an entity may lack its semicolon.
 _TEXT = "trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace({}, '<[^>]*>', '', 'g'), '&quot;?', '\"', 'g'), '&lt;?', '<', 'g'), '&amp;?', '&', 'g'))"
 
+# A block runs from its tag to the end tag.  The pages have one shape, in which paragraphs that begin with
+# bold text are never closed and run to the end of the article.
+_BLOCKS_SQL = f"""WITH parts AS (SELECT page_id, url, string_split(html, '<') AS cut FROM pages),
+    starts AS (SELECT page_id, url, i, regexp_extract(cut[i], '^(h[1-6]|p|li|div|ul|ol)[ >]', 1) AS tag, array_to_string(cut[i:], '<') AS rest
+               FROM (SELECT *, unnest(range(2, len(cut) + 1)) AS i FROM parts)),
+    bodies AS (SELECT page_id, url, i, tag, regexp_replace(split_part(rest, CASE WHEN rest LIKE 'p><b>%' THEN '</article>' ELSE '</' || tag || '>' END, 1), '^[^>]*>', '') AS body
+               FROM starts WHERE tag <> ''),
+    texts AS (SELECT page_id, url, i, tag, array_to_string(list_transform(regexp_split_to_array(body, '<[^>]*>'), lambda x: {_TEXT.format("x")}), '') AS text FROM bodies)
+    SELECT CAST(page_id AS VARCHAR) AS project, url AS main_link, url AS subpage,
+           CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS position, tag, text FROM texts WHERE text <> ''"""
+
+
+@query("page_blocks", _BLOCKS_SQL)
+def page_blocks(t):
+    return web.page_blocks(t.pages, "page_id", "url", "url", "html")
+
 
 @query(
     "page_headings",
@@ -72,11 +83,17 @@ def link_counts(t):
     return rows.select("page_id", "link", F.col("num_subpages").cast("long").alias("num_subpages"))
 
 
-@query(
-    "page_anchors",
-    """SELECT page_id, trim(regexp_extract(a, '>([^<]*)</a>', 1)) AS title, regexp_extract(a, 'href="([^"]*)"', 1) AS link
+_LINKS_SQL = f"""SELECT page_id, {_TEXT.format("regexp_extract(a, '>([^<]*)</a>', 1)")} AS title, replace(regexp_extract(a, 'href="([^"]*)"', 1), '&amp;', '&') AS link
        FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a [^>]*href="[^"]*"[^>]*>[^<]*</a>')) AS a FROM pages)
-       WHERE trim(regexp_extract(a, '>([^<]*)</a>', 1)) <> '' AND regexp_extract(a, 'href="([^"]*)"', 1) <> ''""",
-)
+       WHERE trim(regexp_extract(a, '>([^<]*)</a>', 1)) <> '' AND regexp_extract(a, 'href="([^"]*)"', 1) <> ''"""
+
+
+@query("page_anchors", _LINKS_SQL)
 def page_anchors(t):
     return web.anchors(t.pages, "page_id", "html")
+
+
+@query("catalogue_items", _LINKS_SQL)
+def catalogue_items(t):
+    """Every item of the pages' lists holds one link with its title."""
+    return web.catalogue_items(t.pages, "page_id", "html", ("li", ""), ("a", ""), ("a", ""))

@@ -148,5 +148,8 @@ WALK_LENGTH = 80
 WALKS_PER_NODE = 15
 WALK_DIMENSION = 128
 
-# Page parsing.
+# Page parsing: tag and classes of a catalogue's items, of the title and the link in them.
+CATALOGUE_ITEM = ("div", "ecl-content-item-block__item contextual-region ecl-u-mb-l ecl-col-12")
+CATALOGUE_TITLE = ("span", "ecl-link__label")
+CATALOGUE_LINK = ("a", "ecl-link ecl-link--standalone ecl-link--icon")
 BLOCK_TAGS = ["h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "div", "ul", "ol"]

@@ -167,18 +167,59 @@ def link_rows(pages: DataFrame, key: str, main: str, links: str, fragment: str =
     return rows.select(key, main, "link", F.greatest("__n", F.lit(0)).alias("num_subpages"))
 
 
+def _has(element: list, tag: str | None, classes: frozenset[str]) -> bool:
+    return (tag is None or element[0] == tag) and classes <= set((element[1].get("class") or "").split())
+
+
+def items_of(
+    html: str, item: tuple[str | None, str] | None, title: tuple[str | None, str], link: tuple[str | None, str]
+) -> list[tuple[str, str]]:
+    """(title, link) of every item element that has both.
+
+    ``item``, ``title`` and ``link`` name elements by tag (None: any) and the classes they have to have.  The first title and
+    the first link inside an item count.  Without ``item`` every link element is an item, with the
+    title inside it, or its own text when no class of a title is given.
+    """
+    page = _Page(html)
+    marks = [(tag, frozenset(classes.split())) for tag, classes in (item or link, title, link)]
+    found = []
+    for at, element in enumerate(page.elements):
+        if not _has(element, *marks[0]):
+            continue
+        inside = page.elements[at : element[4]] if item is None else page.elements[at + 1 : element[4]]
+        named = element if item is None and title == (None, "") else next((e for e in inside if _has(e, *marks[1])), None)
+        linked = next((e for e in inside if _has(e, *marks[2])), None)
+        if named is not None and linked is not None:
+            pair = page.text_of(named), linked[1].get("href") or ""
+            if all(pair):
+                found.append(pair)
+    return found
+
+
+def catalogue_items(
+    pages: DataFrame, key: str, html: str,
+    item: tuple[str | None, str] | None = fv.CATALOGUE_ITEM,
+    title: tuple[str | None, str] = fv.CATALOGUE_TITLE,
+    link: tuple[str | None, str] = fv.CATALOGUE_LINK,
+) -> DataFrame:
+    """(key, title, link) of the items of catalogue pages, by tag and classes; the title may be nested in the link."""
+    given = pages.select(F.col(key), F.col(html).alias("html")).where("html is not null")
+    texts = [T.StructField("title", T.StringType()), T.StructField("link", T.StringType())]
+    out = T.StructType([*given.drop("html").schema.fields, *texts])
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(row, *pair) for row, page in enumerate(batch.column("html").to_pylist()) for pair in items_of(page, item, title, link)]
+            index = pa.array([r[0] for r in rows], pa.int64())
+            columns = [pa.array([r[i] for r in rows], pa.string()) for i in (1, 2)]
+            yield pa.RecordBatch.from_arrays([batch.column(key).take(index), *columns], [key, "title", "link"])
+
+    return given.mapInArrow(parse, out)
+
+
 def anchors(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """(key, title, link) of the page's plain anchors that have both."""
-    pattern = r'(?is)<a\s[^>]*href="([^"]*)"[^>]*>([^<]*)</a>'
-    pairs = F.arrays_zip(
-        F.regexp_extract_all(html, F.lit(pattern), 1).alias("link"),
-        F.regexp_extract_all(html, F.lit(pattern), 2).alias("title"),
-    )
-    return (
-        pages.select(key, F.explode(pairs).alias("p"))
-        .select(key, F.trim("p.title").alias("title"), F.col("p.link").alias("link"))
-        .where("title != '' and link != ''")
-    )
+    """(key, title, link) of every link of a page that has a text and an address."""
+    return catalogue_items(pages, key, html, None, (None, ""), ("a", ""))
 
 
 def register_page_blocks(spark: SparkSession, name: str = "page_blocks") -> None:

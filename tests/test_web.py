@@ -41,6 +41,21 @@ def test_anchors(spark):
     assert tuples(web.anchors(df, "i", "h")) == [(1, "T", "/x"), (1, "Z", "/z")]
 
 
+def test_catalogue_items_by_class_with_the_title_inside_the_link(spark):
+    item = "ecl-content-item-block__item contextual-region ecl-u-mb-l ecl-col-12"
+    link = "ecl-link ecl-link--standalone ecl-link--icon"
+    page = (
+        f'<div class="{item}"><a href="/other">no</a><a class="{link}" href="/x?a=1&amp;b=2"><span class="ecl-link__label">Title &amp; more</span><svg/></a></div>'
+        f'<div class="{item}"><a class="{link}"><span class="ecl-link__label">no link</span></a></div>'
+        f'<div class="{item}"><a class="{link}" href="/y">no title</a></div><a class="{link}" href="/z"><span class="ecl-link__label">outside</span></a>'
+    )
+    df = spark.createDataFrame([(1, page), (2, None), (3, "<p>")], "i int, h string")
+    assert tuples(web.catalogue_items(df, "i", "h")) == [(1, "Title & more", "/x?a=1&b=2")]
+    labelled = spark.createDataFrame([(1, '<a href="/q"><span class="label">Title</span></a>')], "i int, h string")
+    assert tuples(web.catalogue_items(labelled, "i", "h", None, ("span", "label"), ("a", ""))) == [(1, "Title", "/q")]
+    assert tuples(web.anchors(labelled, "i", "h")) == [(1, "Title", "/q")]
+
+
 def test_page_blocks_keep_order_and_pages(spark):
     df = spark.createDataFrame([(1, "u", "<p>b</p><p>a</p>"), (2, "v", None), (3, "w", "text")], "i int, u string, h string")
     rows = web.page_blocks(df, "i", "u", "u", "h").orderBy("position").select("project", "position", "text").collect()
