@@ -67,6 +67,11 @@ def dq_vector_stats(t):
     return quality.vector_stats(t.embeddings, "embedding")
 
 
+@query("dq_vector_sample", "SELECT vec_id, CAST(len(embedding) AS INT) AS dimension, label FROM embeddings ORDER BY vec_id LIMIT 3")
+def dq_vector_sample(t):
+    return quality.vector_sample(t.embeddings, "vec_id", "embedding", ["label"])
+
+
 @query(
     "run_stats",
     """SELECT 'records' AS name, CAST(count(*) AS DOUBLE) AS value FROM documents

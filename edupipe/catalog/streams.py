@@ -105,17 +105,26 @@ def stream_recommend(t):
     )
 
 
-_TTL_SQL = """WITH RECURSIVE e AS (SELECT user_id, CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS second, min(event_id) AS event_id FROM events GROUP BY 1, 2),
+# Some users and some times are null: a null user is a key like any other, an event without a time passes nothing.
+_TTL_SQL = """WITH RECURSIVE e AS (
+      SELECT nullif(user_id, 7) + 9007199254740993 AS user_id, CAST(floor(epoch_us(nullif(ts, CASE WHEN event_id % 10 = 3 THEN ts END)) / 1000000) AS BIGINT) AS second,
+             min(event_id) AS event_id FROM events GROUP BY 1, 2),
+    timed AS (SELECT * FROM e WHERE second IS NOT NULL),
     chain AS (
-      SELECT user_id, min(second) AS second FROM e GROUP BY 1
+      SELECT user_id, min(second) AS second FROM timed GROUP BY 1
       UNION ALL
-      SELECT c.user_id, min(e.second) FROM chain c JOIN e ON e.user_id = c.user_id AND e.second >= c.second + 3600 GROUP BY 1)
-    SELECT e.user_id, e.second, e.event_id FROM e JOIN chain USING (user_id, second)"""
+      SELECT c.user_id, min(t.second) FROM chain c JOIN timed t ON t.user_id IS NOT DISTINCT FROM c.user_id AND t.second >= c.second + 3600 GROUP BY 1)
+    SELECT t.user_id, t.second, t.event_id FROM timed t JOIN chain c ON t.user_id IS NOT DISTINCT FROM c.user_id AND t.second = c.second"""
+
+
+def _with_nulls(events):
+    some = F.nullif(F.col("ts"), F.when(F.col("event_id") % 10 == 3, F.col("ts")))
+    return events.withColumn("user_id", F.nullif(F.col("user_id"), F.lit(7)) + 9007199254740993).withColumn("ts", some)
 
 
 @query("stream_ttl_first", _TTL_SQL)
 def stream_ttl_first(t):
-    return ttl.first_per_ttl(t.events, ["user_id"], "ts", "event_id")
+    return ttl.first_per_ttl(_with_nulls(t.events), ["user_id"], "ts", "event_id")
 
 
 @query("stream_ttl_state", _TTL_SQL)
@@ -125,7 +134,7 @@ def stream_ttl_state(t):
     before = t.spark.conf.get(setting)
     t.spark.conf.set(setting, ttl.STATE_STORE)
     try:
-        kept = ttl.stream_first_per_ttl(t.stream("events"), ["user_id"], "ts", "event_id")
+        kept = ttl.stream_first_per_ttl(_with_nulls(t.stream("events")), ["user_id"], "ts", "event_id")
         clicks.write_stream(kept, f"{out}/rows", f"{out}/checkpoint")
     finally:
         t.spark.conf.set(setting, before)
@@ -207,6 +216,40 @@ def recs_served(t):
     return recommend.served(recs, F.lit(_AS_OF).cast("timestamp"), ttl_seconds=86_400)
 
 
+_KEYED_SQL = f"""SELECT 'recommendations:' || u || ':' || item AS cache_key, event_id AS rec, value AS score, ts, event_type
+    FROM (SELECT *, unnest([CAST(user_id AS VARCHAR), 'general']) AS u, {_ITEM} AS item FROM events)"""
+
+
+@query(
+    "recs_served_rows",
+    f"""WITH r AS ({_KEYED_SQL}),
+          stored AS (SELECT *, row_number() OVER (PARTITION BY cache_key ORDER BY ts DESC, score DESC, rec) AS n, max(ts) OVER (PARTITION BY cache_key) AS kept_at
+                     FROM r WHERE event_type = 'purchase'),
+          alive AS (SELECT * FROM stored WHERE epoch_us(TIMESTAMP '{_AS_OF}') - epoch_us(kept_at) < 86400000000),
+          newest AS (SELECT *, row_number() OVER (PARTITION BY cache_key ORDER BY ts DESC, score DESC, rec) AS n FROM r
+                     WHERE cache_key NOT IN (SELECT cache_key FROM alive))
+        SELECT cache_key, CAST(n AS INTEGER) AS place, rec AS recommended_id, score, is_cached, coalesce(label, -1) AS label FROM (
+          SELECT cache_key, n, rec, score, true AS is_cached FROM alive WHERE n <= 5
+          UNION ALL SELECT cache_key, n, rec, score, false FROM newest WHERE n <= 5) LEFT JOIN embeddings ON vec_id = rec""",
+)
+def recs_served_rows(t):
+    """Answers are cached when something is bought."""
+    recs = shapes.recommendations(t.events).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    bought = t.events.where("event_type = 'purchase'")
+    kept = shapes.recommendations(bought).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    keys = [composite_key(fv.CACHE_PREFIX, user, F.col("source_id")) for user in (F.col("user_id"), F.lit(fv.GENERAL_USER))]
+    row = F.struct((-F.unix_micros("timestamp")).alias("t"), (-F.col("score")).alias("s"), "recommended_id", "score")
+    entries = kept.withColumn("cache_key", F.explode(F.array(*keys))).groupBy("cache_key").agg(
+        F.max("timestamp").alias("stored_at"), F.array_sort(F.collect_list(row)).alias("rows")
+    )
+    answer = F.transform("rows", lambda x: F.struct(x["recommended_id"].alias("recommended_id"), x["score"].alias("score")))
+    found = recommend.served_rows(
+        recs, entries.withColumn("answer", answer), t.embeddings.select("vec_id", "label"), "vec_id",
+        F.lit(_AS_OF).cast("timestamp"), ttl_seconds=86_400,
+    )
+    return found.withColumn("label", F.coalesce("label", F.lit(-1)))
+
+
 @query(
     "cache_audit",
     f"""SELECT * FROM (SELECT cache_key, 86400 - CAST(floor((epoch_us(TIMESTAMP '{_AS_OF}') - stored) / 1000000) AS BIGINT) AS ttl_left, n_recommendations FROM (

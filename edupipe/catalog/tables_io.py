@@ -91,26 +91,31 @@ def src_latest_snapshot(t):
 @query(
     "src_pending_partitions",
     """SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS dt FROM events
-       WHERE strftime(ts, '%Y-%m-%d') NOT IN (SELECT strftime(ts, '%Y-%m-%d') FROM events WHERE event_type = 'error' AND value > 20)""",
+       WHERE strftime(ts, '%Y-%m-%d') NOT IN (SELECT strftime(ts, '%Y-%m-%d') FROM events WHERE event_type = 'error' AND CAST(strftime(ts, '%d') AS INT) % 3 = 1)""",
 )
 def src_pending_partitions(t):
     days = t.events.withColumn("dt", F.date_format("ts", "yyyy-MM-dd"))
-    done = days.where("event_type = 'error' AND value > 20")
+    done = days.where("event_type = 'error' AND day(ts) % 3 = 1")
     return readers.pending_partitions(days, done, "dt")
 
 
 @query(
     "src_path_fields",
-    """SELECT event_id, strftime(ts, '%Y-%m-%d') AS date_folder, event_type || '_table.csv' AS file_name FROM events
-       WHERE event_type NOT IN ('view', 'error')""",
+    """SELECT event_id, strftime(ts, '%Y-%m-%d') AS date_folder, 'click.csv' AS file_name FROM events
+       WHERE strftime(ts, '%Y-%m-%d') IN ('2024-01-05', '2024-01-06')""",
 )
 def src_path_fields(t):
-    kind = F.col("event_type")
-    folder = F.when(kind == "view", "undated").otherwise(F.date_format("ts", "yyyy-MM-dd"))
-    ending = F.when(kind == "error", ".json").otherwise(".csv")
-    path = F.concat(F.lit("bucket/history/"), folder, F.lit("/"), kind, F.lit("_table"), ending)
-    named = readers.with_path_fields(t.events.withColumn("path", path), F.col("path"))
-    return named.select("event_id", "date_folder", "file_name")
+    """Files of two days, one without a day and one of another kind, read back by the paths that Spark gives them."""
+    folder = fresh_path(t.spark, "history")
+    rows = t.events.select("event_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    places = {f"{folder}/2024-01-05/click": "day = '2024-01-05'", f"{folder}/2024-01-06/click": "day = '2024-01-06'", f"{folder}/undated/click": "day = '2024-01-07'"}
+    for place, which in places.items():
+        rows.where(which).select("event_id").write.option("header", True).csv(place)
+    rows.where("day = '2024-01-08'").select("event_id").write.parquet(f"{folder}/2024-01-08/click")
+    scan = t.spark.read.schema("event_id long").option("header", True).option("recursiveFileLookup", True).csv([f"{folder}/2024-01-05", f"{folder}/2024-01-06", f"{folder}/undated"])
+    # Spark writes a folder of parts for each table: its name stands for that of the file.
+    path = F.regexp_replace("_metadata.file_path", "/click/part-[^/]*$", "/click.csv")
+    return readers.with_path_fields(scan.withColumn("path", path), F.col("path")).select("event_id", "date_folder", "file_name")
 
 
 @query(

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from edupipe import fixed_values as fv
 from edupipe.operators.quality import duplicate_keys
 from edupipe.operators.relational import having_any
+from edupipe.session import materialise
 
 
 def upsert_nodes(
@@ -64,9 +65,17 @@ def edges_of_columns(df: DataFrame, src: str, targets: Mapping[str, str]) -> Dat
 
 
 def union_edges(parts: Sequence[DataFrame]) -> DataFrame:
-    """All edge types in one (src, type, dst) table, ends as text."""
-    texts = [p.select(F.col("src").cast("string"), "type", F.col("dst").cast("string")) for p in parts]
-    return reduce(DataFrame.unionByName, texts)
+    """All edge types in one (src, type, dst) table.
+
+    Whole-number ends stay numbers, so that a filter on an end reaches the scan; ends of
+    other or mixed types become text.
+    """
+    def common(end: str) -> str:
+        return "bigint" if all(dict(p.dtypes)[end] in ("tinyint", "smallint", "int", "bigint") for p in parts) else "string"
+
+    src, dst = common("src"), common("dst")
+    typed = [p.select(F.col("src").cast(src), "type", F.col("dst").cast(dst)) for p in parts]
+    return reduce(DataFrame.unionByName, typed)
 
 
 def top_targets(edges: DataFrame, n: int, name: str, count: str) -> DataFrame:
@@ -94,9 +103,9 @@ def related_items(edges: DataFrame, item, n: int, name: str, count: str) -> Data
     return top_targets(others, n, name, count)
 
 
-def _as_text(person) -> Column:
-    """A person key as text; a column (such as a scalar subquery) is taken as it is."""
-    return person.cast("string") if isinstance(person, Column) else F.lit(str(person))
+def _key(edges: DataFrame, person) -> Column:
+    """A person's key in the type of the edges; a column (such as a scalar subquery) is cast to it."""
+    return (person if isinstance(person, Column) else F.lit(person)).cast(edges.schema["src"].dataType)
 
 
 def common_neighbours(
@@ -108,15 +117,11 @@ def common_neighbours(
     ``recipients`` are HAS_SCHOLARSHIP edges.  A target who holds any scholarship
     has no result.  Holders without a shared item stay with score 0.
     """
-    target = _as_text(target)
-    holders = (
-        recipients.where((F.col("dst") == scholarship) & (F.col("src").cast("string") != target))
-        .select(F.col("src").cast("string").alias("src"))
-        .distinct()
-    )
-    target_holds = F.coalesce(
-        recipients.where(F.col("src").cast("string") == target).agg(F.max(F.lit(True))).scalar(), F.lit(False)
-    )
+    recipients = recipients.withColumn("src", F.col("src").cast(edges.schema["src"].dataType))
+    edges = materialise(edges, "edges")  # asked twice: for the items of the person, and who shares them
+    target = _key(edges, target)
+    holders = recipients.where((F.col("dst") == scholarship) & (F.col("src") != target)).select("src").distinct()
+    target_holds = F.coalesce(recipients.where(F.col("src") == target).agg(F.max(F.lit(True))).scalar(), F.lit(False))
     known = edges.where(F.col("type").isin(list(types)))
     own_items = known.where(F.col("src") == target).select("type", "dst")
     shared = (
@@ -128,7 +133,7 @@ def common_neighbours(
     return (
         holders.where(~target_holds)
         .join(shared, "src", "left")
-        .select(F.col("src").alias("person"), F.coalesce("n", F.lit(0)).alias("total_matches"))
+        .select(F.col("src").cast("string").alias("person"), F.coalesce("n", F.lit(0)).alias("total_matches"))
         .orderBy(F.desc("total_matches"), "person")
         .limit(n)
     )
@@ -149,14 +154,15 @@ def profile_similarity(
     The person's items are joined to all edges; norm and dot product come from
     one pre-aggregated pass, so nothing of size people × people arises.
     """
-    target = _as_text(target)
+    edges = materialise(edges, "edges")  # asked three times: items and norm of the person, and everyone else
+    target = _key(edges, target)
     weighted = edges.withColumn("w", edge_weight(F.col("type"), weights)).where("w is not null")
     own = weighted.where(F.col("src") == target).select("type", "dst", F.col("w").alias("own_w"))
     own_norm = F.sqrt(own.agg(F.sum(F.col("own_w") * F.col("own_w"))).scalar())
     others = weighted.where(F.col("src") != target)
     return (
         others.join(own, ["type", "dst"], "left")
-        .groupBy(F.col("src").alias("person"))
+        .groupBy(F.col("src").cast("string").alias("person"))
         .agg(F.sum(F.col("w") * F.col("own_w")).alias("dot"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
         .where("dot is not null")
         .select("person", (F.col("dot") / (F.col("norm") * own_norm)).alias("score"))

@@ -51,6 +51,11 @@ def vector_stats(df: DataFrame, vector: str) -> DataFrame:
     )
 
 
+def vector_sample(df: DataFrame, key: str, vector: str, metadata: Sequence[str], n: int = 3) -> DataFrame:
+    """The first ``n`` vectors by key, with their dimension and metadata."""
+    return df.orderBy(key).limit(n).select(key, F.size(vector).alias("dimension"), *metadata)
+
+
 def run_stats(df: DataFrame, measures: Mapping[str, Column]) -> DataFrame:
     """(name, value) rows of aggregates taken in one pass."""
     row = df.agg(*[m.cast("double").alias(n) for n, m in measures.items()])

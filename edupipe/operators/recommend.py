@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from edupipe import fixed_values as fv
@@ -50,6 +50,31 @@ def served(recs: DataFrame, as_of: Column, ttl_seconds: int = fv.CACHE_TTL_SECON
     )
 
 
+def served_rows(
+    recs: DataFrame, entries: DataFrame, metadata: DataFrame, item: str, as_of: Column,
+    ttl_seconds: int = fv.CACHE_TTL_SECONDS, n: int = fv.TOP_ITEMS,
+) -> DataFrame:
+    """The answer to every request key: cache_key, place, recommended_id, score, is_cached and the item's metadata.
+
+    entries(cache_key, stored_at, answer: array of (recommended_id, score) in order) are the
+    cached answers.  One that is still alive is served as it is, at most ``n`` rows;
+    otherwise the newest ``n`` rows of the key (ties: score, then id).
+    """
+    age = F.unix_micros(as_of) - F.unix_micros("stored_at")
+    alive = entries.where(age < ttl_seconds * 1_000_000)
+    cached = alive.select("cache_key", F.posexplode(F.slice("answer", 1, n)).alias("at", "a")).select(
+        "cache_key", (F.col("at") + 1).alias("place"), "a.recommended_id", "a.score", F.lit(True).alias("is_cached")
+    )
+    keys = [composite_key(fv.CACHE_PREFIX, user, F.col("source_id")) for user in (F.col("user_id"), F.lit(fv.GENERAL_USER))]
+    keyed = recs.select(F.explode(F.array(*keys)).alias("cache_key"), "timestamp", "score", "recommended_id")
+    place = F.row_number().over(
+        Window.partitionBy("cache_key").orderBy(F.desc("timestamp"), F.desc("score"), F.asc("recommended_id"))
+    )
+    newest = keyed.withColumn("place", place).where(F.col("place") <= n).join(alive.select("cache_key"), "cache_key", "left_anti")
+    fresh = newest.select("cache_key", "place", "recommended_id", "score", F.lit(False).alias("is_cached"))
+    return recommendation_rows(cached.unionByName(fresh), metadata, item)
+
+
 def cache_audit(entries: DataFrame, as_of: Column, ttl_seconds: int = fv.CACHE_TTL_SECONDS) -> DataFrame:
     """Live entries with their remaining whole seconds and number of recommendations.
 

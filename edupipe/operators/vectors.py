@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from edupipe import fixed_values as fv
 from edupipe.operators.dedupe import best_per_key
-from edupipe.operators.skew import salted_join
+from edupipe.session import materialise
 
 # --- expressions -------------------------------------------------------------
 
@@ -230,15 +230,17 @@ def knn_table(
     own neighbour.  The driver holds the pivots and a few numbers per pivot.
     """
     enough = k + 1  # one of them may be the item itself
-    corpus_units = _unit_vectors(corpus, key, vector)
-    query_units = corpus_units if queries is None else _unit_vectors(queries, key, vector)
-    candidates = best_per_key(corpus_units, ["u"], [F.asc("id")], enough)
+    # Written once: statistics, blocks and the answer all read what stands here.
+    corpus_units = materialise(_unit_vectors(corpus, key, vector), "corpus-units")
+    query_units = corpus_units if queries is None else materialise(_unit_vectors(queries, key, vector), "query-units")
+    candidates = materialise(best_per_key(corpus_units, ["u"], [F.asc("id")], enough), "candidates")
     distinct = query_units.groupBy("u").agg(F.min("id").alias("id"))
 
-    wanted = min(max_pivots, max(1, -(-corpus.count() // block_rows)))
+    wanted = min(max_pivots, max(1, -(-candidates.count() // block_rows)))
     sample = candidates.orderBy(F.xxhash64("id"), "id").limit(wanted)
     pivots = np.array([np.frombuffer(r["u"]) for r in sample.collect()]) if wanted > 1 else np.zeros((1, 1))
-    corpus_cells, query_cells = _with_cells(candidates, pivots), _with_cells(distinct, pivots)
+    corpus_cells = materialise(_with_cells(candidates, pivots), "corpus-cells")
+    query_cells = materialise(_with_cells(distinct, pivots), "query-cells")
     corpus_stats = _cell_stats(corpus_cells)
     query_stats = corpus_stats if queries is None else _cell_stats(query_cells)
     inner = _inner_radii(corpus_cells, enough) if len(pivots) > 1 else {}
@@ -262,7 +264,7 @@ def knn_table(
     hit = F.struct((-F.col("score")).alias("order"), "recommended_id", "score")
     lists = found.groupBy("id").agg(F.sort_array(F.collect_list(hit)).alias("hits"))
     by_vector = distinct.join(lists, "id").select("u", "hits")
-    answered = salted_join(query_units, by_vector, ["u"], "inner")
+    answered = query_units.join(materialise(by_vector, "lists"), "u")  # both sides plain: Spark splits a common vector
     others = F.filter("hits", lambda h: h["recommended_id"] != F.col("id"))
     top = answered.select("id", F.explode(F.slice(others, 1, k)).alias("h"))
     return top.select(F.col("id").alias(key), "h.recommended_id", "h.score")

@@ -37,13 +37,9 @@ def archive_recent(rows: DataFrame, path: str, kind: str, ts: str, as_of: Column
     writers.write_history(filters.recent(rows, ts, as_of, "1 hour"), path, kind, ts)
 
 
-def archive_stream(events: DataFrame, path: str, checkpoint: str, ts: str = "timestamp", lateness: str = "1 hour") -> None:
-    """Append a stream to the history by event day, so that late rows reach their day.
-
-    Rows later than ``lateness`` are still written; the watermark only lets the
-    source's progress be read from the query.
-    """
-    dated = events.withWatermark(ts, lateness).withColumn("dt", F.to_date(ts))
+def archive_stream(events: DataFrame, path: str, checkpoint: str, ts: str = "timestamp") -> None:
+    """Append a stream to the history by event day, so that late rows, however late, reach their day."""
+    dated = events.withColumn("dt", F.to_date(ts))
     (
         dated.writeStream.format("parquet").partitionBy("topic", "dt")
         .option("checkpointLocation", checkpoint).outputMode("append")
@@ -52,8 +48,15 @@ def archive_stream(events: DataFrame, path: str, checkpoint: str, ts: str = "tim
 
 
 def expired_history(spark: SparkSession, path: str, as_of: Column, days: int = 7) -> DataFrame:
-    """Day folders past their retention."""
-    folders = spark.read.parquet(path).select(F.col("dt").cast("string").alias("dt"))
+    """Day folders past their retention, from the names of the folders; no data is read.
+
+    Histories are laid out by kind and day, or by day alone.
+    """
+    found = set()
+    for name in readers.folder_names(spark, path):
+        inner = [name] if name.startswith("dt=") else readers.folder_names(spark, f"{path}/{name}")
+        found.update(n.removeprefix("dt=") for n in inner if n.startswith("dt="))
+    folders = spark.createDataFrame([(name,) for name in sorted(found)], "dt string")
     return filters.expired_folders(folders, "dt", as_of, days)
 
 

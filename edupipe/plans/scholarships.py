@@ -199,8 +199,13 @@ def violations(tables: dict[str, DataFrame], countries: DataFrame) -> dict[str,
         "info_field_codes": quality.array_outside(tables["scholarship_info"], "fields_of_study_code", fields),
         "field_code": quality.outside_accepted(tables["scholarship_field_of_study"], "field_code", fields),
     }
-    for bridge in ("program_country", "origin_country"):
-        found[f"{bridge}_dimension"] = quality.orphans(tables[bridge], "country_id", countries, "country_id")
+    found["country_name"] = quality.duplicate_keys(countries, ["name"])
+    dimensions = {"program_country": "country_id", "origin_country": "country_id", "scholarship_field_of_study": "field_code"}
+    for bridge, value in dimensions.items():
+        found[f"{bridge}_parent"] = quality.orphans(tables[bridge], "scholarship_id", tables["scholarship_filter"], "scholarship_id")
+        found[f"{bridge}_pair"] = quality.duplicate_keys(tables[bridge], ["scholarship_id", value])
+        if value == "country_id":
+            found[f"{bridge}_dimension"] = quality.orphans(tables[bridge], value, countries, value)
     return found
 
 

@@ -145,11 +145,15 @@ def stream_first_per_ttl(
     ``STATE_STORE``.  Of a key's rows in a micro batch only one per second is held.  ``tie`` must not be null.
     """
     moment = F.col(ts).cast("timestamp")
-    timed = events.select(*keys, moment.alias("__moment"), _seconds(ts).alias("second"), tie)
+    # As text: pandas would turn whole numbers beside nulls into floats, and join keys beyond 2^53.
+    texts = [F.col(k).cast("string").alias(k) for k in keys]
+    timed = events.select(*texts, moment.alias("__moment"), _seconds(ts).alias("second"), tie)
     timed = timed.where(F.col("second").isNotNull() & F.col(tie).isNotNull()).withWatermark("__moment", late)
-    return timed.groupBy(*keys).transformWithStateInPandas(
+    passed = timed.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=_LastPassed(keys, tie, ttl),
         outputStructType=timed.drop("__moment").schema,
         outputMode="append",
         timeMode="eventTime",
     )
+    types = dict(events.dtypes)
+    return passed.select(*[F.col(k).cast(types[k]).alias(k) for k in keys], "second", tie)

@@ -61,10 +61,11 @@ def test_stream_equals_batch(spark):
 
 def test_null_keys_null_times_and_large_keys(spark):
     big = 9007199254740993
-    rows = [(None, 0, 1), (None, 10, 2), (None, 20, 3), (None, 4000, 4), (big, None, 5), (big, 0, 6), (big, 4000, 7), (big - 1, 1, 8), (big, 4001, 9)]
+    more = [(big + u, s, 100 * u + s) for u in range(2, 30) for s in (0, 5000)]
+    rows = more + [(None, 0, 1), (None, 10, 2), (None, 20, 3), (None, 4000, 4), (big, None, 5), (big, 0, 6), (big, 4000, 7), (big - 1, 1, 8), (big, 4001, 9)]
     data = [(u, None if s is None else START + datetime.timedelta(seconds=s), e) for u, s, e in rows]
     events = spark.createDataFrame(data, "user long, ts timestamp, event long")
-    expected = [(None, 0, 1), (None, 4000, 4), (big - 1, 1, 8), (big, 0, 6), (big, 4000, 7)]
+    expected = more + [(None, 0, 1), (None, 4000, 4), (big - 1, 1, 8), (big, 0, 6), (big, 4000, 7)]
     got = _plain(ttl.first_per_ttl(events, ["user"], "ts", "event"))
     assert got == sorted(expected, key=repr)
     source = fresh_path(spark, "source")
