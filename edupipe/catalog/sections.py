@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from edupipe.catalog.registry import query
 from edupipe.functions import links, sections
+from edupipe.plans import scholarships
 
 _STRIP = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
 
@@ -106,3 +107,42 @@ def extract_urls(t):
     return t.pages.select(
         "page_id", links.extract_websites([contact, F.col("html"), F.col("url"), F.lit("")]).alias("website")
     )
+
+
+_CLEAN = r"regexp_replace(regexp_replace(lower({}), '^\s+|\s+$', '', 'g'), '\s{{2,}}', ' ', 'g')"
+_LEVEL = "CASE lang WHEN 'en' THEN 'Master' WHEN 'de' THEN 'Bachelor' WHEN 'fr' THEN 'PhD' ELSE 'Faculty' END"
+
+
+@query(
+    "trusted_records",
+    f"""SELECT doc_id || ' ' || lower(source) AS scholarship_name, {_CLEAN.format("text")} AS description, 'germany' AS program_country,
+          CASE WHEN doc_id % 3 = 0 THEN 'france' ELSE 'spain' END AS origin_country, lower(source) || ' eur' AS funding_info,
+          lower({_LEVEL}) AS program_level,
+          CASE lang WHEN 'en' THEN 'bachelor' WHEN 'de' THEN 'high school diploma' WHEN 'fr' THEN 'master' ELSE '-' END AS required_level,
+          CASE WHEN lang = 'en' THEN '1 may' ELSE '31/12/2025' END AS deadline, 'fall' AS intake,
+          CASE WHEN lang = 'de' THEN 'abitur' ELSE 'not specified' END AS exams, 'maths ' || lang AS fields_of_study,
+          n_chars || ' months' AS duration, 'cv ' || lang AS documents, 'not specified' AS website,
+          CASE WHEN lang = 'fr' THEN 'Write' ELSE 'not specified' END AS instructions
+        FROM documents WHERE doc_id % 7 <> 0""",
+)
+def trusted_records(t):
+    """The whole projection, on texts without links; every seventh record lacks a field that it must have."""
+    overview = _joined(
+        "About\nProgramme Description\n ", F.col("text"), "\nDuration\n", F.col("n_chars").cast("string"),
+        " months\nScholarship Value\n", F.col("source"), " EUR \n\nAPPLICATION PAPERS\nCV ", F.col("lang"),
+        "\nApplication Deadline\n31/12/2025\n",
+    )
+    lang = F.col("lang")
+    raw = t.documents.select(
+        F.concat(F.col("doc_id").cast("string"), F.lit(" "), "source").alias("Name"),
+        F.when(F.col("doc_id") % 3 == 0, " France ").otherwise("Spain").alias("Country of Origin"),
+        F.when(F.col("doc_id") % 7 == 0, "N/A").when(lang == "en", "Master").when(lang == "de", "Bachelor").when(lang == "fr", "PhD").otherwise("Faculty").alias("Status"),
+        F.concat(F.lit("Maths  "), lang).alias("Fields of Study"),
+        overview.alias("Overview"),
+        F.when(lang == "de", "Abitur ").otherwise("N/A").alias("Application Requirements"),
+        F.when(lang == "en", "Application Deadline: 1 May\n").alias("Application Procedure"),
+        F.when(lang == "fr", "Write").otherwise("N/A").alias("Application Instructions"),
+        F.lit(None).cast("string").alias("Contact Information"),
+    )
+    found = scholarships.trusted(raw).drop("last_updated_utc")
+    return found.withColumn("required_level", F.coalesce("required_level", F.lit("-")))
