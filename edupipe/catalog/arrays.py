@@ -1,14 +1,17 @@
 """Array columns.  The arrays are made inside each row (words, lines, names), so
 nothing has to be gathered from other rows."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from edupipe import fixed_values as fv
 from edupipe.catalog.registry import query
 from edupipe.functions import arrays, values
 from edupipe.operators import nested
-from edupipe.plans import shapes
+from edupipe.plans import people, shapes
 from edupipe.plans.people import standardise
+from edupipe.session import materialise
 
 
 def _words(t, *fields):
@@ -206,3 +209,68 @@ def standardise_profile(t):
             " ",
         ).alias("educations"),
     )
+
+
+_VALID = "SELECT doc_id, lower(source) AS source, lower(source) || '.' || doc_id || '@gmail.com' AS email FROM documents WHERE lang = 'en'"
+_YEAR = "CASE WHEN n % 5 <> 0 THEN 2000 + n END"
+_RANK = "CASE level WHEN 'advanced' THEN 3 WHEN 'intermediate' THEN 2 ELSE 1 END"
+
+
+def _countries(t):
+    return t.spark.createDataFrame([("Germany",), ("France",), ("Spain",)], "name string")
+
+
+@query(
+    "facet_edges",
+    f"""WITH v AS ({_VALID}), l AS (SELECT * FROM ({_LINES_SQL}) JOIN v USING (doc_id)), w AS (SELECT * FROM ({_WORDS_SQL}) JOIN v USING (doc_id))
+        SELECT 'SPEAKS' AS type, email AS src, trim(name) AS dst, level AS detail FROM l
+          QUALIFY row_number() OVER (PARTITION BY email, trim(name) ORDER BY {_RANK} DESC, pos) = 1
+        UNION ALL SELECT DISTINCT 'HAS_SKILL', email, lower(trim(word)), '-' FROM w
+        UNION ALL SELECT DISTINCT 'HAS_DEGREE', email, lower(trim(word)), '-' FROM (
+          SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY email, trim(name) ORDER BY {_YEAR} DESC NULLS LAST, pos) = 1)
+        UNION ALL SELECT DISTINCT 'HAS_CERTIFICATION', email, trim(name), '-' FROM l
+        UNION ALL SELECT DISTINCT 'HAS_HONOR', email, trim(name), '-' FROM l
+        UNION ALL SELECT DISTINCT 'WORKED_AT', email, trim(name), '-' FROM l""",
+)
+def facet_edges(t):
+    """All six facets of the standard profiles, as typed edges."""
+    clean = materialise(people.standardise(shapes.profiles(t.documents), _countries(t), "name"), "standard")  # feeds six facets
+    found = people.edges(people.facets(clean))
+    rows = [e.select("type", "src", "dst", F.col("level").alias("detail") if kind == "SPEAKS" else F.lit("-").alias("detail")) for kind, e in found.items()]
+    return reduce(lambda a, b: a.unionByName(b), rows)
+
+
+def _list_sql(shown, rows):
+    return f"(SELECT source, string_agg({shown}, '|' ORDER BY {shown}) AS shown FROM ({rows}) GROUP BY source)"
+
+
+@query(
+    "merged_profiles",
+    f"""WITH v AS ({_VALID}), l AS (SELECT source, trim(name) AS name, lower(trim(word)) AS word, {_YEAR} AS year FROM ({_LINES_SQL}) JOIN v USING (doc_id)),
+          w AS (SELECT source, lower(trim(word)) AS word FROM ({_WORDS_SQL}) JOIN v USING (doc_id)),
+          names AS {_list_sql("name", "SELECT DISTINCT source, name FROM l")},
+          dated AS {_list_sql("name || ':' || coalesce(CAST(year AS VARCHAR), '-')", "SELECT source, name, max(year) AS year FROM l GROUP BY source, name")},
+          courses AS {_list_sql("word", "SELECT DISTINCT source, word FROM l")},
+          skills AS {_list_sql("word", "SELECT DISTINCT source, word FROM w")}
+        SELECT names.source || '@gmail.com' AS email, md5(skills.shown) AS skills, md5(courses.shown) AS courses, names.shown AS honors, names.shown AS languages,
+               names.shown AS experiences, dated.shown AS educations, dated.shown AS licenses
+        FROM names JOIN dated USING (source) JOIN courses USING (source) JOIN skills USING (source)""",
+)
+def merged_profiles(t):
+    """Profiles that share an address (the source of their document) become one; all seven arrays are compared."""
+    raw = shapes.profiles(t.documents)
+    domain = F.element_at(F.split("email", "@"), -1)
+    raw = raw.withColumn("email", F.concat(F.split("email", r"\.")[0], F.lit("@"), domain))
+    merged = people.one_per_person(materialise(people.standardise(raw, _countries(t), "name"), "standard"))
+
+    def names(array, field, year=None):
+        shown = F.transform(array, lambda x: x[field] if year is None else F.concat_ws(":", x[field], F.coalesce(x[year].cast("string"), F.lit("-"))))
+        return F.array_join(F.array_sort(shown), "|")
+
+    return merged.select(
+        "email", F.md5(names("skills", "name")).alias("skills"), F.md5(names("courses", "course_name")).alias("courses"),
+        names("honors", "honor").alias("honors"), names("languages", "language").alias("languages"),
+        names("experiences", "company_name").alias("experiences"),
+        names("educations", "institution_name", "graduation_year").alias("educations"),
+        names("licenses", "license_name", "issued_year").alias("licenses"),
+    )

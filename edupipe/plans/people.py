@@ -102,11 +102,11 @@ def standardise(profiles: DataFrame, countries: DataFrame, country_column: str)
     return arrays.keep_longest_in_array(clean, "experiences", "company_name", "designations", "duration")
 
 
-def one_per_person(standard: DataFrame, null_key: str = "collapse") -> DataFrame:
+def one_per_person(standard: DataFrame, null_key: str = "drop") -> DataFrame:
     """One profile per email.
 
-    Profiles without a valid email become one profile (``collapse``) or are left
-    out (``drop``).  Scalars come from the least (name, url) row that has them.
+    Profiles without a valid email are left out (``drop``), or become one profile (``collapse``), which
+    gathers their distinct names in one row.  Scalars come from the least (name, url) row that has them.
     """
     if null_key not in ("collapse", "drop"):
         raise ValueError(null_key)
