@@ -58,6 +58,11 @@ NOISE = frozenset(
     "search searchbox form toolbar share sharing social related recommended recommendations more-like trending pagination pager "
     "comment comments commentlist respond reply replies disqus discussion feedback reviews skip".split()
 )
+#: words beside a mark that make it a matter of layout, as in "has-sidebar"
+LAYOUT = frozenset("has no with without layout".split())
+#: marks that count on an article element too, and those that do not count inside an article
+OF_ARTICLES = frozenset("ad ads advert sponsored promo related comment comments reply replies".split())
+IN_ARTICLES = frozenset("header masthead".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 
 TOKEN = re.compile(
@@ -88,11 +93,12 @@ def _is_noise(tag: str, attributes: str, inside_article: bool) -> bool:
         name, value = name.lower(), "".join(values).lower()
         if name == "role" and value.strip() in ROLES:
             return True
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
+        if name in ("class", "id") and tag != "main" and not (inside_article and tag in HEADINGS):
+            marks = OF_ARTICLES if tag == "article" else NOISE - IN_ARTICLES if inside_article else NOISE
             for word in value.split():
-                if word in NOISE or not NOISE.isdisjoint(PARTS.findall(word)):
-                    if not (inside_article and tag in HEADINGS):
-                        return True
+                parts = PARTS.findall(word)
+                if word in marks or (not marks.isdisjoint(parts) and LAYOUT.isdisjoint(parts)):
+                    return True
         if (name == "aria-hidden" and value == "true") or (name == "style" and HIDDEN.search(value)):
             return True
     return "hidden" in attributes.lower().split()
@@ -162,6 +168,12 @@ def parse(page: str) -> Node:
             here = close(here)
         made = Node(tag, here, _is_noise(tag, attributes, open_article > 0))
         here.parts.append(made)
+        if tag in ("article", "main") and not made.noise:  # what holds the article is no sidebar, whatever its class says
+            above = here
+            while above is not None:
+                if above.tag in ("div", "section", "span"):
+                    above.noise = False
+                above = above.parent
         if tag not in VOID and not attributes.endswith("/"):
             open_article += tag in ("article", "main")
             here = made

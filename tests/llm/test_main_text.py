@@ -48,6 +48,15 @@ def test_density_finds_the_core_without_an_article_element():
     assert text == "\n".join(["Heading", *PLAIN * 3])
 
 
+def test_classes_of_layout_and_of_article_parts():
+    text = main_text(page(
+        "<div class='page sidebar-right'><main class='has-sidebar'><article class='post'><header class='entry-header'><h1 class='page-header'>A title</h1></header>"
+        + paragraphs() + "<footer class='entry-footer'><p>Filed under things</p></footer></article>"
+        "<article class='comment'><p>" + "A reader says a lot. " * 40 + "</p></article></main><div class='widget-area'><p>More</p></div></div>"
+    ))
+    assert text == "\n".join(["A title", *PLAIN])
+
+
 def test_paragraphs_straight_in_the_body():
     assert main_text(page(paragraphs())) == "\n".join(PLAIN)
     assert main_text("Just <i>text</i>,\n no body") == "Just text, no body"
