@@ -20,6 +20,7 @@ text, then by the text.  An empty table gives no parts and no rows.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import unicodedata
@@ -30,6 +31,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -42,7 +44,10 @@ from edupipe.session import fresh_path, materialise
 
 MAGIC = b"TOKBLK01"
 IDS_PER_BLOCK = 4096
-CACHED = 300_000        # words that one worker keeps the ids of
+CACHED = 400_000        # words that one worker keeps the ids of, and as many from before
+WORDS_AT_ONCE = 200     # words that are encoded as one text
+PORTION = 500_000       # bytes of texts whose words are looked up together
+WORD_END = "</w>"       # fixed value: how the scheme marks the last token of a word
 LONGEST = 48            # characters of a word that is kept
 READ_IDS = 1 << 20      # ids that a reader unpacks at a time
 TRAILER = "<IIQQQQI8s"
@@ -183,27 +188,54 @@ class _Encoder:
     """Ids of texts as little-endian 32-bit bytes; the ids of a word are kept for the next time."""
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # which ids end a word
+        for token, i in vocabulary.items():
+            self.ends[i] = token.endswith(WORD_END)
         self.cache: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> bytes:
-        steady = text.isascii() or is_steady(text)
-        if not steady or (self.added and self.added.search(text)):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words, cache = word_end(unicodedata.normalize("NFC", text).lower()), self.cache
-        new = set(words).difference(cache)
-        if new:
-            if len(cache) > CACHED:
-                cache.clear()
-                new = set(words)
-            found = self.tokenizer.encode_batch_fast(list(new), add_special_tokens=False)
-            made = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, found)}
-            ids = b"".join([made[w] if w in made else cache[w] for w in words])
-            cache.update((w, i) for w, i in made.items() if len(w) <= LONGEST)
-            return ids
-        return b"".join(map(cache.__getitem__, words))
+        self.before: dict[str, bytes] = {}  # the cache before this one, until that is full
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of words, many of them encoded as one text; the last token of each says so."""
+        made: dict[str, bytes] = {}
+        groups = [words[at : at + WORDS_AT_ONCE] for at in range(0, len(words), WORDS_AT_ONCE)]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(group) and stops[-1] == len(ids):
+                data, edges = ids.tobytes(), [0, *(4 * stops).tolist()]
+                made.update((w, data[a:b]) for w, a, b in zip(group, edges, edges[1:]))
+            else:  # some piece was split or joined with its neighbour
+                alone = self.tokenizer.encode_batch_fast(group, add_special_tokens=False)
+                made.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(group, alone))
+        return made
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each of some texts, which are looked up together."""
+        split: list[list[str] | None] = []
+        for text in texts:
+            plain = (text.isascii() or is_steady(text)) and not (self.added and self.added.search(text))
+            split.append(word_end(unicodedata.normalize("NFC", text).lower()) if plain else None)
+        new = set().union(*(words for words in split if words)).difference(self.cache)
+        if len(self.cache) + len(new) > CACHED:
+            self.cache, self.before = {}, self.cache
+            new = set().union(*(words for words in split if words))
+        known = {w: self.before[w] for w in new if w in self.before}
+        known.update(self._learn([w for w in new if w not in known]))
+        self.cache.update(known)
+        look = self.cache.__getitem__
+        done = [
+            np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() if words is None else b"".join(map(look, words))
+            for text, words in zip(texts, split)
+        ]
+        for word in known:
+            if len(word) > LONGEST:  # rare, and not worth its room
+                del self.cache[word]
+        return done
 
 
 def _encoder(path: str) -> _Encoder:
@@ -213,6 +245,17 @@ def _encoder(path: str) -> _Encoder:
     return state[path]
 
 
+def _portions(texts: pa.Array) -> Iterator[range]:
+    """Neighbouring rows of about ``PORTION`` bytes together."""
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    first = 0
+    while first < len(texts):
+        before = sizes[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(sizes, before + PORTION, "right")))
+        yield range(first, last)
+        first = last
+
+
 def write_token_files(docs: DataFrame, tokenizer: str, end_id: int | None, folder: str | None = None) -> DataFrame:
     """Write the ids of all texts in ascending order of doc_id; the table of parts:
     part, file, n_docs, n_ids and start (ids in all parts before).
@@ -229,12 +272,14 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int | None, folde
         system, path = filesystem(target)
         name = f"part-{part:06d}-{uuid.uuid4().hex}.tok"
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for some in _portions(batch.column(1)):
                 if writer is None:
                     system.create_dir(path, recursive=True)
                     stream = system.open_output_stream(f"{path}/{name}")
                     writer = Writer(stream, width)
-                writer.add(doc_id, np.frombuffer(encoder.encode(text.as_py()) + end, "<u4"))
+                doc_ids = batch.column(0).slice(some.start, len(some)).to_pylist()
+                for doc_id, ids in zip(doc_ids, encoder.encode(batch.column(1).slice(some.start, len(some)).to_pylist())):
+                    writer.add(doc_id, np.frombuffer(ids + end, "<u4"))
         if writer is not None:
             writer.close()
             stream.close()
