@@ -6,7 +6,7 @@ from helpers import plan_of
 
 from edupipe.catalog import QUERIES
 
-KEEPS_ONE_PER_KEY = ["dedupe_keyed", "keep_highest_rank", "keep_latest", "keep_longest", "latest_per_source", "vector_knn_table"]
+KEEPS_ONE_PER_KEY = ["dedupe_keyed", "keep_highest_rank", "keep_latest", "keep_longest", "latest_per_source"]
 STAYS_IN_ITS_ROW = ["nested_dedupe", "nested_keep_highest", "nested_keep_latest", "nested_keep_longest", "nested_transform", "extract_section", "extract_urls", "link_counts"]
 
 
