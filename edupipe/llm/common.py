@@ -12,9 +12,23 @@ from pyspark.sql import functions as F
 from edupipe.session import materialise
 
 KEY = "dk"
+BATCH_ROWS = 1000  # texts that travel to a worker at a time
 INTEGERS = ("tinyint", "smallint", "int", "bigint")
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that sends at most ``BATCH_ROWS`` rows to a Python worker at a time.
+
+    Rows here are whole texts: Spark's own default of ten thousand rows would put tens of
+    megabytes into every buffer of every task, several times over.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(df.sparkSession.conf.get(setting))
+    if rows <= 0 or rows > BATCH_ROWS:
+        df.sparkSession.conf.set(setting, str(BATCH_ROWS))
+    return df
+
+
 def keyed(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """``docs`` as (dk long, row struct): every row a document of its own, known by ``dk``.
 
@@ -22,6 +36,7 @@ def keyed(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     are numbered and written once, so that a number stays with its row when tasks run again.
     Columns of the input live inside ``row`` and cannot clash with names used here.
     """
+    small_batches(docs)
     if dict(docs.dtypes)[key] in INTEGERS:
         found = docs.agg(
             F.count("*").alias("rows"), F.count(key).alias("keys"), F.count_distinct(key).alias("kinds")

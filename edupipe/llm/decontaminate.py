@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from edupipe.llm.common import small_batches
 from edupipe.session import materialise
 
 WINDOW = 13
@@ -201,7 +202,7 @@ def _automata(benchmark: DataFrame, item: str, window: int) -> Iterator[Automato
 def read_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, item: str = "item_id") -> DataFrame:
     """Each row of ``docs`` as (row, n_words, starts, ends, items): the spans of hit words
     [start, end) in order, and the ids of the items with windows there, sorted."""
-    read = docs.select(F.struct("*").alias("row"))
+    read = small_batches(docs).select(F.struct("*").alias("row"))
     kind = T.StructType([T.StructField("row", docs.schema), *FOUND])
     context = docs.sparkSession.sparkContext
     for number, automaton in enumerate(_automata(benchmark, item, window)):

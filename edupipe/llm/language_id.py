@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edupipe.llm.common import worker_state
+from edupipe.llm.common import small_batches, worker_state
 from edupipe.session import materialise
 
 BUCKETS = 1 << 15
@@ -227,7 +227,7 @@ def fit(docs: DataFrame) -> Model:
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """Each row of ``docs`` as (row, held_out, lang_pred, score)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model or fit(docs))
+    shared = small_batches(docs).sparkSession.sparkContext.broadcast(model or fit(docs))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learned = shared.value

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from edupipe.llm.common import small_batches
+
 # Names of HTML elements by what they mean for the text.
 RAW = frozenset("script style noscript template iframe textarea title xmp noembed noframes svg math object canvas".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -347,5 +349,5 @@ def extract(pages: DataFrame) -> DataFrame:
                 names=["page_id", "url", "text", "n_chars"],
             )
 
-    known = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    known = small_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     return known.mapInArrow(read, "page_id long, url string, text string, n_chars long")

@@ -142,7 +142,7 @@ def _shards(capacity: int):
 
 def n_words() -> Column:
     """Words between white space, the default unit."""
-    return F.size(F.filter(F.split(whole_text(), r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("long")
+    return F.regexp_count(whole_text(), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
 def same_text() -> Column:
