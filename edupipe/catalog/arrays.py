@@ -64,7 +64,7 @@ def nested_keep_longest(t):
     "nested_transform",
     r"""SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda l: length(l) || '=' ||
           array_to_string(list_transform(string_split(l, ' '), lambda w: lower(trim(w)) || '/' ||
-            coalesce(CAST(TRY_CAST(trunc(TRY_CAST(nullif(regexp_extract(w, '([0-9]+(?:\.[0-9]+)?)', 1), '') AS DOUBLE)) AS INT) AS VARCHAR), '')), ',')), '|') AS rebuilt
+            coalesce(CAST(TRY_CAST(trunc(TRY_CAST(nullif(regexp_extract(w, '([0-9]+(?:\.[0-9]+)?)', 1), '') AS DOUBLE)) AS BIGINT) AS VARCHAR), '')), ',')), '|') AS rebuilt
         FROM documents""",
 )
 def nested_transform(t):
