@@ -1,0 +1,155 @@
+"""Repeated runs of lines, wherever they begin and whatever stands around them.
+
+A passage is a run of two lines or more, no two blank ones in a row, or one line of over ``WORDS`` words.  What
+occurs again goes, and of equal passages the first (least document, then first in it) stays.  Each adjacent pair of
+lines is looked up by itself, so nothing depends on where a run begins: a run occurred before exactly if all of
+its pairs did, and the pairs of all repeated runs together are the maximal ones.
+
+A document finds its own repeats by their bytes.  Of what it has, the hashes of lines meet with those of other
+documents; the lines of whatever meets are compared byte by byte, and where lines with one hash differ, their
+passages meet again by their bytes.  Joins are merge joins at every size: what a small table takes then tells what a large one takes.
+
+Defined results.  A null text stays null and has no lines; an empty text is one empty line.  A single line of ``WORDS`` words or fewer is
+not a passage and stays, and so do blank lines by themselves.  The lines that stay are joined as they were; a text that loses all its lines
+is empty.  Every row is a document of its own (see ``common.keyed``).  An empty table gives an empty result.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from edupipe.llm.common import KEY, keyed
+from edupipe.llm.line_dedup import _signed
+from edupipe.llm.narrowing import document_filter, narrowed
+from edupipe.session import materialise
+
+WORDS = 50  # a line of more words is a passage by itself
+UNIT = ["l1", "l2", "n"]
+
+
+def units(lines: list[bytes]) -> dict[tuple[bytes, ...], list[int]]:
+    """The pairs of lines and the long lines of a text, each with the places where it begins."""
+    places: dict[tuple[bytes, ...], list[int]] = {}
+    blank = [not line.strip() for line in lines]
+    for at, line in enumerate(lines):
+        if len(line) > 2 * WORDS and len(line.split()) > WORDS:
+            places.setdefault((line,), []).append(at)
+        if at + 1 < len(lines) and not (blank[at] and blank[at + 1]):
+            places.setdefault((line, lines[at + 1]), []).append(at)
+    return places
+
+
+def _hash(line: bytes) -> int:
+    return _signed(xxhash.xxh3_64_intdigest(line))
+
+
+def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each unit of a document once, at its first place."""
+    for batch in batches:
+        rows = []
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for unit, places in units(text.as_py().split(b"\n")).items():
+                rows.append((key, places[0], len(unit), _hash(unit[0]), _hash(unit[1]) if len(unit) > 1 else 0))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=[KEY, "at", "n", "l1", "l2"])
+
+
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different lines of some units with their hashes, from (dk, text, found)."""
+    for batch in batches:
+        bodies = set()
+        for text, found in zip(batch.column(1), batch.column(2).to_pylist()):
+            lines = text.as_py().split(b"\n")
+            bodies.update(line for f in found for line in lines[f["at"] : f["at"] + f["n"]])
+        if bodies:
+            rows = list(bodies)
+            yield pa.RecordBatch.from_arrays([pa.array(map(_hash, rows), pa.int64()), pa.array(rows, pa.binary())], names=["hash", "body"])
+
+
+def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of some units, from (dk, text, found)."""
+    for batch in batches:
+        rows = []
+        for key, text, found in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+            lines = text.as_py().split(b"\n")
+            rows += [(key, f["at"], f["n"], b"\n".join(lines[f["at"] : f["at"] + f["n"]])) for f in found]
+        if rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.binary() if i == 3 else pa.int64()) for i, c in enumerate(zip(*rows))], names=[KEY, "at", "n", "body"]
+            )
+
+
+def _with_texts(texts: DataFrame, some: DataFrame, label: str) -> DataFrame:
+    """(dk, text, found) of the documents that have some units (dk, at, n)."""
+    found = materialise(some.groupBy(KEY).agg(F.collect_list(F.struct("at", "n")).alias("found")), label)
+    return narrowed(texts, document_filter(found), True).join(found.hint("merge"), KEY)
+
+
+def later_units(texts: DataFrame) -> DataFrame:
+    """(dk, found: list of (at, n)): the units of documents (dk, text as bytes) that an earlier document has."""
+    cut = materialise(texts.mapInArrow(_hashes, "dk long, at long, n long, l1 long, l2 long"), "units")
+    often = cut.groupBy(*UNIT).agg(F.count("*").alias("documents"), F.min(KEY).alias("first"))
+    often = materialise(often.where("documents > 1").select(*UNIT, "first"), "often")
+    again = materialise(cut.join(often.hint("merge"), UNIT), "again")
+    lines = _with_texts(texts, again, "candidates").mapInArrow(_lines, "hash long, body binary")
+    mixed = materialise(lines.distinct().groupBy("hash").count().where("count > 1").select("hash"), "mixed")
+    if mixed.isEmpty():
+        later = again.where(F.col(KEY) != F.col("first")).select(KEY, "at", "n")
+    else:
+        place = [KEY, "at", "n"]
+        of = again.select(*place, F.explode(F.array("l1", "l2")).alias("hash"))
+        unsure = materialise(of.join(mixed, "hash", "left_semi").select(*place).distinct(), "unsure")
+        sure = again.join(unsure, place, "left_anti").where(F.col(KEY) != F.col("first")).select(*place)
+        read = _with_texts(texts, unsure, "unsure-documents")
+        bodies = materialise(read.mapInArrow(_bodies, "dk long, at long, n long, body binary"), "bodies")
+        firsts = materialise(bodies.groupBy("n", "body").agg(F.min(KEY).alias("first")), "firsts")
+        later = sure.unionByName(bodies.join(firsts, ["n", "body"]).where(F.col(KEY) != F.col("first")).select(*place))
+    return materialise(later.groupBy(KEY).agg(F.collect_list(F.struct("at", "n")).alias("found")), "later")
+
+
+def _rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What is left of texts, from (row, found)."""
+    for batch in batches:
+        row = batch.column("row")
+        where = row.type.get_field_index("text")
+        texts, n_lines, n_removed, n_runs = [], [], [], []
+        for text, found in zip(row.field(where).to_pylist(), batch.column("found").to_pylist()):
+            lines = [] if text is None else text.encode().split(b"\n")
+            before = {(f["at"], f["n"]) for f in found or []}
+            gone = set()
+            for unit, places in units(lines).items():
+                for at in places if (places[0], len(unit)) in before else places[1:]:
+                    gone.update(range(at, at + len(unit)))
+            n_lines.append(len(lines))
+            n_removed.append(len(gone))
+            n_runs.append(sum(at - 1 not in gone for at in gone))
+            texts.append(b"\n".join(line for i, line in enumerate(lines) if i not in gone).decode() if gone else text)
+        fields = [row.field(i) for i in range(row.type.num_fields)]
+        fields[where] = pa.array(texts, row.type.field(where).type)
+        made = pa.StructArray.from_arrays(fields, fields=list(row.type))
+        yield pa.RecordBatch.from_arrays(
+            [made, pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(n_runs, pa.int64())],
+            names=["row", "n_lines", "n_removed", "n_runs"],
+        )
+
+
+def line_runs(docs: DataFrame) -> DataFrame:
+    """Each document as (row with what is left of the text, n_lines before, n_removed lines, n_runs of lines removed)."""
+    rows = keyed(docs)
+    texts = rows.select(KEY, F.coalesce(F.col("row.text").cast("string"), F.lit("")).cast("binary").alias("text"))
+    later = later_units(texts)
+    words = document_filter(later)
+    kind = T.StructType([
+        T.StructField("row", docs.schema), T.StructField("n_lines", T.LongType()),
+        T.StructField("n_removed", T.LongType()), T.StructField("n_runs", T.LongType()),
+    ])
+    none = F.lit(None).cast(later.schema["found"].dataType)
+    alone = narrowed(rows, words, False).select("row", none.alias("found"))  # needs no shuffle
+    cut = narrowed(rows, words, True).join(later.hint("merge"), KEY, "left").select("row", "found")
+    return alone.unionByName(cut).mapInArrow(_rest, kind)
