@@ -118,6 +118,26 @@ def src_path_fields(t):
     return readers.with_path_fields(scan.withColumn("path", path), F.col("path")).select("event_id", "date_folder", "file_name")
 
 
+@query(
+    "src_path_fields_all",
+    """SELECT event_id, strftime(ts, '%Y-%m-%d') AS date_folder, event_type || '.csv' AS file_name FROM events
+       WHERE event_type NOT IN ('view', 'error')""",
+)
+def src_path_fields_all(t):
+    """All events in folders by day and kind, read back by the paths that Spark gives them; one kind has no day, one is JSON."""
+    folder = fresh_path(t.spark, "history")
+    day = F.when(F.col("event_type") == "view", "undated").otherwise(F.date_format("ts", "yyyy-MM-dd"))
+    rows = t.events.select(F.col("event_id").cast("string").alias("value"), "event_type", day.alias("day"))
+    for kinds, ending in ((F.col("event_type") != "error", "csv"), (F.col("event_type") == "error", "json")):
+        files = rows.where(kinds).hint("rebalance", F.col("day"), F.col("event_type"))
+        files.write.mode("append").partitionBy("day", "event_type").format(ending).save(folder)
+    scan = t.spark.read.option("recursiveFileLookup", True).text(folder)
+    # Spark writes a folder of parts for each kind: its name stands for that of the file.
+    path = F.regexp_replace("_metadata.file_path", r"/event_type=([^/]+)/part-[^/]*(\.\w+)$", "/$1$2")
+    named = readers.with_path_fields(scan.withColumn("path", path), F.col("path"))
+    return named.select(F.expr("try_cast(value AS BIGINT)").alias("event_id"), "date_folder", "file_name")
+
+
 @query(
     "coerce_to_schema",
     """SELECT event_id, json_extract_string(props, '$.k') AS k, CASE event_type WHEN 'view' THEN 'not specified' ELSE event_type END AS name,
