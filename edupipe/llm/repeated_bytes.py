@@ -19,8 +19,8 @@ sort, as no window of it can be repeated:
   compares the bytes themselves.
 
 A group that fits in a task is refined there.  A group of more than ``MEMBERS`` different runs is dealt out
-anew by its next digit, up to single windows, where counting is enough; no group is ever
-held as a whole.
+anew by its next digit (a 128-bit digest that only brings rows together), up to single windows, whose bytes
+are compared by counting them; no group is ever held as a whole.
 
 Defined results.  Null is empty.  Texts shorter than ``DEPTH`` bytes lose nothing.  All occurrences go, the first one too,
 and strings are judged on the input.  Every row is a document of its own (see ``common.keyed``), so a
@@ -235,8 +235,13 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     for finer in (*RANGES, None):
         key = ["g1", "g2", "low"]
         counts = materialise(level.groupBy(*key).agg(F.count("*").alias("members")), "digits").where("members > 1")
-        if finer is None:  # equal groups of single windows are the repeated windows
-            alike = level.where("wanted").join(counts, key, "left_semi")
+        if finer is None:  # equal windows of these groups are the repeated windows
+            window = F.expr(f"substring(ctx, o_max - low + 1, {DEPTH})").alias("window")
+            single = level.join(counts, key, "left_semi").select(*key, window, KEY, "p", "wanted")
+            single = materialise(single, "windows")
+            equal = single.groupBy(*key, "window").agg(F.count("*").alias("members")).where("members > 1")
+            equal = materialise(equal.drop("members"), "equal-windows")
+            alike = single.where("wanted").join(equal, [*key, "window"], "left_semi")
             start = (F.col("p") - F.col("low")).alias("start")
             return spans.unionByName(alike.select(KEY, start, (F.col("p") - F.col("low") + DEPTH).alias("stop")))
         fit = level.join(counts.where(F.col("members") <= MEMBERS), key, "left_semi")
