@@ -143,7 +143,7 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_filter_audit", r"""
 WITH texts AS (
   SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body,
-         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS words
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
   FROM documents
 ), failing AS (
   SELECT doc_id, part, len(words) < 50 AS a, 100 * len(list_distinct(words)) < 65 * len(words) AS b,
@@ -164,7 +164,7 @@ WITH texts AS (
   WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5
 ), outcomes AS (
   SELECT part, filter_order, step, filter_order[step] AS f, fails[filter_order[step]] AS failing,
-         len(list_filter(range(1, step), i -> fails[filter_order[i]])) > 0 AS gone, n_fails, good, toxic, n
+         len(list_filter(range(1, step), lambda i: fails[filter_order[i]])) > 0 AS gone, n_fails, good, toxic, n
   FROM masks, orders, (SELECT unnest(range(1, 6)) AS step)
 ), summed AS (
   SELECT part, filter_order, step, f,
