@@ -6,9 +6,6 @@ itself).  Every token is an interval of bytes.  The tokens of both sides are sor
 start reaches it.  Inside a group the overlaps are expanded into pairs of an A and a B token; a
 pair whose two ranges end together is a link.
 
-Tokens of a word do not depend on the words around it, on either side: words are looked up in
-two generations of a worker's cache and only new ones are encoded.
-
 How often an id pair is linked in the whole corpus is counted in each task first and summed after one
 shuffle.  The ``FREQUENT`` most frequent pairs are broadcast, which bounds the broadcast; the links of
 the others, none of which is a hot key then, meet their counts in a join.  Texts are read and
@@ -23,70 +20,34 @@ empty result.  Other columns are not looked at.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from edupipe.llm.common import KEY, keyed, whole_text, worker_state
-from edupipe.llm.pretokens import byte_level, is_steady
+from edupipe.llm.pretokens import BYTE_LEVEL_PATTERN, is_steady
 from edupipe.session import materialise
 
 CHUNK_TOKENS = 200_000    # tokens that are aligned in one pass
-CACHED = 150_000          # words in one generation of a cache
-LONGEST = 48              # characters of a word that is kept
 HELD_PAIRS = 1_000_000    # different pairs that a task counts before it hands them on
 FREQUENT = 524_288        # pairs in the broadcast table
 SPACE = "▁"          # how B writes a space
-unit = re.compile(" *[^ ]+| +").findall
+long_run = re.compile(r"\S{2000}|\s{2000}").search
 
 A_IDS, B_IDS = "a_ids array<int>", "b_ids array<int>"
 GROUPS = f"dk long, {A_IDS}, {B_IDS}, a_cuts array<int>, b_cuts array<int>, byte_cuts array<long>"
 
 
-class _Words:
-    """Ids of words as packed 32-bit numbers; what is met again is not encoded again."""
-
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], pieces: list[bytes | None]) -> None:
-        self.encode, self.pieces = encode, pieces
-        self.lengths = np.array([len(p or b"") for p in pieces], np.int64)
-        self.now: dict[str, bytes | None] = {}
-        self.before: dict[str, bytes | None] = {}
-
-    def _packed(self, word: str, ids: list[int]) -> bytes | None:
-        parts = [self.pieces[i] for i in ids]
-        whole = None not in parts and b"".join(parts) == word.encode()
-        return np.array(ids, np.uint32).tobytes() if whole else None
-
-    def ids(self, words: list[str]) -> np.ndarray | None:
-        """The ids of the words in a row; None when they do not give the words back."""
-        now, before = self.now, self.before
-        new: dict[str, bytes | None] = {}
-        for word in set(words).difference(now):
-            if word in before:
-                now[word] = before[word]
-            else:
-                new[word] = None
-        if new:
-            todo = list(new)
-            new = {w: self._packed(w, ids) for w, ids in zip(todo, self.encode(todo))}
-            now.update((w, p) for w, p in new.items() if len(w) <= LONGEST)
-        try:
-            data = b"".join([now[w] if w in now else new[w] for w in words] if new else map(now.__getitem__, words))
-        except TypeError:  # a word that is not given back
-            data = None
-        if len(now) > CACHED:
-            self.before, self.now = now, {}
-        return None if data is None else np.frombuffer(data, np.uint32)
-
-
 def _byte_letters() -> dict[str, int]:
     """The letter that a byte-level vocabulary writes for each byte: printable ones as they are, the rest from U+0100 on."""
     plain = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
@@ -95,7 +56,12 @@ def _byte_letters() -> dict[str, int]:
 
 
 class _SideA:
-    """A byte-level BPE; no string of a text is special."""
+    """A byte-level BPE; no string of a text is special.
+
+    Where ids are in the order of the merges, they are ranks, and a rank-based encoder gives the same tokens
+    faster.  Text with characters whose class has changed between Unicode versions, or with runs that are long
+    without or of white space, goes through the tokenizer itself.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
@@ -103,19 +69,27 @@ class _SideA:
         self.tokenizer.encode_special_tokens = True
         letters = _byte_letters()
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
-        pieces = [bytes(letters[c] for c in t) if set(t) <= letters.keys() else None for t in tokens]
-        self.words = _Words(self._encode, pieces)
-
-    def _encode(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def ids(self, text: str) -> np.ndarray | None:
+        self.pieces = [bytes(letters[c] for c in t) if set(t) <= letters.keys() else None for t in tokens]
+        self.lengths = np.array([len(p or b"") for p in self.pieces], np.int64)
+        self.by_rank = self._by_rank(json.loads(self.tokenizer.to_str()))
+
+    def _by_rank(self, scheme: dict[str, Any]) -> tiktoken.Encoding | None:
+        split, merges = scheme["pre_tokenizer"] or {}, scheme["model"].get("merges") or []
+        vocabulary = scheme["model"]["vocab"]
+        first = len(vocabulary) - len(merges) - sum(t["content"] in vocabulary for t in scheme["added_tokens"])
+        joined = ("".join(m) if isinstance(m, list) else m.replace(" ", "") for m in merges)
+        plain = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+        if not plain or scheme["normalizer"] is not None or first != 256 or any(vocabulary.get(t) != 256 + i for i, t in enumerate(joined)):
+            return None
+        ranks = {self.pieces[i]: i for i in range(256 + len(merges))}
+        return tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def ids(self, text: str) -> np.ndarray:
         """The ids of space + text."""
         text = " " + text
-        if text.isascii() or is_steady(text):
-            return self.words.ids(byte_level(text))
-        spans = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
-        return self.words.ids([text[a:b] for _, (a, b) in spans])
+        if self.by_rank is not None and (text.isascii() or is_steady(text)) and not long_run(text):
+            return np.array(self.by_rank.encode_ordinary(text), np.uint32)
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 class _SideB:
@@ -123,31 +97,25 @@ class _SideB:
 
     def __init__(self, path: str) -> None:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        # a piece with a space after another character would tie a word to the next one
-        self.by_word = not any(SPACE in p.lstrip(SPACE) for p in names)
-        self.one_space = [self.model.piece_to_id(SPACE)]
-        pieces: list[bytes | None] = []
-        for i, name in enumerate(names):
+        self.pieces: list[bytes | None] = []
+        for i in range(self.model.get_piece_size()):
+            name = self.model.id_to_piece(i)
             if self.model.is_byte(i):
-                pieces.append(bytes([int(name[3:5], 16)]))
+                self.pieces.append(bytes([int(name[3:5], 16)]))
             elif self.model.is_control(i) or self.model.is_unknown(i):
-                pieces.append(None)
+                self.pieces.append(None)
             else:
-                pieces.append(name.replace(SPACE, " ").encode())
-        self.words = _Words(self._encode, pieces)
-
-    def _encode(self, words: list[str]) -> list[list[int]]:
-        # each begins with the space that the model adds
-        found = self.model.encode([w[1:] for w in words], num_threads=1)
-        return [ids or self.one_space for ids in found]
-
-    def ids(self, text: str) -> np.ndarray | None:
-        """The ids of text, in which the first space is the one that was added."""
-        if SPACE in text:
-            return None  # it would come back as a space
-        text = " " + text
-        return self.words.ids(unit(text) if self.by_word else [text])
+                self.pieces.append(name.replace(SPACE, " ").encode())
+        self.lengths = np.array([len(p or b"") for p in self.pieces], np.int64)
+
+    def ids(self, text: str) -> np.ndarray:
+        """The ids of text, to which the model adds a space."""
+        return np.array(self.model.encode(text, num_threads=1), np.uint32)
+
+
+def _gives_back(pieces: list[bytes | None], ids: np.ndarray, whole: bytes) -> bool:
+    parts = list(map(pieces.__getitem__, ids.tolist()))
+    return None not in parts and b"".join(parts) == whole
 
 
 class _Pair:
@@ -155,7 +123,7 @@ class _Pair:
 
     def __init__(self, a: str, b: str) -> None:
         self.a, self.b = _SideA(a), _SideB(b)
-        self.bits = np.uint64(max(1, (len(self.b.words.pieces) - 1).bit_length()))
+        self.bits = np.uint64(max(1, (len(self.b.pieces) - 1).bit_length()))
         self._marks: list[str] = []
 
     def codes(self, a_ids: np.ndarray, b_ids: np.ndarray) -> np.ndarray:
@@ -165,13 +133,15 @@ class _Pair:
         none = np.zeros(0, np.uint32)
         if not text:
             return none, none
-        a = self.a.ids(text)
-        b = None if a is None else self.b.ids(text)
-        return (none, none) if b is None else (a, b)
+        a, b, whole = self.a.ids(text), self.b.ids(text), (" " + text).encode()
+        # ranks cover every byte, so lengths tell on that side
+        same = int(self.a.lengths[a].sum()) == len(whole) if self.a.by_rank else _gives_back(self.a.pieces, a, whole)
+        same = same and _gives_back(self.b.pieces, b, whole)
+        return (a, b) if same else (none, none)
 
     def marks(self) -> tuple[list[str], int]:
         """Every id as text followed by a comma, by a bar and by a semicolon; the number of ids."""
-        n = max(len(self.a.words.pieces), len(self.b.words.pieces))
+        n = max(len(self.a.pieces), len(self.b.pieces))
         if not self._marks:
             self._marks = [f"{i}{mark}" for mark in ",|;" for i in range(n)]
         return self._marks, n
@@ -217,7 +187,7 @@ class Aligned:
         self.b = np.concatenate([b for _, b in texts])
         self.a_at = np.cumsum([0, *(len(a) for a, _ in texts)])  # where the tokens of each document begin
         self.b_at = np.cumsum([0, *(len(b) for _, b in texts)])
-        a_long, b_long = pair.a.words.lengths[self.a], pair.b.words.lengths[self.b]
+        a_long, b_long = pair.a.lengths[self.a], pair.b.lengths[self.b]
         self.a_ends, self.b_ends = np.cumsum(a_long), np.cumsum(b_long)
         a_starts, b_starts = self.a_ends - a_long, self.b_ends - b_long
         self.a_group, self.b_group = coalesce(self.a_ends, self.b_ends, a_starts, b_starts)

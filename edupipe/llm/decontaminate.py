@@ -7,8 +7,9 @@ suffix that occurs in an item, so one pass finds every word inside any occurrenc
 Stretches of words that no item has are skipped before the automaton sees them.
 
 The automaton is built on the driver from at most ``WORDS_AT_ONCE`` words of items and broadcast.  A
-larger benchmark is dealt into as many automata as it needs, each read against all documents, and
-the findings of a document are put together.  Very long items are cut into overlapping
+larger benchmark is dealt into as many automata as it needs, by item and words, so that rows with one id
+spread as well.  Each is read against all documents; what it finds is written without the texts, and
+the findings of a document are put together by its key.  Very long items are cut into overlapping
 pieces, which have the same windows.
 
 Defined results.  A null or empty text has no words, no hits and is not contaminated; an item without
@@ -26,11 +27,11 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edupipe.llm.common import small_batches
+from edupipe.llm.common import KEY, keyed, small_batches
 from edupipe.session import materialise
 
 WINDOW = 13
@@ -176,12 +177,11 @@ def _pieces(window: int):
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = words_of.findall(text.lower())
                 step = max(PIECE_WORDS, window)
-                for number, at in enumerate(range(0, max(1, len(words) - window + 1), step)):
+                for at in range(0, max(1, len(words) - window + 1), step):
                     piece = words[at : at + step + window - 1]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([name], pa.string()), pa.array([number], pa.int64()), pa.array([len(piece)], pa.int64()),
-                         pa.array([b" ".join(piece)], pa.binary())],
-                        names=["item", "piece", "n", "words"],
+                        [pa.array([name], pa.string()), pa.array([len(piece)], pa.int64()), pa.array([b" ".join(piece)], pa.binary())],
+                        names=["item", "n", "words"],
                     )
 
     return cut
@@ -190,68 +190,74 @@ def _pieces(window: int):
 def _automata(benchmark: DataFrame, item: str, window: int) -> Iterator[Automaton]:
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     named = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), text.alias("text"))
-    pieces = named.mapInArrow(_pieces(window), "item string, piece long, n long, words binary").where("n > 0")
+    pieces = named.mapInArrow(_pieces(window), "item string, n long, words binary").where("n > 0").distinct()
     total = pieces.agg(F.sum("n")).first()[0] or 0
     shares = max(1, -(-2 * total // WORDS_AT_ONCE)) if total > WORDS_AT_ONCE else 1
-    share = F.pmod(F.xxhash64("item", "piece"), F.lit(shares))
+    pieces = materialise(pieces.withColumn("share", F.pmod(F.xxhash64("item", "words"), F.lit(shares))), "benchmark") if shares > 1 else pieces.withColumn("share", F.lit(0))
     for i in range(shares):
-        rows = pieces.where(share == i).orderBy("item", "piece").collect()  # about WORDS_AT_ONCE / 2 words
+        rows = pieces.where(F.col("share") == i).orderBy("item", "words").collect()  # about WORDS_AT_ONCE / 2 words
         yield Automaton([(r["item"], bytes(r["words"]).split(b" ")) for r in rows], window)
 
 
 def read_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, item: str = "item_id") -> DataFrame:
     """Each row of ``docs`` as (row, n_words, starts, ends, items): the spans of hit words
     [start, end) in order, and the ids of the items with windows there, sorted."""
-    read = small_batches(docs).select(F.struct("*").alias("row"))
-    kind = T.StructType([T.StructField("row", docs.schema), *FOUND])
     context = docs.sparkSession.sparkContext
-    for number, automaton in enumerate(_automata(benchmark, item, window)):
-        if number:  # one automaton in a worker at a time
-            read = materialise(read, "windows")
-        read = read.mapInArrow(_reader(context.broadcast(automaton)), kind)
-    return read
-
-
-def _reader(shared: Broadcast[Automaton]):
+    automata = _automata(benchmark, item, window)
+    first = context.broadcast(vars(next(automata)))  # plain data: executors need not know the class
+    following = next(automata, None)
+    kind = T.StructType([T.StructField("row", docs.schema), *FOUND])
+    if following is None:
+        return small_batches(docs).select(F.struct("*").alias("row")).mapInArrow(_reader(first), kind)
+    keyed_kind = T.StructType([T.StructField(KEY, T.LongType()), *FOUND])
+    rows = keyed(docs)
+    texts = rows.select(KEY, F.struct(F.col("row.text").alias("text")).alias("row"))
+    found = materialise(texts.mapInArrow(_reader(first), keyed_kind), "windows")
+    while following is not None:  # one automaton in a worker at a time
+        more = texts.mapInArrow(_reader(context.broadcast(vars(following))), keyed_kind).where(F.size("starts") > 0)
+        found = found.unionByName(materialise(more, "windows"))
+        following = next(automata, None)
+    together = found.groupBy(KEY).agg(
+        F.max("n_words").alias("n_words"), F.flatten(F.collect_list(F.arrays_zip("starts", "ends"))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
+    spans = F.aggregate(F.array_sort("spans"), F.array().cast("array<struct<starts:bigint,ends:bigint>>"), _with_span)
+    together = together.withColumn("spans", spans).select(KEY, "n_words", F.col("spans.starts").alias("starts"), F.col("spans.ends").alias("ends"), "items")
+    return rows.join(together, KEY).select("row", *(f.name for f in FOUND))
+
+
+def _with_span(done: Column, span: Column) -> Column:
+    """Spans in order with one more: those that touch become one."""
+    last = F.try_element_at(done, F.lit(-1))
+    joined = F.struct(last["starts"].alias("starts"), F.greatest(last["ends"], span["ends"]).alias("ends"))
+    touches = F.coalesce(last["ends"] >= span["starts"], F.lit(False))
+    return F.when(touches, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(joined))).otherwise(F.concat(done, F.array(span)))
+
+
+def _reader(shared: Broadcast[dict]):
+    """What an automaton finds: each row with the columns ``FOUND`` after its own, without the text when it has a key."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = shared.value
+        automaton = Automaton.__new__(Automaton)
+        automaton.__dict__.update(shared.value)
         numbers, strings = pa.list_(pa.int64()), pa.list_(pa.string())
         for batch in batches:
             row = batch.column("row")
-            before = None
-            if batch.num_columns > 1:  # what automata before this one have found
-                before = zip(*(batch.column(c).to_pylist() for c in ("starts", "ends", "items")))
             n_words, starts, ends, items = [], [], [], []
             for text in row.field(row.type.get_field_index("text")):
                 ids = automaton.ids((text.as_py() or "").encode())
                 spans, found = automaton.read(ids)
-                names = {automaton.names[i] for i in found}
-                if before is not None:
-                    more_starts, more_ends, more_names = next(before)
-                    spans = _merged([*spans, *zip(more_starts, more_ends)])
-                    names.update(more_names)
                 n_words.append(len(ids))
                 starts.append([a for a, _ in spans])
                 ends.append([b for _, b in spans])
-                items.append(sorted(names))
+                items.append(sorted(automaton.names[i] for i in found))
             yield pa.RecordBatch.from_arrays(
-                [row, pa.array(n_words, pa.int64()), pa.array(starts, numbers), pa.array(ends, numbers), pa.array(items, strings)],
-                names=["row", "n_words", "starts", "ends", "items"],
+                [batch.column(0), pa.array(n_words, pa.int64()), pa.array(starts, numbers), pa.array(ends, numbers), pa.array(items, strings)],
+                names=[batch.schema.names[0], "n_words", "starts", "ends", "items"],
             )
 
     return read
 
 
-def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for begin, end in sorted(spans):
-        if out and out[-1][1] >= begin:
-            out[-1] = (out[-1][0], max(out[-1][1], end))
-        else:
-            out.append((begin, end))
-    return out
-
-
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``read_windows`` with n_hit, the words in spans, and contaminated: some words are hit
     and ``MIN_SHARE`` times as many reach all words of the document."""

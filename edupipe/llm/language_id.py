@@ -177,6 +177,9 @@ class Model:
     def __init__(self, languages: list[str], idf: np.ndarray, weights: np.ndarray, heat: float) -> None:
         self.languages, self.idf, self.weights, self.heat = languages, idf, weights, heat
 
+    def parts(self) -> tuple[list[str], np.ndarray, np.ndarray, float]:
+        return self.languages, self.idf, self.weights, self.heat
+
     def predict(self, text: str | None) -> tuple[str, float]:
         counts = gram_counts(text) if text and self.languages else None
         if counts is None:
@@ -187,6 +190,26 @@ class Model:
         return self.languages[best], float(min(1.0, scores[best]))
 
 
+def _least_hashes(ids: DataFrame) -> DataFrame:
+    """Rows (doc_id, lang, order) among which are the ``PER_LANGUAGE`` least of every language.
+
+    A language's rows are cut at the hash below which a little more than that many are expected, so that
+    the task that ranks a language gets about as many however many documents it has.  Where
+    too few are below it (ids that repeat), the cut is raised.
+    """
+    sizes = materialise(ids.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    wanted = PER_LANGUAGE + 8 * int(PER_LANGUAGE**0.5) + 64
+    while True:
+        bound = F.least(F.lit(1.0), F.lit(float(wanted)) / F.col("n"))
+        share = F.col("order") / F.lit(2.0**64) + F.lit(0.5)  # of all hashes, those below this one
+        found = ids.join(F.broadcast(sizes), "lang").where((share <= bound) | (bound == 1.0))  # a row per language
+        enough = found.groupBy("lang").agg(F.count("*").alias("k")).join(sizes, "lang", "right")
+        few = enough.where(F.coalesce("k", F.lit(0)) < F.least(F.col("n"), F.lit(PER_LANGUAGE)))
+        if few.isEmpty():
+            return found.drop("n")
+        wanted *= 4
+
+
 def fit(docs: DataFrame) -> Model:
     """Learn from the training documents among (doc_id, text, lang)."""
     context = docs.sparkSession.sparkContext
@@ -202,7 +225,7 @@ def fit(docs: DataFrame) -> Model:
     # which documents: by a hash of the id, without their texts; then those few texts
     order = F.xxhash64("doc_id")
     least = Window.partitionBy("lang").orderBy("order", "doc_id")
-    chosen = known.select("doc_id", "lang", order.alias("order")).withColumn("rank", F.row_number().over(least))
+    chosen = _least_hashes(known.select("doc_id", "lang", order.alias("order"))).withColumn("rank", F.row_number().over(least))
     chosen = chosen.where(F.col("rank") <= PER_LANGUAGE).select("doc_id", "lang").distinct()
     texts = known.join(F.broadcast(chosen), ["doc_id", "lang"]).withColumn("order", order)  # PER_LANGUAGE ids per language
     texts = texts.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id", F.xxhash64("text"))))
@@ -227,10 +250,11 @@ def fit(docs: DataFrame) -> Model:
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """Each row of ``docs`` as (row, held_out, lang_pred, score)."""
-    shared = small_batches(docs).sparkSession.sparkContext.broadcast(model or fit(docs))
+    # plain data: a broadcast is pickled by name, and executors need not know this module
+    shared = small_batches(docs).sparkSession.sparkContext.broadcast((model or fit(docs)).parts())
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learned = shared.value
+        learned = Model(*shared.value)
         for batch in batches:
             row = batch.column("row")
             found = [learned.predict(t.as_py()) for t in row.field(row.type.get_field_index("text"))]

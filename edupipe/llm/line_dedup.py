@@ -1,16 +1,26 @@
-"""Repeated passages of several lines, by content-defined chunks of lines.
+"""Repeated passages of lines, by content-defined chunks of lines and what adjoins them.
 
-A text is cut into chunks of lines.  A boundary is where a rolling hash over the hashes of the last
-``WINDOW`` lines falls into one of ``SPREAD`` classes, so it depends on the lines before it alone: lines put
-in or taken out move the boundaries near them and no others.  A chunk has at least two lines; a single line
-at the end belongs to the chunk before.
-
-Chunks whose 128-bit digest occurs once are left alone.  The bytes of the others meet, and of chunks that are
-equal byte by byte the first one (least document, then first in it) stays; the others are removed.
+A passage is a run of two lines or more, no two blank ones in a row, or one line of over ``WORDS`` words.  What
+occurs again goes, and of equal passages the first (least document, then first in it) stays.
 
-Defined results.  A null text stays null and has no lines; an empty text is one empty line.  A text of one line is not a passage and stays, and so do
-chunks of blank lines.  The lines that stay are joined as they were; a text that loses all its lines is empty.
-Every row is a document of its own (see ``common.keyed``).  An empty table gives an empty result.
+*Chunks.*  A text is cut into chunks of lines.  A boundary is where a rolling hash over the hashes of the last
+``WINDOW`` lines falls into one of ``SPREAD`` classes, so it depends on the lines before it alone: lines put
+in or taken out move the boundaries near them and no others.  Chunks whose 128-bit digest occurs once are left
+alone; the bytes of the others meet, and a chunk that an earlier place has byte by byte goes whole.
+
+*What chunks leave.*  The ends of a passage share a chunk with other lines, and a short passage may have no
+chunk of its own.  So each adjacent pair of lines and each long line that is not inside a chunk that goes is looked up
+by itself: a run occurred before exactly if all of its pairs did.  Together with the chunks these grow every
+repeated run to its whole length, wherever it begins.  Where a pair lies in a chunk that goes, the
+chunk's first document has it too, so copies send their chunks and not their lines.
+
+A document finds its own repeats by their bytes.  Of what it has, the hashes of lines meet with those of other
+documents; the lines of whatever meets are compared byte by byte, and where lines with one hash differ, their
+passages meet again by their bytes.  Joins are merge joins at every size: what a small table takes then tells what a large one takes.
+
+Defined results.  A null text stays null and has no lines; an empty text is one empty line.  A single line of ``WORDS`` words or fewer is
+not a passage and stays, and so do blank lines by themselves.  The lines that stay are joined as they were; a text that loses all its lines
+is empty.  Every row is a document of its own (see ``common.keyed``).  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,14 +40,20 @@ from edupipe.session import materialise
 WINDOW = 2      # lines that decide on a boundary
 SPREAD = 3      # one place in so many is a boundary
 LEAST = 2       # lines of a chunk
+WORDS = 50      # a line of more words is a passage by itself
 BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
+UNIT = ["l1", "l2", "n"]
 
 
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _hash(line: bytes) -> int:
+    return _signed(xxhash.xxh3_64_intdigest(line))
+
+
 def chunks(lines: list[bytes]) -> list[tuple[int, int]]:
     """The chunks [start, stop) of a text's lines; a text of fewer than ``LEAST`` lines has none."""
     if len(lines) < LEAST:
@@ -60,91 +76,153 @@ def chunks(lines: list[bytes]) -> list[tuple[int, int]]:
     return found
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["dk", "start", "stop", "d1", "d2"]
+def units(lines: list[bytes]) -> dict[tuple[bytes, ...], list[int]]:
+    """The pairs of lines and the long lines of a text, each with the places where it begins."""
+    places: dict[tuple[bytes, ...], list[int]] = {}
+    blank = [not line.strip() for line in lines]
+    for at, line in enumerate(lines):
+        if len(line) > 2 * WORDS and len(line.split()) > WORDS:
+            places.setdefault((line,), []).append(at)
+        if at + 1 < len(lines) and not (blank[at] and blank[at + 1]):
+            places.setdefault((line, lines[at + 1]), []).append(at)
+    return places
+
+
+CUT = "dk long, at long, n long, l1 long, l2 long, chunk long, d1 long, d2 long"
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The chunks of each document, with digests, and its units, with hashes: each unit once, at its first
+    place, and with the chunk that holds it if one does."""
+    schema = pa.schema([(c.split()[0], pa.int64()) for c in CUT.split(", ")])
     for batch in batches:
         rows = []
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             lines = text.as_py().split(b"\n")
+            of = [-1] * len(lines)
             for start, stop in chunks(lines):
                 body = b"\n".join(lines[start:stop])
                 if body.strip():
+                    of[start:stop] = [start] * (stop - start)
                     digest = xxhash.xxh3_128_intdigest(body)
-                    rows.append((key, start, stop, _signed(digest >> 64), _signed(digest & MASK)))
+                    rows.append((key, start, stop - start, None, None, None, _signed(digest >> 64), _signed(digest & MASK)))
+            for unit, places in units(lines).items():
+                at, n = places[0], len(unit)
+                rows.append((key, at, n, _hash(unit[0]), _hash(unit[1]) if n > 1 else 0, of[at] if of[at] == of[at + n - 1] else -1, None, None))
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], schema=schema)
+
+
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different lines of some units with their hashes, from (dk, text, found)."""
+    for batch in batches:
+        bodies = set()
+        for text, found in zip(batch.column(1), batch.column(2).to_pylist()):
+            lines = text.as_py().split(b"\n")
+            bodies.update(line for f in found for line in lines[f["at"] : f["at"] + f["n"]])
+        if bodies:
+            rows = list(bodies)
+            yield pa.RecordBatch.from_arrays([pa.array(map(_hash, rows), pa.int64()), pa.array(rows, pa.binary())], names=["hash", "body"])
 
 
 def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of some chunks, from (dk, text, found)."""
+    """The bytes of some units, from (dk, text, found)."""
     for batch in batches:
         rows = []
         for key, text, found in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
             lines = text.as_py().split(b"\n")
-            rows += [(key, f["start"], f["stop"], f["d1"], f["d2"], b"\n".join(lines[f["start"] : f["stop"]])) for f in found]
+            rows += [(key, f["at"], f["n"], b"\n".join(lines[f["at"] : f["at"] + f["n"]])) for f in found]
         if rows:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.binary() if i == 5 else pa.int64()) for i, c in enumerate(zip(*rows))],
-                names=["dk", "start", "stop", "d1", "d2", "body"],
+                [pa.array(c, pa.binary() if i == 3 else pa.int64()) for i, c in enumerate(zip(*rows))], names=[KEY, "at", "n", "body"]
             )
 
 
-def repeated_chunks(texts: DataFrame) -> DataFrame:
-    """(dk, found: list of [start, stop) of lines in order): the chunks of documents (dk, text as bytes) that go."""
+def _with_texts(texts: DataFrame, some: DataFrame, label: str) -> DataFrame:
+    """(dk, text, found) of the documents that have some units (dk, at, n)."""
+    found = materialise(some.groupBy(KEY).agg(F.collect_list(F.struct("at", "n")).alias("found")), label)
+    return narrowed(texts, document_filter(found), True).join(found.hint("merge"), KEY)
+
+
+def repeated_chunks(texts: DataFrame, cut: DataFrame) -> DataFrame:
+    """(dk, at, n): the chunks that are equal byte by byte to one at an earlier place."""
     digest = ["d1", "d2"]
-    cut = materialise(texts.mapInArrow(_digests, "dk long, start long, stop long, d1 long, d2 long"), "chunks")
-    often = materialise(cut.groupBy(*digest).agg(F.count("*").alias("n")).where("n > 1").select(*digest), "digests")
-    again = cut.join(often, digest, "left_semi")
-    by_document = again.groupBy(KEY).agg(F.collect_list(F.struct("start", "stop", *digest)).alias("found"))
-    by_document = materialise(by_document, "candidates")
-    some = narrowed(texts, document_filter(by_document), True).join(by_document, KEY)
-    bodies = materialise(some.mapInArrow(_bodies, "dk long, start long, stop long, d1 long, d2 long, body binary"), "bodies")
-    same = bodies.groupBy(*digest, "body").agg(F.count("*").alias("n"), F.min(F.struct(KEY, "start")).alias("first"))
-    same = materialise(same.where("n > 1"), "same")  # read back plainly, so that Spark can split a very common chunk
-    of = same.select(*digest, F.col("body").alias("equal"), "first")
-    later = bodies.join(of, digest).where((F.col("body") == F.col("equal")) & (F.struct(KEY, "start") != F.col("first")))
-    gone = later.groupBy(KEY).agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("found"))
-    return materialise(gone, "gone")
+    often = cut.groupBy(*digest).agg(F.count("*").alias("times")).where("times > 1").select(*digest)
+    again = materialise(cut.join(materialise(often, "digests").hint("merge"), digest, "left_semi").select(KEY, "at", "n"), "again")
+    read = _with_texts(texts, again, "chunk-documents").mapInArrow(_bodies, "dk long, at long, n long, body binary")
+    bodies = materialise(read.withColumn("h", F.xxhash64("body")), "chunk-bodies")
+    same = bodies.groupBy("h", "body").agg(F.count("*").alias("times"), F.min(F.struct(KEY, "at")).alias("first"))
+    same = materialise(same.where("times > 1").select("h", F.col("body").alias("equal"), "first"), "same")  # read back plainly, so that Spark can split a very common chunk
+    later = bodies.join(same.hint("merge"), "h").where((F.col("body") == F.col("equal")) & (F.struct(KEY, "at") != F.col("first")))
+    return materialise(later.select(KEY, "at", "n"), "gone")
+
+
+def later_units(texts: DataFrame, cut: DataFrame, gone: DataFrame) -> DataFrame:
+    """(dk, at, n): the units that an earlier document has, of those outside the chunks that are gone."""
+    held = gone.select(KEY, F.col("at").alias("chunk"))
+    cut = materialise(cut.join(held.hint("merge"), [KEY, "chunk"], "left_anti").select(KEY, "at", *UNIT), "units")
+    often = cut.groupBy(*UNIT).agg(F.count("*").alias("documents"), F.min(KEY).alias("first"))
+    often = materialise(often.where("documents > 1").select(*UNIT, "first"), "often")
+    again = materialise(cut.join(often.hint("merge"), UNIT), "again")
+    lines = _with_texts(texts, again, "candidates").mapInArrow(_lines, "hash long, body binary")
+    mixed = materialise(lines.distinct().groupBy("hash").count().where("count > 1").select("hash"), "mixed")
+    place = [KEY, "at", "n"]
+    if mixed.isEmpty():
+        return again.where(F.col(KEY) != F.col("first")).select(*place)
+    of = again.select(*place, F.explode(F.array("l1", "l2")).alias("hash"))
+    unsure = materialise(of.join(mixed, "hash", "left_semi").select(*place).distinct(), "unsure")
+    sure = again.join(unsure, place, "left_anti").where(F.col(KEY) != F.col("first")).select(*place)
+    read = _with_texts(texts, unsure, "unsure-documents")
+    bodies = materialise(read.mapInArrow(_bodies, "dk long, at long, n long, body binary"), "bodies")
+    firsts = materialise(bodies.groupBy("n", "body").agg(F.min(KEY).alias("first")), "firsts")
+    return sure.unionByName(bodies.join(firsts, ["n", "body"]).where(F.col(KEY) != F.col("first")).select(*place))
 
 
 def _rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What is left of texts, from (row, found); a document without chunks to remove is not touched."""
+    """What is left of texts, from (row, found)."""
     for batch in batches:
         row = batch.column("row")
-        at = row.type.get_field_index("text")
-        texts, n_lines, n_removed, n_chunks = [], [], [], []
-        for text, found in zip(row.field(at).to_pylist(), batch.column("found").to_pylist()):
-            lines = [] if text is None else text.split("\n")
-            n_lines.append(len(lines))
+        where = row.type.get_field_index("text")
+        texts, n_lines, n_removed, n_runs, n_chunks = [], [], [], [], []
+        for text, found in zip(row.field(where).to_pylist(), batch.column("found").to_pylist()):
+            lines = [] if text is None else text.encode().split(b"\n")
+            before = {(f["at"], f["n"]) for f in found or [] if not f["chunk"]}
+            whole = [(f["at"], f["at"] + f["n"]) for f in found or [] if f["chunk"]]
+            chunk = {at: start for start, stop in whole for at in range(start, stop)}
             gone = set()
-            for f in found or []:
-                gone.update(range(f["start"], f["stop"]))
+            for unit, places in units(lines).items():
+                at, n = places[0], len(unit)
+                known = (at, n) in before or (at in chunk and chunk[at] == chunk.get(at + n - 1))
+                for at in places if known else places[1:]:
+                    gone.update(range(at, at + n))
+            n_lines.append(len(lines))
             n_removed.append(len(gone))
-            n_chunks.append(len(found or []))
-            texts.append("\n".join(line for i, line in enumerate(lines) if i not in gone) if gone else text)
+            n_runs.append(sum(at - 1 not in gone for at in gone))
+            n_chunks.append(len(whole))
+            texts.append(b"\n".join(line for i, line in enumerate(lines) if i not in gone).decode() if gone else text)
         fields = [row.field(i) for i in range(row.type.num_fields)]
-        fields[at] = pa.array(texts, row.type.field(at).type)
+        fields[where] = pa.array(texts, row.type.field(where).type)
         made = pa.StructArray.from_arrays(fields, fields=list(row.type))
-        yield pa.RecordBatch.from_arrays(
-            [made, pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(n_chunks, pa.int64())],
-            names=["row", "n_lines", "n_removed", "n_chunks"],
-        )
+        counts = [pa.array(c, pa.int64()) for c in (n_lines, n_removed, n_runs, n_chunks)]
+        yield pa.RecordBatch.from_arrays([made, *counts], names=["row", "n_lines", "n_removed", "n_runs", "n_chunks"])
 
 
 def line_dedup(docs: DataFrame) -> DataFrame:
-    """Each document as (row with what is left of the text, n_lines before, n_removed lines, n_chunks removed)."""
+    """Each document as (row with what is left of the text, n_lines before, n_removed lines, n_runs of lines removed,
+    n_chunks equal to an earlier one)."""
     rows = keyed(docs)
     texts = rows.select(KEY, F.coalesce(F.col("row.text").cast("string"), F.lit("")).cast("binary").alias("text"))
-    gone = repeated_chunks(texts)
-    words = document_filter(gone)
-    kind = T.StructType([
-        T.StructField("row", docs.schema), T.StructField("n_lines", T.LongType()),
-        T.StructField("n_removed", T.LongType()), T.StructField("n_chunks", T.LongType()),
-    ])
-    none = F.lit(None).cast(gone.schema["found"].dataType)
-    whole = narrowed(rows, words, False).select("row", none.alias("found"))  # needs no shuffle
-    cut = narrowed(rows, words, True).join(gone, KEY, "left").select("row", "found")
-    return whole.unionByName(cut).mapInArrow(_rest, kind)
+    cut = materialise(texts.mapInArrow(_cut, CUT), "cut")
+    gone = repeated_chunks(texts, cut.where("d1 is not null"))
+    later = later_units(texts, cut.where("l1 is not null"), gone)
+    both = gone.withColumn("chunk", F.lit(True)).unionByName(later.withColumn("chunk", F.lit(False)))
+    found = materialise(both.groupBy(KEY).agg(F.collect_list(F.struct("at", "n", "chunk")).alias("found")), "later")
+    words = document_filter(found)
+    kind = T.StructType([T.StructField("row", docs.schema), *(T.StructField(c, T.LongType()) for c in ("n_lines", "n_removed", "n_runs", "n_chunks"))])
+    none = F.lit(None).cast(found.schema["found"].dataType)
+    alone = narrowed(rows, words, False).select("row", none.alias("found"))  # needs no shuffle
+    some = narrowed(rows, words, True).join(found.hint("merge"), KEY, "left").select("row", "found")
+    return alone.unionByName(some).mapInArrow(_rest, kind)
 
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:

@@ -33,7 +33,9 @@ is_steady = re.compile("[" + "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in STEADY
 # The contractions that both schemes split off.
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 
-#: The split of the byte-level scheme.
+#: The split of the byte-level scheme as its files state it, a fixed value.
+BYTE_LEVEL_PATTERN = rf"{CONTRACTIONS}| ?\p{{L}}+| ?\p{{N}}+| ?[^\s\p{{L}}\p{{N}}]+|\s+(?!\S)|\s+"
+#: The same for steady text.
 byte_level = re.compile(
     f"{CONTRACTIONS}| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{WHITE}{LETTERS}{NUMBERS}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 ).findall

@@ -14,7 +14,6 @@ from edupipe.llm.exact_dedup import exact_copies
 from edupipe.llm.filter_audit import filter_audit
 from edupipe.llm.language_id import identify
 from edupipe.llm.line_dedup import line_dedup
-from edupipe.llm.line_runs import line_runs
 from edupipe.llm.main_text import extract
 from edupipe.llm.ngram_jaccard import near_duplicates
 from edupipe.llm.packing import pack_documents
@@ -115,16 +114,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return left.select(
-        "row.doc_id", "n_lines", "n_removed", "n_chunks", F.length("row.text").cast("long").alias("n_chars_left"),
-        F.sha2(F.coalesce("row.text", F.lit("")).cast("binary"), 256).alias("left_sha256"),
-    )
-
-
-@query("op10_line_runs")
-def op10_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = line_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return left.select(
-        "row.doc_id", "n_lines", "n_removed", "n_runs", F.length("row.text").cast("long").alias("n_chars_left"),
+        "row.doc_id", "n_lines", "n_removed", "n_runs", "n_chunks", F.length("row.text").cast("long").alias("n_chars_left"),
         F.sha2(F.coalesce("row.text", F.lit("")).cast("binary"), 256).alias("left_sha256"),
     )
 

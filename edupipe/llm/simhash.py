@@ -10,8 +10,8 @@ a shard is a pair of blocks and their value (21 or 22 bits).  Equal fingerprints
 
 *Trees.*  Each shard is a BK-tree: a child's key is its Hamming distance from its parent.  All
 members ask for their neighbours together: at a node the distances of those that came so far
-are taken at once, and each follows only the edges whose key is within the radius of its own distance.  Links
-that connect nothing new are not returned, so a shard of m members gives fewer than m of them.
+are taken at once, and each follows only the edges whose key is within the radius of its own distance.  What a task's
+shards connect leaves it as one row for each fingerprint, with the least one it is connected to.
 
 *Where the trees go.*  The trees of all documents together grow with the corpus, so they are not broadcast to
 every task: a shard's tree is built in the task that the shard's key names, and its queries come there too.
@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edupipe.llm.common import KEY, keyed, whole_text
-from edupipe.llm.linking import components
+from edupipe.llm.linking import Sets, components
 from edupipe.session import materialise
 
 WORDS = 4
@@ -50,6 +50,7 @@ BLOCKS = (0, 11, 22, 33, 43, 54, 64)  # bounds of the six blocks: 11, 11, 11, 10
 SHARD = 16_384                        # members of the largest tree
 SEGMENT = 1 << 20                     # bytes of a text that are split into words at a time
 HASHES = 1 << 16                      # hashes whose bits are counted at a time
+CONNECTED = 200_000                   # fingerprints whose connections a task holds
 
 blank = re.compile(rb"[\x20\x09-\x0D]")
 FAMILIES = tuple(combinations(range(len(BLOCKS) - 1), 2))
@@ -138,49 +139,57 @@ class BKTree:
 
 
 def connecting(values: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of positions within the radius that connect all that such pairs connect: a forest."""
+    """For each position that pairs within the radius connect to a lesser one: (the least of them, the position)."""
     if len(values) == 2:
         return [(0, 1)] if int(values[0] ^ values[1]).bit_count() <= RADIUS else []
     label = np.arange(len(values))
-    links = []
     for node, found in BKTree(values).near(values):
-        strange = found[label[found] != label[node]]
-        if len(strange):
-            labels, first = np.unique(label[strange], return_index=True)
-            links += [(node, int(strange[x])) for x in first.tolist()]
-            label[np.isin(label, labels)] = label[node]
-    return links
+        labels = np.unique(label[found])  # the node is among them
+        if len(labels) > 1:
+            label[np.isin(label, labels)] = labels[0]
+    moved = np.flatnonzero(label != np.arange(len(values)))
+    return list(zip(label[moved].tolist(), moved.tolist()))
+
+
+def _stars(sets: Sets) -> pa.RecordBatch:
+    """What is connected so far, each member with the least one."""
+    members = list(sets.parent)
+    return pa.RecordBatch.from_arrays([pa.array([sets.find(x) for x in members], pa.int64()), pa.array(members, pa.int64())], names=["a", "b"])
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links inside shards, from rows (family, value, fp) sorted by shard."""
+    """Links inside shards, from rows (family, value, fp) sorted by shard.
+
+    What the shards of a task connect is put together before it leaves the task, so that few rounds join the rest.
+    """
     rest = tuple(np.zeros(0, np.int64) for _ in range(3))
+    sets = Sets()
 
-    def solved(family: np.ndarray, value: np.ndarray, fp: np.ndarray, final: bool) -> tuple[list[pa.RecordBatch], int]:
-        """Batches of links, and where the shard begins that may go on."""
+    def solved(family: np.ndarray, value: np.ndarray, fp: np.ndarray, final: bool) -> int:
+        """Connect what whole shards connect; returns where the shard begins that may go on."""
         edges = np.flatnonzero((family[1:] != family[:-1]) | (value[1:] != value[:-1])) + 1
         starts = np.concatenate([[0], edges])
         ends = np.concatenate([edges, [len(fp)]])
         many = ends - starts > 1
         many[-1] &= final
-        a, b = [], []
         for x, y in zip(starts[many].tolist(), ends[many].tolist()):
             members = fp[x:y]
             for i, j in connecting(members.view(np.uint64)):
-                a.append(members[i])
-                b.append(members[j])
-        made = [pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])] if a else []
-        return made, int(starts[-1])
+                sets.union(int(members[i]), int(members[j]))
+        return int(starts[-1])
 
     for batch in batches:
         columns = tuple(np.concatenate([old, batch.column(i).to_numpy(zero_copy_only=False)]) for i, old in enumerate(rest))
         if len(columns[0]):
-            made, low = solved(*columns, False)
-            yield from made
+            low = solved(*columns, False)
             rest = tuple(c[low:] for c in columns)
+        if len(sets.parent) > CONNECTED:
+            yield _stars(sets)
+            sets.parent.clear()
     if len(rest[0]):
-        made, _ = solved(*rest, True)
-        yield from made
+        solved(*rest, True)
+    if sets.parent:
+        yield _stars(sets)
 
 
 def _midpoints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
