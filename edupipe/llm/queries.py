@@ -107,7 +107,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_repeated_bytes")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = removals(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    outcome = (F.col("n_bytes") - F.col("n_removed")).alias("n_kept"), (F.col("n_removed") > 0).alias("has_repeats")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *outcome, "starts", "stops")
 
 
 @query("op10_line_dedup")

@@ -77,6 +77,6 @@ def test_rows_that_share_an_id(spark, table):
 
 def test_op9_whole_table(spark, small):
     rows = [(r.doc_id, r.text) for r in read_table(spark, small, "documents").collect()]
-    got = sorted((tuple(r) for r in op9(spark, small).collect()), key=repr)
+    got = sorted((tuple(r)[:5] for r in op9(spark, small).collect()), key=repr)
     assert got == brute(rows, 400)
     assert any(r[2] for r in got)
