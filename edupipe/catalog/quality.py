@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 from edupipe import fixed_values as fv
 from edupipe.catalog.registry import query
 from edupipe.operators import quality
+from edupipe.session import fresh_path
 
 
 @query(
@@ -84,6 +85,20 @@ def run_stats(t):
     )
 
 
+@query(
+    "run_stats_written",
+    """SELECT 'records' AS name, CAST(count(*) AS DOUBLE) AS value FROM documents
+       UNION ALL SELECT 'characters', sum(n_chars) FROM documents
+       UNION ALL SELECT 'longest', max(n_chars) FROM documents
+       UNION ALL SELECT 'with_text', count(text) FROM documents""",
+)
+def run_stats_written(t):
+    """The statistics of a run, taken while its rows are written."""
+    measures = {"records": F.count(F.lit(1)), "characters": F.sum("n_chars"), "longest": F.max("n_chars"), "with_text": F.count("text")}
+    seen = quality.observed_write(t.documents, fresh_path(t.spark, "run"), measures)
+    return t.spark.createDataFrame([(n, None if v is None else float(v)) for n, v in seen.items()], "name string, value double")
+
+
 _PROPS = T.StructType([T.StructField("k", T.IntegerType())])
 
 
@@ -110,3 +125,19 @@ def quarantine_split(t):
 )
 def quarantine_counts(t):
     return quality.outcome_summary(quality.mark_outcome(_cut(t), "props", _PROPS))
+
+
+@query(
+    "quarantine_written",
+    """WITH c AS (SELECT count(*) AS n, count(*) FILTER (WHERE event_type IN ('error', 'signup')) AS bad FROM events)
+       SELECT 'input' AS outcome, n AS n_rows, n AS n_stored FROM c UNION ALL SELECT 'failed', bad, bad FROM c UNION ALL SELECT 'succeeded', n - bad, n - bad FROM c""",
+)
+def quarantine_written(t):
+    """Good and bad rows written in one pass that counts them, beside what the folders then hold."""
+    path = fresh_path(t.spark, "outcomes")
+    marked = quality.mark_outcome(_cut(t), "props", _PROPS).select("event_id", "props", "parsed.k", "outcome")
+    seen = quality.write_outcomes(marked, path)
+    stored = t.spark.read.schema("event_id long, props string, k int, outcome string").parquet(path)
+    counts = t.spark.createDataFrame([(name, int(n)) for name, n in seen.items()], "outcome string, n_rows long")
+    held = stored.select(F.explode(F.array(F.lit("input"), "outcome")).alias("outcome")).groupBy("outcome").agg(F.count("*").alias("n_stored"))
+    return counts.join(held, "outcome", "left").withColumn("n_stored", F.coalesce("n_stored", F.lit(0)))

@@ -6,6 +6,7 @@ from edupipe import fixed_values as fv
 from edupipe.catalog.registry import query
 from edupipe.functions.text import composite_key
 from edupipe.operators import recommend, vectors
+from edupipe.operators.dedupe import best_per_key
 from edupipe.plans import clickstream, shapes
 from edupipe.session import fresh_path, materialise
 from edupipe.sources import writers
@@ -141,9 +142,7 @@ def stream_ttl_state(t):
     return t.spark.read.parquet(f"{out}/rows")
 
 
-@query(
-    "recommend_fresh",
-    f"""WITH RECURSIVE knn AS (SELECT * FROM (
+FRESH_SQL = f"""WITH RECURSIVE knn AS (SELECT * FROM (
           SELECT q.vec_id AS item, v.vec_id AS rec, list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS score
           FROM embeddings q JOIN embeddings v ON v.vec_id <> q.vec_id WHERE v.label % 2 = 0)
           QUALIFY row_number() OVER (PARTITION BY item ORDER BY round(score, 12) DESC, rec) <= 5),
@@ -155,8 +154,10 @@ def stream_ttl_state(t):
           SELECT c.user_id, c.item, min(e.second) FROM chain c JOIN e ON e.user_id = c.user_id AND e.item = c.item AND e.second >= c.second + 864000
           GROUP BY 1, 2)
         SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(item AS VARCHAR) AS source_id, rec AS recommended_id, round(score, 6) AS score, second
-        FROM chain JOIN knn USING (item)""",
-)
+        FROM chain JOIN knn USING (item)"""
+
+
+@query("recommend_fresh", FRESH_SQL)
 def recommend_fresh(t):
     """Saves and detail clicks, at most one answer per user and item in ten days."""
     open_items = t.embeddings.where("label % 2 = 0")
@@ -216,13 +217,13 @@ def recs_served(t):
     return recommend.served(recs, F.lit(_AS_OF).cast("timestamp"), ttl_seconds=86_400)
 
 
-_KEYED_SQL = f"""SELECT 'recommendations:' || u || ':' || item AS cache_key, event_id AS rec, value AS score, ts, event_type
+KEYED_SQL = f"""SELECT 'recommendations:' || u || ':' || item AS cache_key, event_id AS rec, value AS score, ts, event_type
     FROM (SELECT *, unnest([CAST(user_id AS VARCHAR), 'general']) AS u, {_ITEM} AS item FROM events)"""
 
 
 @query(
     "recs_served_rows",
-    f"""WITH r AS ({_KEYED_SQL}),
+    f"""WITH r AS ({KEYED_SQL}),
           stored AS (SELECT *, row_number() OVER (PARTITION BY cache_key ORDER BY ts DESC, score DESC, rec) AS n, max(ts) OVER (PARTITION BY cache_key) AS kept_at
                      FROM r WHERE event_type = 'purchase'),
           alive AS (SELECT * FROM stored WHERE epoch_us(TIMESTAMP '{_AS_OF}') - epoch_us(kept_at) < 86400000000),
@@ -239,7 +240,9 @@ def recs_served_rows(t):
     kept = shapes.recommendations(bought).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     keys = [composite_key(fv.CACHE_PREFIX, user, F.col("source_id")) for user in (F.col("user_id"), F.lit(fv.GENERAL_USER))]
     row = F.struct((-F.unix_micros("timestamp")).alias("t"), (-F.col("score")).alias("s"), "recommended_id", "score")
-    entries = kept.withColumn("cache_key", F.explode(F.array(*keys))).groupBy("cache_key").agg(
+    newest = [F.desc("timestamp"), F.desc("score"), F.asc("recommended_id")]
+    first = best_per_key(kept.withColumn("cache_key", F.explode(F.array(*keys))), ["cache_key"], newest, fv.TOP_ITEMS)
+    entries = first.groupBy("cache_key").agg(
         F.max("timestamp").alias("stored_at"), F.array_sort(F.collect_list(row)).alias("rows")
     )
     answer = F.transform("rows", lambda x: F.struct(x["recommended_id"].alias("recommended_id"), x["score"].alias("score")))

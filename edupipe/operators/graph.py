@@ -118,12 +118,12 @@ def common_neighbours(
     has no result.  Holders without a shared item stay with score 0.
     """
     recipients = recipients.withColumn("src", F.col("src").cast(edges.schema["src"].dataType))
-    edges = materialise(edges, "edges")  # asked twice: for the items of the person, and who shares them
     target = _key(edges, target)
     holders = recipients.where((F.col("dst") == scholarship) & (F.col("src") != target)).select("src").distinct()
     target_holds = F.coalesce(recipients.where(F.col("src") == target).agg(F.max(F.lit(True))).scalar(), F.lit(False))
     known = edges.where(F.col("type").isin(list(types)))
-    own_items = known.where(F.col("src") == target).select("type", "dst")
+    # the person's few items first: the key reaches the scan, and all other edges are met by what it left
+    own_items = materialise(known.where(F.col("src") == target).select("type", "dst"), "own")
     shared = (
         known.where(F.col("src") != target)
         .join(own_items, ["type", "dst"], "left_semi")
@@ -151,13 +151,12 @@ def profile_similarity(
 ) -> DataFrame:
     """Cosine between one person's weighted items and everyone else's.
 
-    The person's items are joined to all edges; norm and dot product come from
-    one pre-aggregated pass, so nothing of size people × people arises.
+    The person's items, found by a filter that reaches the scan, are joined to all edges; norm and dot
+    product come from one pre-aggregated pass, so nothing of size people × people arises.
     """
-    edges = materialise(edges, "edges")  # asked three times: items and norm of the person, and everyone else
     target = _key(edges, target)
     weighted = edges.withColumn("w", edge_weight(F.col("type"), weights)).where("w is not null")
-    own = weighted.where(F.col("src") == target).select("type", "dst", F.col("w").alias("own_w"))
+    own = materialise(weighted.where(F.col("src") == target).select("type", "dst", F.col("w").alias("own_w")), "own")
     own_norm = F.sqrt(own.agg(F.sum(F.col("own_w") * F.col("own_w"))).scalar())
     others = weighted.where(F.col("src") != target)
     return (

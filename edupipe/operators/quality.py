@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,3 +87,18 @@ def fail_if_none_succeeded(good: DataFrame) -> DataFrame:
     if good.isEmpty():
         raise RuntimeError("no record succeeded")
     return good
+
+
+def observed_write(df: DataFrame, path: str, measures: Mapping[str, Column], partition: Sequence[str] = ()) -> dict[str, object]:
+    """Write ``df`` and return aggregates of the rows written, taken by the write itself: nothing is read again."""
+    seen = Observation()
+    out = df.observe(seen, *[m.alias(n) for n, m in measures.items()])
+    out.write.mode("overwrite").partitionBy(*partition).parquet(path)
+    return seen.get
+
+
+def write_outcomes(marked: DataFrame, path: str) -> dict[str, int]:
+    """Write rows with their ``outcome`` (see ``mark_outcome``) to a folder for each; returns input, succeeded and failed rows."""
+    count = lambda name: F.count(F.when(F.col("outcome") == name, 1))
+    measures = {"input": F.count(F.lit(1)), "succeeded": count("succeeded"), "failed": count("failed")}
+    return observed_write(marked, path, measures, ["outcome"])

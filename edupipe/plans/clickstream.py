@@ -32,6 +32,21 @@ def clean_pending(spark: SparkSession, source: str, destination: str) -> int:
     return len(pending)
 
 
+def clean_pending_stream(spark: SparkSession, source: str, destination: str, checkpoint: str) -> int:
+    """Clean the files of ``source`` that no earlier run has read; returns how many rows were read.
+
+    The checkpoint of the file stream knows what is done, so a day that gets another file is
+    pending again for that file alone, and nothing lists or compares the destination.
+    """
+    scan = spark.readStream.schema(CLICK_HISTORY).options(header=True, quote='"', escape='"', mode="PERMISSIVE")
+    rows = scan.option("recursiveFileLookup", True).csv(source).select("*", "_metadata.file_path")
+    clean = clean_history(readers.with_path_fields(rows, F.col("file_path")).drop("file_path"))
+    writer = clean.writeStream.format("parquet").partitionBy("date_folder").option("checkpointLocation", checkpoint)
+    run = writer.outputMode("append").trigger(availableNow=True).start(destination)
+    run.awaitTermination()
+    return sum(progress.numInputRows for progress in run.recentProgress)
+
+
 def archive_recent(rows: DataFrame, path: str, kind: str, ts: str, as_of: Column) -> None:
     """Append the rows of the last hour to the history."""
     writers.write_history(filters.recent(rows, ts, as_of, "1 hour"), path, kind, ts)

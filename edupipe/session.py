@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -31,21 +30,14 @@ def build_session(app: str = "edupipe", master: str | None = None, **extra: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local-mode session without that setting gets a scratch folder.
-    """
+    """The folder all executors can reach: ``spark.checkpoint.dir``, or where that is unset one in the warehouse."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not named:
         named = context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    context.setCheckpointDir(scratch)
-    return scratch
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/edupipe-shared"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -18,6 +19,7 @@ def spark():
         **{
             "spark.ui.enabled": "false",
             "spark.sql.shuffle.partitions": "8",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tests-"),
             "spark.sql.streaming.stateStore.providerClass":
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         },

@@ -11,6 +11,7 @@ import decimal
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -68,7 +69,7 @@ def main() -> int:
     from edupipe.session import build_session
 
     folder, *wanted = sys.argv[1:]
-    spark = build_session("oracle", "local[8]", **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    spark = build_session("oracle", "local[8]", **{"spark.ui.enabled": "false", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="oracle-"), "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, failed = connect(folder), 0
     for name, run in queries().items():

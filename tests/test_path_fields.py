@@ -8,7 +8,7 @@ from edupipe.catalog import QUERIES
 
 def test_all_days_and_kinds(spark):
     events = spark.read.parquet(f"{FOLDER}/events.parquet")
-    named = QUERIES["src_path_fields_all"](spark, FOLDER)
+    named = QUERIES["src_path_fields"](spark, FOLDER)
     days = events.where("event_type NOT IN ('view', 'error')").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("date_folder")).count()
     assert sorted(named.groupBy("date_folder").count().collect()) == sorted(days.collect())
     read = {path.rsplit("/", 2)[0].rsplit("/", 1)[1] + "/" + path.rsplit("/", 2)[1] for path in named.inputFiles()}
