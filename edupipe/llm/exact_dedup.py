@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 from edupipe.llm.common import KEY, keyed
 from edupipe.session import materialise
 
-BLOCK_BYTES = 4096
+BLOCK_BYTES = 32_768
 WHITE = b" \t\n\x0b\x0c\r"
 RUN_BITS = 40  # a name is the task's number followed by the number of the run in it
-ROWS_PER_BATCH = 512
+ROWS_PER_BATCH = 256
 
 BLOCKS = "dk long, pos long, n_blocks long, n_chars long, sha binary, content binary"
 NAMED = "dk long, pos long, n_blocks long, n_chars long, sha binary, name long, edge binary"

@@ -173,7 +173,7 @@ def parse(page: str) -> Node:
         if tag in ("article", "main") and not made.noise:  # what holds the article is no sidebar, whatever its class says
             above = here
             while above is not None:
-                if above.tag in ("div", "section", "span"):
+                if above.tag in ("div", "section", "span", "form"):
                     above.noise = False
                 above = above.parent
         if tag not in VOID and not attributes.endswith("/"):
@@ -239,8 +239,27 @@ def measure(root: Node) -> list[Node]:
     return nodes
 
 
+def _free_forms(root: Node) -> None:
+    """A form around most of the page's text is how the page was made, not a form to fill in."""
+    texts: list[tuple[Node, int]] = []
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        texts.append((node, sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))))
+        stack += [p for p in node.parts if isinstance(p, Node)]
+    inside = {id(node): own for node, own in texts}
+    for node, _ in reversed(texts):  # children before parents
+        if node.parent is not None:
+            inside[id(node.parent)] += inside[id(node)]
+    for node, _ in texts:
+        if node.tag == "form" and 2 * inside[id(node)] > inside[id(root)]:
+            node.noise = False
+
+
 def select(root: Node) -> list[Node]:
     """The subtrees that hold the main text, in page order."""
+    if any(isinstance(p, Node) and p.noise and p.tag == "form" for n in _order(root) for p in n.parts):
+        _free_forms(root)
     nodes = measure(root)
     if not root.chars:
         return []
@@ -252,11 +271,6 @@ def select(root: Node) -> list[Node]:
     for node in nodes:  # lists of links are dense in tags and links, whatever they are called
         if node.tag in BLOCKS and node.link_tags > 1 and 2 * node.link_chars > node.chars and node.density < threshold:
             node.noise = not _holds(node, core)
-    whole = core
-    while whole is not None and whole.tag not in ("article", "main"):
-        whole = whole.parent
-    if whole is not None:  # the page itself says how far the article goes
-        return [whole]
     chosen: list[Node] = []
     stack = [root]
     while stack:

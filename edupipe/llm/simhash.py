@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edupipe.llm.common import KEY, keyed, whole_text
-from edupipe.llm.linking import Sets, components
+from edupipe.llm.linking import CONNECTED, Sets, components, stars
 from edupipe.session import materialise
 
 WORDS = 4
@@ -50,7 +50,6 @@ BLOCKS = (0, 11, 22, 33, 43, 54, 64)  # bounds of the six blocks: 11, 11, 11, 10
 SHARD = 16_384                        # members of the largest tree
 SEGMENT = 1 << 20                     # bytes of a text that are split into words at a time
 HASHES = 1 << 16                      # hashes whose bits are counted at a time
-CONNECTED = 200_000                   # fingerprints whose connections a task holds
 
 blank = re.compile(rb"[\x20\x09-\x0D]")
 FAMILIES = tuple(combinations(range(len(BLOCKS) - 1), 2))
@@ -151,12 +150,6 @@ def connecting(values: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(label[moved].tolist(), moved.tolist()))
 
 
-def _stars(sets: Sets) -> pa.RecordBatch:
-    """What is connected so far, each member with the least one."""
-    members = list(sets.parent)
-    return pa.RecordBatch.from_arrays([pa.array([sets.find(x) for x in members], pa.int64()), pa.array(members, pa.int64())], names=["a", "b"])
-
-
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links inside shards, from rows (family, value, fp) sorted by shard.
 
@@ -184,12 +177,12 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             low = solved(*columns, False)
             rest = tuple(c[low:] for c in columns)
         if len(sets.parent) > CONNECTED:
-            yield _stars(sets)
+            yield stars(sets)
             sets.parent.clear()
     if len(rest[0]):
         solved(*rest, True)
     if sets.parent:
-        yield _stars(sets)
+        yield stars(sets)
 
 
 def _midpoints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -93,3 +93,18 @@ def test_op7_whole_table(spark, small):
         blocks = [" ".join(html.unescape(re.sub("<[^>]*>", " ", b)).split()) for b in re.split("</?(?:p|h1)>", article)]
         assert row.text == "\n".join(b for b in blocks if b) and row.n_chars == len(row.text)
     assert not pages
+
+
+def test_a_form_around_the_page_is_no_form():
+    body = "<div class='menu'><a href='/'>home</a></div><div><p>" + "word " * 60 + "</p><p>" + "more " * 60 + "</p></div>"
+    expected = ("word " * 60).strip() + "\n" + ("more " * 60).strip()
+    assert main_text(f"<html><body><form action='/p'>{body}</form></body></html>") == expected
+    search = "<form><input><p>search for something</p></form>"
+    assert main_text(f"<html><body>{search}{body}</body></html>") == expected
+
+
+def test_the_greatest_sum_decides_among_articles():
+    parts = [f"<p>{w} {w * 2} " + f"{w} " * 50 + "</p>" for w in ("one", "two", "six", "ten")]
+    page = f"<body><nav><a href='/'>m</a></nav><article>{parts[0]}{parts[1]}</article><article>{parts[2]}{parts[3]}</article><footer>f</footer></body>"
+    lines = main_text(page).split("\n")
+    assert [line.split()[0] for line in lines] == ["one", "two", "six", "ten"]
