@@ -49,3 +49,21 @@ def test_run(spark, small):
     rows = corpus_pipeline.run(spark, small)
     assert rows.columns == ["doc_id", "piece", "n_units", "shard", "bin", "start"]
     assert rows.count() > 100
+
+
+def test_empty_table_and_odd_ids(spark, table, small, tmp_path):
+    """No rows; null and repeated ids, null texts and columns whose names operators use: every stage keeps the columns and the clean rows."""
+    words = [" ".join(f"word{k * 100 + i}" for i in range(30)) for k in range(4)]
+    odd = [(1, words[0]), (1, words[1]), (None, words[2]), (None, None), (2, ""), (3, words[3])]
+    for n, rows in enumerate(([], odd)):
+        docs = table(rows)
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            path = str(tmp_path / f"{n}-{name}")
+            stage(spark, docs, small).write.parquet(path)
+            after = spark.read.schema(docs.schema).parquet(path)
+            assert after.columns == docs.columns
+            docs = after
+        texts_left = sorted(r.text for r in docs.collect())
+        assert texts_left == (sorted(words) if rows else [])
+        packed = corpus_pipeline.STAGES[-1][1](spark, docs, small)
+        assert packed.count() == len(texts_left)
