@@ -93,6 +93,24 @@ def test_people_are_not_paired_with_all_people(spark):
     assert found.where("floor(src / 4) <> floor(other / 4)").isEmpty()
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_one_short_profile_does_not_open_a_hub(spark, kind):
+    """Somebody with only the hub is as near to all as the hub can bring them; nobody is paired over the whole hub."""
+    rng = random.Random(4)
+    edges = [(p, "HAS_SKILL", f"s{rng.randrange(300)}") for p in range(300) for _ in range(6)]
+    edges += [(p, "LIVES_IN", "here") for p in range(320)]  # the last 20 have nothing else
+    weights = {"HAS_SKILL": 2, "LIVES_IN": 1}
+    edges = [(p if kind == "long" else f"p{p:03}", t, d) for p, t, d in edges]
+    df = spark.createDataFrame(edges, f"src {kind}, type string, dst string")
+    vectors = similar.profile_vectors(df, weights)
+    found, open_ = similar._round(vectors, vectors.select("src").distinct(), 3, 64)
+    assert open_.isEmpty()
+    expected = _brute_similar(edges, weights, 3)
+    assert sorted(tuple(r)[:2] for r in found.collect()) == sorted(r[:2] for r in expected)
+    made = similar.partial_scores(vectors, vectors.select("src").distinct(), 64, 3)
+    assert made.count() < 320 * 20  # of 320 * 319 pairs
+
+
 def _vectors(rng, n, dimension=6):
     centres = [[rng.gauss(0, 1) for _ in range(dimension)] for _ in range(8)]
     return [(i, "l", [c + rng.gauss(0, 0.05) for c in rng.choice(centres)]) for i in range(n)]
