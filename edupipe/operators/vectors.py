@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,14 +68,20 @@ def top_k(
 # bounds what a cell's vectors can be near to, and only cell pairs that may hold
 # a neighbour meet, block by block.  On the unit sphere |a-b|^2 = 2 - 2 cos(a,b),
 # so nearest by distance is nearest by cosine.  Cells are cut into blocks of
-# bounded size; a task multiplies two blocks and keeps k rows per query.
+# bounded size, and blocks are dealt to tiles.  A task holds the queries of one tile,
+# multiplies them with the corpus blocks of another and keeps k rows per query, so a vector is
+# sent once per tile of the other side, not once per block.  There are about TILES tiles a
+# side until a tile holds TILE_BYTES: so far what is sent grows as the input does.
 #
 # Copies: of equal vectors only the first k+1 ids can be anyone's neighbour, and
 # one search answers for all of them, so a large group of copies costs one row.
 
 BLOCK_ROWS = 2048
 MAX_PIVOTS = 256
+TILES = 16
+TILE_BYTES = 32 << 20
 _QUERY_ROWS = 512
+_ROUNDED = 1e-11  # more than rounding a score to 12 digits moves it
 _SLACK = 1e-5  # distances are computed in floating point
 
 
@@ -171,45 +178,116 @@ def _blocks(cells: DataFrame, parts: DataFrame, name: str) -> DataFrame:
     )
 
 
-def _block_top(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, column) of the k best scores of each row; of equal scores the first columns."""
-    if scores.shape[1] <= k:
-        return np.nonzero(np.isfinite(scores))
-    kth = np.partition(scores, -k, axis=1)[:, -k][:, None]
-    above, level = scores > kth, scores == kth
-    room = k - above.sum(axis=1, keepdims=True)
-    return np.nonzero(above | (level & (level.cumsum(axis=1) <= room)))
-
-
-def _search(corpus: DataFrame, queries: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+def _tiles(stats: dict[int, tuple[int, float]], parts: dict[int, int], tile_rows: int) -> list[tuple[int, int, int]]:
+    """(cell, part, tile): blocks that follow each other until a tile holds about ``tile_rows`` vectors."""
+    out, tile, held = [], 0, 0
+    for cell in sorted(stats):
+        rows = -(-stats[cell][0] // parts[cell])
+        for part in range(parts[cell]):
+            if held and held + rows > tile_rows:
+                tile, held = tile + 1, 0
+            out.append((cell, part, tile))
+            held += rows
+    return out
+
+
+class _Queries:
+    """Some queries of one cell and their ``k`` best hits so far: of equal scores the lesser ids."""
+
+    def __init__(self, ids: pa.Array, units: np.ndarray, k: int) -> None:
+        self.ids, self.units, self.k = ids, units, k
+        self.rows, self.scores, self.found = np.zeros(0, np.int64), np.zeros(0), None
+        self.least = np.full(len(ids), -np.inf)  # the k-th best score of those that have k
+
+    def meet(self, ids: pa.Array, units: np.ndarray) -> None:
+        scores = self.units @ units.T
+        least = self.least
+        if scores.shape[1] > self.k and np.isneginf(least).any():
+            least = np.maximum(least, np.partition(scores, -self.k, axis=1)[:, -self.k])
+        rows, columns = np.nonzero(scores >= (least - _ROUNDED)[:, None])
+        if not len(rows):
+            return
+        found = ids.take(pa.array(columns))
+        rows = np.concatenate([self.rows, rows])
+        scores = np.concatenate([self.scores, np.round(scores[rows[len(self.rows):], columns], 12)])
+        found = found if self.found is None else pa.concat_arrays([self.found, found])
+        rank = np.empty(len(found), np.int64)
+        rank[pc.sort_indices(found).to_numpy()] = np.arange(len(found))
+        order = np.lexsort((rank, -scores, rows))
+        starts = np.flatnonzero(np.diff(rows[order], prepend=-1))
+        place = np.arange(len(order)) - np.repeat(starts, np.diff(starts, append=len(order)))
+        kth = order[place == self.k - 1]
+        self.least[rows[kth]] = scores[kth]
+        kept = order[place < self.k]
+        self.rows, self.scores, self.found = rows[kept], scores[kept], found.take(pa.array(kept))
+
+    def hits(self) -> pa.RecordBatch | None:
+        if self.found is not None:
+            return pa.RecordBatch.from_arrays(
+                [self.ids.take(pa.array(self.rows)), self.found, pa.array(self.scores)], ["id", "recommended_id", "score"]
+            )
+
+
+def _search(
+    corpus: DataFrame, queries: DataFrame, pairs: list[tuple[int, int]],
+    corpus_tiles: list[tuple[int, int, int]], query_tiles: list[tuple[int, int, int]], k: int,
+) -> DataFrame:
     """(id, recommended_id, score) of the k best corpus rows of every query row.
 
-    corpus, queries: blocks; pairs(q_cell, c_cell, c_parts) lists the cells to
-    search and how many blocks they have.  A query block is sent to each of these
-    blocks by its (cell, part), so a crowded cell is the work of many tasks.
+    corpus, queries: blocks; pairs: the (query cell, corpus cell) to search; tiles: (cell, part, tile) of every
+    block.  The blocks of both sides are sent to the pair of their tiles, so a crowded cell is the work of many tasks.  A
+    task holds the queries of a tile and takes the corpus blocks one at a time.
     """
+    spark, meeting = corpus.sparkSession, set(pairs)
+
+    def sent(blocks: DataFrame, name: str, tiles: list, other: str, other_tiles: list, met: list[tuple[int, int]]) -> DataFrame:
+        held: dict[int, set[int]] = {}
+        for cell, _, tile in other_tiles:
+            held.setdefault(cell, set()).add(tile)
+        to: dict[int, set[int]] = {}
+        for cell, far in met:
+            to.setdefault(cell, set()).update(held[far])
+        where = spark.createDataFrame(tiles, f"{name}_cell int, {name}_part long, {name}_tile int")
+        others = spark.createDataFrame([(cell, sorted(t)) for cell, t in to.items()], f"{name}_cell int, others array<int>")
+        placed = blocks.join(F.broadcast(where), [f"{name}_cell", f"{name}_part"]).join(F.broadcast(others), f"{name}_cell")
+        return placed.select(
+            f"{name}_tile", F.explode("others").alias(f"{other}_tile"), F.lit(name == "c").alias("corpus"),
+            F.col(f"{name}_cell").alias("cell"), F.col(f"{name}_ids").alias("ids"), F.col(f"{name}_units").alias("units"),
+        )
+
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, {}
+
+        def answers() -> Iterator[pa.RecordBatch]:
+            for chunks in held.values():
+                yield from (h for h in (c.hits() for c in chunks) if h is not None)
+
         for batch in batches:
+            q_tile, c_tile, corpus, cell = (batch.column(c).to_pylist() for c in ("q_tile", "c_tile", "corpus", "cell"))
             for r in range(batch.num_rows):
-                q_ids, c_ids = batch.column("q_ids")[r].values, batch.column("c_ids")[r].values
-                q, c = _matrix(batch.column("q_units")[r].values), _matrix(batch.column("c_units")[r].values)
-                for first in range(0, len(q_ids), _QUERY_ROWS):
-                    scores = np.round(q[first:first + _QUERY_ROWS] @ c.T, 12)
-                    rows, columns = _block_top(scores, k)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            q_ids.take(pa.array(rows + first)),
-                            c_ids.take(pa.array(columns)),
-                            pa.array(scores[rows, columns]),
-                        ],
-                        ["id", "recommended_id", "score"],
-                    )
-
-    sent = (
-        queries.join(F.broadcast(pairs), "q_cell")  # at most MAX_PIVOTS squared rows
-        .withColumn("c_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("c_parts") - 1)))
+                if at != (q_tile[r], c_tile[r]):
+                    yield from answers()
+                    at, held = (q_tile[r], c_tile[r]), {}
+                ids, units = batch.column("ids")[r].values, _matrix(batch.column("units")[r].values)
+                if corpus[r]:
+                    known = np.isfinite(units).all(axis=1)
+                    if not known.all():
+                        ids, units = ids.filter(pa.array(known)), units[known]
+                    for q_cell, chunks in held.items():
+                        if (q_cell, cell[r]) in meeting:
+                            for chunk in chunks:
+                                chunk.meet(ids, units)
+                else:
+                    ids = pa.concat_arrays([ids])
+                    for first in range(0, len(ids), _QUERY_ROWS):
+                        chunk = _Queries(ids.slice(first, _QUERY_ROWS), units[first:first + _QUERY_ROWS], k)
+                        held.setdefault(cell[r], []).append(chunk)
+        yield from answers()
+
+    both = sent(queries, "q", query_tiles, "c", corpus_tiles, pairs).unionByName(
+        sent(corpus, "c", corpus_tiles, "q", query_tiles, [(c, q) for q, c in pairs])
     )
-    met = sent.join(corpus, ["c_cell", "c_part"]).select("q_ids", "q_units", "c_ids", "c_units")
+    met = both.repartition("q_tile", "c_tile").sortWithinPartitions("q_tile", "c_tile", "corpus")
     id_type = queries.schema["q_ids"].dataType.elementType.simpleString()
     hits = met.mapInArrow(multiply, f"id {id_type}, recommended_id {id_type}, score double")
     return best_per_key(hits, ["id"], [F.desc("score"), F.asc("recommended_id")], k)
@@ -236,7 +314,8 @@ def knn_table(
     candidates = materialise(best_per_key(corpus_units, ["u"], [F.asc("id")], enough), "candidates")
     distinct = query_units.groupBy("u").agg(F.min("id").alias("id"))
 
-    wanted = min(max_pivots, max(1, -(-candidates.count() // block_rows)))
+    rows, width = candidates.agg(F.count("*"), F.coalesce(F.max(F.length("u")), F.lit(8))).first()
+    wanted = min(max_pivots, max(1, -(-rows // block_rows)))
     sample = candidates.orderBy(F.xxhash64("id"), "id").limit(wanted)
     pivots = np.array([np.frombuffer(r["u"]) for r in sample.collect()]) if wanted > 1 else np.zeros((1, 1))
     corpus_cells = materialise(_with_cells(candidates, pivots), "corpus-cells")
@@ -251,13 +330,16 @@ def knn_table(
     def cut(stats: dict[int, tuple[int, float]]) -> dict[int, int]:
         return {cell: -(-rows // block_rows) for cell, (rows, _) in stats.items()}
 
+    def tiled(stats: dict[int, tuple[int, float]], parts: dict[int, int]) -> list[tuple[int, int, int]]:
+        rows = sum(n for n, _ in stats.values())
+        return _tiles(stats, parts, min(-(-rows // TILES), max(1, TILE_BYTES // width)))
+
     spark, corpus_parts, query_parts = corpus.sparkSession, cut(corpus_stats), cut(query_stats)
     parts_schema = "cell int, parts long"
     found = _search(
         _blocks(corpus_cells, spark.createDataFrame(list(corpus_parts.items()), parts_schema), "c"),
         _blocks(query_cells, spark.createDataFrame(list(query_parts.items()), parts_schema), "q"),
-        spark.createDataFrame([(q, c, corpus_parts[c]) for q, c in pairs], "q_cell int, c_cell int, c_parts long"),
-        enough,
+        pairs, tiled(corpus_stats, corpus_parts), tiled(query_stats, query_parts), enough,
     )
 
     # One list of k+1 per distinct vector; every item takes it without itself.

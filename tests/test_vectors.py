@@ -66,6 +66,27 @@ def test_pruning_leaves_out_far_cells(spark):
     assert sorted(pairs) == [(i, i) for i in range(16)]
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_vectors_are_sent_by_tiles_not_by_blocks(spark, monkeypatch, kind):
+    """Without close neighbours nothing is left out; a vector still goes to a few tiles of the other side only."""
+    rng = np.random.default_rng(8)
+    m = np.concatenate([rng.normal(size=(600, 24)), np.ones((3, 24))])
+    df = _frame(spark, m).withColumn("id", F.col("id").cast(kind))
+    sent = spark.sparkContext.accumulator(0)
+    real = vectors._matrix
+    monkeypatch.setattr(vectors, "_matrix", lambda column: sent.add(len(column)) or real(column))
+    monkeypatch.setattr(vectors, "TILES", 4)
+    got = _table(vectors.knn_table(df, "id", "v", 3, block_rows=8))
+    if kind == "long":
+        assert got == _brute(m, 3)
+    else:
+        by_text = sorted(range(len(m)), key=str)
+        expected = _brute(m[by_text], 3)
+        assert got == {str(by_text[i]): [str(by_text[j]) for j in found] for i, found in expected.items()}
+    # found cells twice, then both sides in at most six tiles; by blocks each of 76 would meet 76
+    assert 0 < sent.value < 603 * 20
+
+
 def test_text_keys(spark):
     df = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [1.0, 0.1]), ("c", [0.0, 1.0])], "id string, v array<float>")
     assert _table(vectors.knn_table(df, "id", "v", 1)) == {"a": ["b"], "b": ["a"], "c": ["b"]}
