@@ -109,9 +109,12 @@ def field_of_study(code: Column) -> Column:
 def reference_value_or_null(
     df: DataFrame, column: str, known: DataFrame, known_column: str, pattern: str
 ) -> DataFrame:
-    """The lower-cased, trimmed value if it fits the pattern and is in the reference list, else null."""
+    """The lower-cased, trimmed value if it fits the pattern and is in the reference list, else null.
+
+    The list is sent to every task: shuffled by the value, all rows of a common one would go to one task.
+    """
     names = known.select(lower_trim(F.col(known_column)).alias("__known")).distinct()
     key = F.when(F.col(column).rlike(pattern), lower_trim(F.col(column)))
-    return df.withColumn(column, key).join(names, F.col(column) == F.col("__known"), "left").select(
+    return df.withColumn(column, key).join(F.broadcast(names), F.col(column) == F.col("__known"), "left").select(
         *[F.col("__known").alias(c) if c == column else F.col(c) for c in df.columns]
     )

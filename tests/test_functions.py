@@ -1,7 +1,7 @@
 import datetime
 import hashlib
 
-from helpers import each, one
+from helpers import each, one, plan_of
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -127,6 +127,14 @@ def test_reference_value(spark):
     assert [r["c"] for r in got] == ["germany", None, None, None]
 
 
+def test_rows_of_a_common_reference_value_stay_in_their_tasks(spark):
+    df = spark.range(1000, numPartitions=4).withColumn("c", F.lit("Germany"))
+    known = spark.createDataFrame([("Germany",), ("Spain",)], "name string")
+    checked = values.reference_value_or_null(df, "c", known, "name", fv.COUNTRY_PATTERN)
+    assert "SortMergeJoin" not in plan_of(checked)
+    assert checked.groupBy(F.spark_partition_id()).count().count() == 4 and checked.where("c = 'germany'").count() == 1000
+
+
 # --- links --------------------------------------------------------------------
 
 
