@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 from edupipe import fixed_values as fv
 
+BATCH_CHARS = 4 << 20   # texts and rows of blocks that a task holds before it gives them out
+BATCH_BLOCKS = 16_384
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _SILENT = frozenset(("script", "style", "template"))
 
@@ -116,16 +118,9 @@ def page_blocks(pages: DataFrame, project: str, main_link: str, subpage: str, ht
     ).where("html is not null")
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, positions, tags, texts = [], [], [], []
-            for row, html_text in enumerate(batch.column("html").to_pylist()):
-                for position, (tag, text) in enumerate(blocks_of(html_text)):
-                    rows.append(row)
-                    positions.append(position)
-                    tags.append(tag)
-                    texts.append(text)
+        def given_out(batch, rows, positions, tags, texts) -> pa.RecordBatch:
             index = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays(
+            return pa.RecordBatch.from_arrays(
                 [
                     *[batch.column(c).take(index) for c in ("project", "main_link", "subpage")],
                     pa.array(positions, pa.int32()), pa.array(tags, pa.string()), pa.array(texts, pa.string()),
@@ -133,6 +128,19 @@ def page_blocks(pages: DataFrame, project: str, main_link: str, subpage: str, ht
                 ["project", "main_link", "subpage", "position", "tag", "text"],
             )
 
+        for batch in batches:
+            html, held, found = batch.column("html"), 0, ([], [], [], [])
+            for row in range(batch.num_rows):  # one page at a time: blocks in blocks repeat their text
+                for position, block in enumerate(blocks_of(html[row].as_py())):
+                    for column, value in zip(found, (row, position, *block), strict=True):
+                        column.append(value)
+                    held += len(block[1])
+                    if held >= BATCH_CHARS or len(found[0]) >= BATCH_BLOCKS:
+                        yield given_out(batch, *found)
+                        held, found = 0, ([], [], [], [])
+            if found[0]:
+                yield given_out(batch, *found)
+
     return given.mapInArrow(
         parse, "project string, main_link string, subpage string, position int, tag string, text string"
     )

@@ -1,3 +1,6 @@
+import types
+
+import pyarrow as pa
 from helpers import tuples
 from pyspark.sql import functions as F
 
@@ -64,6 +67,27 @@ def test_page_blocks_keep_order_and_pages(spark):
     assert links.count() == 3
 
 
+def test_blocks_are_given_out_as_they_come(spark, monkeypatch):
+    """A task does not hold the blocks of all pages of a batch, whose nested ones repeat their text."""
+    class Batches:
+        made = spark.sparkContext.accumulator(0)
+
+        @classmethod
+        def from_arrays(cls, arrays, names):
+            cls.made.add(1)
+            return pa.RecordBatch.from_arrays(arrays, names)
+
+    monkeypatch.setattr(web, "pa", types.SimpleNamespace(RecordBatch=Batches, array=pa.array, int32=pa.int32, int64=pa.int64, string=pa.string))
+    monkeypatch.setattr(web, "BATCH_CHARS", 100)
+    html = F.concat(F.lit("<div><div><p>text"), "id", F.lit("</p></div></div><ul><li>x</li></ul>"))
+    pages = spark.range(0, 200, 1, 1).select("id", F.lit("u").alias("u"), html.alias("h"))
+    rows = web.page_blocks(pages, "id", "u", "u", "h").collect()
+    expected = [(str(i), k, tag, text) for i in range(200) for k, (tag, text) in enumerate(
+        [("div", f"text{i}"), ("div", f"text{i}"), ("p", f"text{i}"), ("ul", "x"), ("li", "x")])]
+    assert [(r["project"], r["position"], r["tag"], r["text"]) for r in rows] == expected
+    assert Batches.made.value > 20
+
+
 def test_blocks_from_sql(spark):
     web.register_page_blocks(spark)
     spark.createDataFrame([(1, "<h1>a</h1><p>b</p>"), (2, None)], "i int, h string").createOrReplaceTempView("fetched")
