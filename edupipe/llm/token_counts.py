@@ -27,6 +27,7 @@ from collections.abc import Iterator
 from itertools import compress, repeat
 from operator import not_
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,12 +35,14 @@ from tokenizers import Tokenizer
 
 from edupipe.llm.common import whole_text, worker_state
 from edupipe.llm.pretokens import byte_level, is_steady
+from edupipe.llm.token_files import _portions
 
 FREQUENT = 65_536   # rows of the broadcast table, which bounds its size
 PROPOSED = 2_048    # pre-tokens that one task proposes
 COUNTERS = 32_768   # counters that one task keeps
 LONGEST = 48        # characters of a pre-token in a table; longer ones are encoded when met
 CACHED = 400_000    # pre-tokens that one worker keeps
+PIECES_AT_ONCE = 200  # pre-tokens that are encoded as one text
 LIMIT = 512
 COLUMNS = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
@@ -51,6 +54,10 @@ class _Counter:
         self.tokenizer = Tokenizer.from_file(path)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        vocabulary = self.tokenizer.get_vocab()
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)  # of each id; the scheme writes a byte as a character
+        for token, i in vocabulary.items():
+            self.bytes[i] = len(token)
         self.cache: dict[str, int] = {}
 
     def pieces(self, text: str) -> list[str]:
@@ -63,24 +70,45 @@ class _Counter:
         return self.added is not None and self.added.search(text) is not None
 
     def encode(self, pieces: list[str]) -> list[int]:
-        return [len(e) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def count(self, text: str, frequent: dict[str, int]) -> int:
-        if self.special(text):
-            return len(self.tokenizer.encode(text, add_special_tokens=False))
-        pieces, cache = self.pieces(text), self.cache
-        first = list(map(frequent.get, pieces, repeat(0)))  # no piece has 0 tokens
-        rest = list(compress(pieces, map(not_, first)))
-        new = set(rest).difference(cache)
-        if not new:
-            return sum(first) + sum(map(cache.__getitem__, rest))
-        if len(cache) > CACHED:
+        """The lengths of pieces.  One that begins with a space ends where the next such begins, so many of them are
+        encoded as one text, and the bytes of the tokens say where each ends."""
+        lengths: dict[str, int] = {}
+        spaced = [p for p in pieces if len(p) > 1 and p[0] == " " and not p[1].isspace()]
+        groups = [spaced[at : at + PIECES_AT_ONCE] for at in range(0, len(spaced), PIECES_AT_ONCE)]
+        texts = ["".join(g) for g in groups]
+        for group, text, found in zip(groups, texts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ends = np.cumsum(self.bytes[found.ids])
+            stops = np.cumsum([len(p.encode()) for p in group])
+            if len(ends) and ends[-1] == stops[-1] and not self.special(text):
+                last = np.searchsorted(ends, stops)
+                if (ends[last] == stops).all():
+                    lengths.update(zip(group, np.diff(last, prepend=-1).tolist()))
+        rest = [p for p in pieces if p not in lengths]
+        lengths.update((p, len(e)) for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)))
+        return [lengths[p] for p in pieces]
+
+    def counts(self, texts: list[str], frequent: dict[str, int]) -> list[int]:
+        """The lengths of some texts, whose new pieces are encoded together."""
+        cache, totals, rests = self.cache, [], []
+        for text in texts:
+            if self.special(text):
+                totals.append(len(self.tokenizer.encode(text, add_special_tokens=False)))
+                rests.append([])
+                continue
+            pieces = self.pieces(text)
+            first = list(map(frequent.get, pieces, repeat(0)))  # no piece has 0 tokens
+            totals.append(sum(first))
+            rests.append(list(compress(pieces, map(not_, first))))
+        new = set().union(*rests).difference(cache)
+        if new and len(cache) > CACHED:
             cache.clear()
-            new = set(rest)
-        lengths = dict(zip(new, self.encode(list(new))))
-        total = sum(first) + sum(lengths[p] if p in lengths else cache[p] for p in rest)
-        cache.update((p, n) for p, n in lengths.items() if len(p) <= LONGEST)
-        return total
+            new = set().union(*rests)
+        cache.update(zip(new, self.encode(list(new))))
+        totals = [total + sum(map(cache.__getitem__, rest)) for total, rest in zip(totals, rests)]
+        for piece in new:
+            if len(piece) > LONGEST:  # rare, and not worth its room
+                del cache[piece]
+        return totals
 
 
 def _counter(path: str) -> _Counter:
@@ -99,7 +127,8 @@ def frequent_lengths(docs: DataFrame, tokenizer: str) -> dict[str, int]:
             for text in batch.column(0):
                 seen.update(counter.pieces(text.as_py()))
                 if len(seen) > COUNTERS:
-                    seen = Counter(dict(seen.most_common(COUNTERS // 2)))
+                    bar = sorted(seen.values())[-COUNTERS // 2]
+                    seen = Counter({p: n for p, n in seen.items() if n > bar})
         top = [(p, n) for p, n in seen.most_common(PROPOSED) if len(p) <= LONGEST]
         yield pa.RecordBatch.from_arrays(
             [pa.array([p for p, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], names=["piece", "n"]
@@ -130,8 +159,10 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFra
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter, frequent = _counter(tokenizer), table.value
         for batch in batches:
-            tokens = pa.array([counter.count(t.as_py(), frequent) for t in batch.column(2)], pa.int64())
-            over = pa.array([n > limit for n in tokens.to_pylist()], pa.bool_())
+            texts = batch.column(2)
+            lengths = [n for some in _portions(texts) for n in counter.counts(texts.slice(some.start, len(some)).to_pylist(), frequent)]
+            tokens = pa.array(lengths, pa.int64())
+            over = pa.array([n > limit for n in lengths], pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), tokens, over], names=["doc_id", "n_bytes", "n_tokens", "over_limit"]
             )

@@ -116,3 +116,35 @@ def test_files_of_repeated_and_null_ids(spark, table):
 
 def test_queries_are_registered():
     assert {"op3_token_counts", "op8_token_files"} <= set(QUERIES)
+
+
+def test_new_pieces_are_encoded_together():
+    from edupipe.llm.token_counts import _Counter
+
+    counter = _Counter(BYTE)
+    pieces = [f" w{chr(97 + i % 26)}x{chr(97 + i // 26)}" for i in range(400)] + ["'s", "  ", " ", "\n", " été", " '", " 12", "日本", " 日本"]
+    alone = [len(counter.tokenizer.encode(p, add_special_tokens=False)) for p in pieces]
+    asked = []
+
+    class Counted:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            asked.extend(texts)
+            return tokenizer.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    tokenizer, counter.tokenizer = counter.tokenizer, Counted()
+    assert counter.encode(pieces) == alone and len(asked) < 20
+    assert counter.counts(["a b", "", " c  d"], {}) == [len(tokenizer.encode(t, add_special_tokens=False)) for t in ("a b", "", " c  d")]
+
+
+def test_token_files_are_fed_small_batches(spark):
+    from edupipe.llm.common import BATCH_ROWS
+
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "10000")
+        docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+        tf.write_token_files(docs, WORD, 2)
+        assert int(spark.conf.get(setting)) <= BATCH_ROWS
+    finally:
+        spark.conf.set(setting, before)
