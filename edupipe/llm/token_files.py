@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from edupipe.llm.common import whole_text, worker_state
+from edupipe.llm.common import small_batches, whole_text, worker_state
 from edupipe.llm.pretokens import is_steady, word_end
 from edupipe.session import fresh_path, materialise
 
@@ -288,7 +288,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int | None, folde
                 made, pa.schema([("part", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
             )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text("text").alias("text"))
+    texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), whole_text("text").alias("text"))
     texts = texts.withColumn("tie", F.xxhash64("text"))
     ordered = texts.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
     parts = materialise(ordered.select("doc_id", "text").mapInArrow(write, PARTS), "token-parts")
