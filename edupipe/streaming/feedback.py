@@ -11,6 +11,7 @@ Streams with state of their own (``transformWithStateInPandas``) must run with
 from __future__ import annotations
 
 import contextlib
+import itertools
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -23,6 +24,7 @@ from edupipe import fixed_values as fv
 from edupipe.streaming import ttl
 
 SPREAD = 16  # tasks that share the saves of one item in a micro batch
+SLOTS = 1024  # groups of keys whose state is read and written together
 
 
 def mark_clicked(
@@ -92,34 +94,51 @@ class _TopRows(StatefulProcessor):
     """Keeps the first ``n`` rows of a key, newest first, then by score and id; forgets them after a time to live.
 
     Equal rows are one.  ``partial`` gives the rows that have come in, for a next step; otherwise the whole
-    answer is given whenever it changes, and its version is the time of the micro batch.
+    answer is given whenever it changes, and its version is the time of the micro batch.  ``within`` names text
+    columns that tell apart the keys that share a group and its state, so that a call to the state
+    serves all of them; each key has its own rows, and a time to live from its own last change.
     """
 
-    def __init__(self, keys: Sequence[str], n: int, ttl_ms: int, partial: bool) -> None:
-        self.keys, self.n, self.ttl_ms, self.partial = list(keys), n, ttl_ms, partial
+    def __init__(self, keys: Sequence[str], n: int, ttl_ms: int, partial: bool, within: Sequence[str] = ()) -> None:
+        self.keys, self.n, self.ttl_ms, self.partial, self.within = list(keys), n, ttl_ms, partial, list(within)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.rows = handle.getListState("rows", _RANKED, ttlDurationMs=self.ttl_ms)
+        fields = [*_RANKED.fields, T.StructField("changed", T.LongType()), *(T.StructField(name, T.StringType()) for name in self.within)]
+        if self.within:  # the rows of all keys are one entry, a list for each column: the store writes entry by entry
+            fields = [T.StructField(f.name, T.ArrayType(f.dataType)) for f in fields]
+        self.rows = handle.getListState("rows", T.StructType(fields), ttlDurationMs=self.ttl_ms)
+
+    def _held(self) -> Iterator[tuple]:
+        entries = self.rows.get() if self.rows.exists() else ()
+        return itertools.chain.from_iterable(zip(*entry, strict=True) if self.within else [entry] for entry in entries)
+
+    def _hold(self, rows: list[tuple]) -> None:
+        self.rows.put([tuple(map(list, zip(*rows, strict=True)))] if self.within else rows)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        before = [tuple(r) for r in self.rows.get()] if self.rows.exists() else []
-        best = list(before)
-        for chunk in rows:  # n rows are held, however many come
-            best += zip(chunk["at"].tolist(), chunk["score"].tolist(), chunk["recommended_id"].tolist(), strict=True)
-            best = sorted(set(best), key=lambda r: (-r[0], -r[1], r[2]))[: self.n]
-        if best == before:
+        now = timerValues.getCurrentProcessingTimeInMs()  # of the micro batch, also when that runs again
+        before: dict[tuple, list[tuple]] = {}
+        changed: dict[tuple, int] = {}
+        for row in self._held():
+            if row[3] + self.ttl_ms > now:
+                before.setdefault(row[4:], []).append(row[:3])
+                changed[row[4:]] = row[3]
+        best = dict(before)
+        for chunk in rows:  # n rows of a key are held, however many come
+            come: dict[tuple, list[tuple]] = {}
+            for row in zip(*(chunk[name].tolist() for name in (*_RANKED.names, *self.within)), strict=True):
+                come.setdefault(row[3:], []).append(row[:3])
+            for name, some in come.items():
+                best[name] = sorted({*best.get(name, ()), *some}, key=lambda r: (-r[0], -r[1], r[2]))[: self.n]
+        other = [name for name, first in best.items() if first != before.get(name)]
+        if not other:
             return
-        self.rows.put(best)
-        known = set(before)
-        given = [r for r in best if r not in known] if self.partial else best
-        columns = {name: [value] * len(given) for name, value in zip(self.keys, key, strict=True)}
-        for i, name in enumerate(("at", "score", "recommended_id")):
-            columns[name] = [r[i] for r in given]
-        if not self.partial:
-            now = timerValues.getCurrentProcessingTimeInMs()  # of the micro batch, also when that runs again
-            columns |= {"place": list(range(1, len(given) + 1)), "version": [now] * len(given)}
-        if given:
-            yield pd.DataFrame(columns)
+        changed |= dict.fromkeys(other, now)
+        self._hold([(*row, changed[name], *name) for name, first in best.items() for row in first])
+        given = [(*name, *row, place) for name in other for place, row in enumerate(best[name], 1) if not self.partial or row not in before.get(name, ())]
+        out = pd.DataFrame(given, columns=[*self.within, *_RANKED.names, "place"]).assign(**dict(zip(self.keys, key, strict=True)))
+        if len(out):
+            yield out.drop(columns="place") if self.partial else out.assign(version=now)
 
     def close(self) -> None:
         pass
@@ -137,29 +156,35 @@ def without_empty_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
-def top_answers(rows: DataFrame, n: int = fv.TOP_ITEMS, ttl_seconds: int = fv.CACHE_TTL_SECONDS, spread: int = SPREAD) -> DataFrame:
+def top_answers(
+    rows: DataFrame, n: int = fv.TOP_ITEMS, ttl_seconds: int = fv.CACHE_TTL_SECONDS, spread: int = SPREAD, slots: int = SLOTS
+) -> DataFrame:
     """The newest ``n`` rows of every key, kept by the stream: (cache_key, place, recommended_id, score, at, version).
 
     rows(cache_key, recommended_id, timestamp, score).  State holds at most ``n`` rows a key, for the time to live
     (of the wall clock) after their last change; no history is gathered.  A hot key is dealt over ``spread`` places, whose best
-    rows meet in a second step.  Each change of an answer gives the whole answer with a later
+    rows meet in a second step.  Keys are dealt to ``slots`` by their hash: a call from the worker to its state costs more than
+    the few rows of a key, so the keys of a slot are read and written together, and a task holds one slot at a time.  More
+    keys want more slots; their number stays with the checkpoint.  Each change of an answer gives the whole answer with a later
     version; ``latest_answers`` reads the last one.  Start it ``without_empty_batches`` where it is to end
     with what is available.
     """
+    place = F.pmod(F.xxhash64("recommended_id", "timestamp", "score"), F.lit(spread))
     ranked = rows.select(
-        "cache_key", F.pmod(F.xxhash64("recommended_id", "timestamp", "score"), F.lit(spread)).cast("int").alias("place_of"),
+        F.pmod(F.xxhash64("cache_key", place), F.lit(slots)).cast("int").alias("slot"), "cache_key",
         F.unix_micros(F.col("timestamp").cast("timestamp")).alias("at"), F.col("score").cast("double").alias("score"),
         F.col("recommended_id").cast("long").alias("recommended_id"),
     ).where("at is not null and score is not null and recommended_id is not null")
     mode = {"outputMode": "append", "timeMode": "processingTime"}
-    some = ranked.groupBy("cache_key", "place_of").transformWithStateInPandas(
-        statefulProcessor=_TopRows(["cache_key", "place_of"], n, ttl_seconds * 1000, True),
-        outputStructType=f"cache_key string, place_of int, {_ROW}", **mode,
-    )
-    return some.groupBy("cache_key").transformWithStateInPandas(
-        statefulProcessor=_TopRows(["cache_key"], n, ttl_seconds * 1000, False),
-        outputStructType=f"cache_key string, {_ROW}, place int, version long", **mode,
+    some = ranked.groupBy("slot").transformWithStateInPandas(
+        statefulProcessor=_TopRows(["slot"], n, ttl_seconds * 1000, True, ["cache_key"]),
+        outputStructType=f"slot int, cache_key string, {_ROW}", **mode,
     )
+    whole = some.withColumn("slot", F.pmod(F.xxhash64("cache_key"), F.lit(slots)).cast("int"))
+    return whole.groupBy("slot").transformWithStateInPandas(
+        statefulProcessor=_TopRows(["slot"], n, ttl_seconds * 1000, False, ["cache_key"]),
+        outputStructType=f"slot int, cache_key string, {_ROW}, place int, version long", **mode,
+    ).drop("slot")
 
 
 def latest_answers(versions: DataFrame) -> DataFrame:

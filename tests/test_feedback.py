@@ -156,6 +156,61 @@ def test_answers_in_state_are_at_most_n(spark):
     assert [r[0] for r in held["k"]] == [49, 49, 48, 48, 47]
 
 
+@pytest.mark.parametrize("spread", [1, 4])
+def test_keys_of_a_slot_share_their_state(spark, feed, spread):
+    """The state has an entry for each slot, not for each row of each key."""
+    build = lambda stream: feedback.top_answers(stream, n=2, spread=spread, slots=4)
+    rows = [(None if k == 7 else f"k{k}", 1000 * n + k, at((k * 7 + n * 5) % 11), float((k + n) % 3)) for k in range(150) for n in range(4)]
+    for part in (rows[::2], rows[1::2], [(None, 1, at(99), 0.5)]):
+        feed.send(part, ANSWER)
+        with feedback.without_empty_batches(spark):
+            versions = feed.run(build, ANSWER)
+        held = [s.numRowsTotal for s in feed.progress[-1].stateOperators]
+    assert all(0 < n <= 8 for n in held)
+    rows.append((None, 1, at(99), 0.5))
+    expected = []
+    for key in {r[0] for r in rows}:
+        best = sorted(((t, s, i) for k, i, t, s in rows if k == key), key=lambda r: (-r[0].timestamp(), -r[1], r[2]))[:2]
+        expected += [(key, p, i, s) for p, (_, s, i) in enumerate(best, 1) if key is not None]
+    found = feedback.latest_answers(versions)  # joins by key, so it has no null one
+    assert tuples(found, "cache_key", "place", "recommended_id", "score") == sorted(expected)
+    nulls = versions.where("cache_key is null").orderBy(F.desc("version"), "place").limit(2)
+    assert [(r["place"], r["recommended_id"]) for r in nulls.collect()] == [(1, 1), (2, 1007)]
+
+
+def test_each_key_of_a_slot_has_its_own_time_to_live():
+    held = []
+
+    class Handle:
+        def getListState(self, name, schema, ttlDurationMs=None):
+            class Rows:
+                exists = staticmethod(lambda: bool(held))
+                get = staticmethod(lambda: iter(held[-1]))
+                put = staticmethod(lambda rows: held.append(list(rows)))
+
+            return Rows()
+
+    import pandas as pd
+
+    top = feedback._TopRows(["slot"], 2, 7000, False, ["cache_key"])
+    top.init(Handle())
+
+    def give(now, *rows):
+        class Now:
+            getCurrentProcessingTimeInMs = staticmethod(lambda: now)
+
+        chunk = pd.DataFrame(rows, columns=["cache_key", "at", "score", "recommended_id"])
+        out = [tuple(r) for df in top.handleInputRows((3,), iter([chunk]), Now()) for r in df[["slot", "cache_key", "place", "recommended_id", "version"]].to_numpy().tolist()]
+        return sorted(out)
+
+    assert give(0, ("a", 9, 0.5, 1), ("b", 9, 0.5, 2)) == [(3, "a", 1, 1, 0), (3, "b", 1, 2, 0)]
+    assert give(5000, ("a", 8, 0.5, 3)) == [(3, "a", 1, 1, 5000), (3, "a", 2, 3, 5000)]  # b is not given again
+    assert give(6000, ("a", 8, 0.5, 3), ("b", 9, 0.5, 2)) == [] and len(held) == 2  # nothing new, nothing written
+    # b was changed 8 seconds ago and is forgotten, a 3 seconds ago and is not
+    assert give(8000, ("b", 1, 0.5, 4), ("a", 1, 0.5, 5)) == [(3, "b", 1, 4, 8000)]
+    assert len(held) == 3 and all(len(rows) == 1 for rows in held)
+
+
 def test_replayed_events_come_out_once(spark, feed):
     rows = [("click", "u", "i", n, at(n / 10)) for n in range(50)] + [("click", "u", "i", 99, None)]
     build = lambda stream: feedback.once(stream, ["id"], "timestamp", "1 hour")
