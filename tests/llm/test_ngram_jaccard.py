@@ -135,3 +135,38 @@ def test_rows_that_stay(spark, table):
 def test_op1_whole_table(spark, small):
     rows = [(r.doc_id, r.text) for r in read_table(spark, small, "documents").collect()]
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in op1(spark, small).collect()) == brute(rows)
+
+
+def test_copies_are_listed_once(spark, table, monkeypatch):
+    """Documents with equal sets are one in the lists, so copies do not make them longer or more."""
+    listed = []
+    write = nj.materialise
+
+    def materialise(df, label):
+        written = write(df, label)
+        if label == "lists":
+            listed.append(written.count())
+        return written
+
+    monkeypatch.setattr(nj, "materialise", materialise)
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(10_000)}" for _ in range(60)) for _ in range(20)]
+    check(spark, table, texts * 9)
+    assert listed == [0]
+
+
+def test_sizes_that_cannot_link_share_no_list():
+    """Sizes 10, 12, 13 and 60, 70 have two lists; with a salt all are one chain."""
+    names, sizes = ["h", "salt", "n", "dk"], [10, 12, 13, 60, 70, 100]
+    rows = [(5, 0, n, k) for k, n in enumerate(sizes)] + [(6, 3, n, k) for k, n in enumerate(sizes)]
+
+    def found(cut):
+        parts = [rows[at : at + cut] for at in range(0, len(rows), cut)]
+        batches = [nj.pa.RecordBatch.from_arrays([nj.pa.array(c) for c in zip(*part)], names=names) for part in parts]
+        return [r for b in nj._lists(iter(batches)) for r in b.to_pylist()]
+
+    for cut in (1, 4, 12):
+        rows_out = found(cut)
+        assert [r["members"] for r in rows_out if r["members"]] == [[0, 1, 2], [3, 4]]
+        assert [(r["a"], r["b"]) for r in rows_out if r["b"] is not None] == [(k, k + 1) for k in range(5)]
+        assert [(r["a"], r["h"]) for r in rows_out if r["h"] is not None] == [(0, 6)]
