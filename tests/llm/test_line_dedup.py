@@ -113,3 +113,22 @@ def test_whole_table(spark, small):
     expected = brute([(r.doc_id, r.text) for r in read_table(spark, small, "documents").collect()])
     rows = QUERIES["op10_line_dedup"](spark, small).collect()
     assert {r.doc_id: (r.n_chars_left, r.n_lines, r.n_removed, r.n_runs) for r in rows} == {i: (len(left), *rest) for i, (left, *rest) in expected.items()}
+
+
+@pytest.mark.parametrize("held", [1, 16_000_000])
+def test_bytes_of_copies_are_not_written(table, monkeypatch, held):
+    """Equal chunks inside and between tasks; chunks meet by their bytes once, and no intermediate keeps these."""
+    written, write = [], ld.materialise
+
+    def materialise(df, label):
+        written.append((label, [f.dataType.simpleString() for f in df.schema]))
+        return write(df, label)
+
+    monkeypatch.setattr(ld, "materialise", materialise)
+    monkeypatch.setattr(ld, "HELD_BYTES", held, raising=False)
+    rng = random.Random(8)
+    texts = ["\n".join(f"line {rng.randrange(40)} of {rng.randrange(3)}" for _ in range(rng.randrange(1, 30))) for _ in range(25)]
+    rows = list(enumerate(texts + texts[::-1] + [texts[0] + "\n" + texts[1], None, "", "a\nb", "a\nb"]))
+    rng.shuffle(rows)
+    assert found(table(rows).repartition(5)) == brute(rows)
+    assert "gone" in dict(written) and not [label for label, kinds in written if "binary" in kinds]

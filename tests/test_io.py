@@ -5,7 +5,7 @@ from helpers import plan_of, tuples
 from pyspark.sql import functions as F
 
 from edupipe import schemas
-from edupipe.session import fresh_path, shared_dir
+from edupipe.session import fresh_path, materialise, shared_dir
 from edupipe.sources import readers, writers
 
 
@@ -82,3 +82,18 @@ def test_filters_reach_the_scan(spark):
 def test_shared_dir_is_the_one_the_session_names(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_dir(spark) == (named or spark.sparkContext.getCheckpointDir())
+
+
+def test_written_intermediates_leave_no_shuffle_files(spark):
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (found.apply(i).getName() for i in range(found.length())) if name.startswith("shuffle_")}
+
+    before = files()
+    rows = materialise(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    for _ in range(50):  # they are removed in the background
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert files() <= before and rows.count() == 7
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
