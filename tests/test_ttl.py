@@ -122,3 +122,21 @@ def test_seconds_are_counted_once_before_the_shuffle(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan
     assert df.select(F.col("event")).collect()[0][0] == 0
+
+
+def test_keys_of_a_slot_share_their_state(spark):
+    """Thousands of keys are at most as many entries as there are slots, and each has its own time to live."""
+    rng = random.Random(3)
+    rows = sorted(((f"u{rng.randrange(5000)}", rng.uniform(0, 9000), i) for i in range(16_000)), key=lambda r: r[1])
+    source, out = fresh_path(spark, "source"), fresh_path(spark, "out")
+    for part in range(2):
+        _events(spark, rows[part * 8000:(part + 1) * 8000]).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema("user string, ts timestamp, event long").option("maxFilesPerTrigger", 1).parquet(source)
+    query = (
+        ttl.stream_first_per_ttl(stream, ["user"], "ts", "event", 3600).writeStream.format("parquet")
+        .option("checkpointLocation", f"{out}/checkpoint").outputMode("append").trigger(availableNow=True).start(f"{out}/rows")
+    )
+    query.awaitTermination()
+    assert _got(spark.read.parquet(f"{out}/rows")) == _brute(rows, 3600)
+    # an entry and the two of its timer for each slot
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= 3 * 1024
