@@ -13,12 +13,14 @@ a larger cap.  People are never paired with all people: pairs come from shared i
 it decides.
 
 A person's items are sent to it with the people who have them, as lists, and added up in one place: the pairs
-themselves are neither shuffled nor written, only those that can be among the best.
+themselves are neither shuffled nor written, only those that can be among the best.  A round goes through its people in
+slices, dealt by hash, and the lists of a slice are gone from the disk before those of the next one are sent.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,8 @@ from edupipe.session import materialise
 FIRST_CAP = 64
 GROWTH = 16
 PIECE = 1024  # people of an item in one row
+SENT = 50_000_000  # people in the lists of a slice, or
+SENT_PER_ROW = 4   # so many for each row of the vectors, whichever is more
 
 ITEM = ["type", "dst"]
 
@@ -106,13 +110,18 @@ def _able(src, norm2: int, parts: list[tuple], k: int | None) -> tuple | None:
 
 
 def partial_scores(vectors: DataFrame, probes: DataFrame, cap: int, k: int | None = None) -> DataFrame:
+    """``_added`` for some people at once."""
+    lists = materialise(_lists(vectors if k is not None else vectors.where(F.col("people") <= cap), cap), "lists")
+    return _added(vectors.join(probes, "src", "left_semi"), lists, k)
+
+
+def _added(vectors: DataFrame, lists: DataFrame, k: int | None) -> DataFrame:
     """(src, other, dot, norm2, other_norm2) of people who share an item, with the sums over items of at most ``cap`` people.
 
     With ``k`` only pairs that may be among the ``k`` best of ``src``, those met in the heads of hubs included; a
     person whom this does not decide has one row without ``other``.  Without ``k`` all pairs that meet over such items.
     """
-    lists = materialise(_lists(vectors if k is not None else vectors.where(F.col("people") <= cap), cap), "lists")
-    mine = vectors.join(probes, "src", "left_semi").select("src", *ITEM, "w", "norm2")
+    mine = vectors.select("src", *ITEM, "w", "norm2")
     sent = mine.join(lists, ITEM).select("src", "norm2", "w", "hub", "last", "others", "norms")
     kind = vectors.schema["src"].dataType.simpleString()
 
@@ -167,9 +176,22 @@ def _score(dot: str = "dot"):
     return F.col(dot) / F.sqrt((F.col("norm2") * F.col("other_norm2")).cast("double"))
 
 
-def _round(vectors: DataFrame, probes: DataFrame, k: int, cap: int) -> tuple[DataFrame, DataFrame]:
-    """(neighbours of the people who are done, the people who are not)."""
-    partial = materialise(partial_scores(vectors, probes, cap, k), "partial")
+def _sliced(vectors: DataFrame, probes: DataFrame | None, k: int, cap: int) -> DataFrame:
+    """``partial_scores``, written slice by slice; everybody where there are no ``probes``."""
+    lists = materialise(_lists(vectors, cap), "lists")
+    mine = vectors if probes is None else materialise(vectors.join(probes, "src", "left_semi"), "mine")
+    size = mine.agg(F.sum(F.least("people", F.lit(cap))).alias("sent"), F.count("*").alias("rows")).first()
+    slices = max(1, -(-(size["sent"] or 0) // max(SENT, SENT_PER_ROW * size["rows"])))
+    parts = []
+    for i in range(slices):
+        some = mine.where(F.pmod(F.xxhash64("src"), F.lit(slices)) == i) if slices > 1 else mine
+        parts.append(materialise(_added(some, lists, k), "partial"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _round(vectors: DataFrame, probes: DataFrame | None, k: int, cap: int) -> tuple[DataFrame, DataFrame]:
+    """(neighbours of the people who are done, the people who are not), of ``probes`` or of everybody."""
+    partial = _sliced(vectors, probes, k, cap)
     able = partial.where("other IS NOT NULL")
     hubs = vectors.where(F.col("people") > cap)
     mine = hubs.select("src", *ITEM, "w")
@@ -191,8 +213,7 @@ def most_similar(
     """
     vectors = profile_vectors(edges, weights)
     largest = vectors.agg(F.max("people")).first()[0] or 0
-    probes = materialise(vectors.select("src").distinct(), "people")
-    found, cap = [], first_cap
+    found, cap, probes = [], first_cap, None
     while True:
         done, open_ = _round(vectors, probes, k, cap)
         found.append(materialise(done, "similar"))

@@ -192,3 +192,23 @@ def test_counts_are_taken_by_the_write(spark):
     assert spark.read.parquet(path).groupBy("outcome").count().count() == 2
     empty = quality.write_outcomes(marked.where("id < 0").select("id", "outcome"), fresh_path(spark, "outcomes"))
     assert empty == {"input": 0, "succeeded": 0, "failed": 0}
+
+
+def test_similar_people_go_through_in_slices(spark, monkeypatch):
+    """However few lists are sent at a time, everybody gets the same neighbours."""
+    written, write = [], similar.materialise
+
+    def materialise(df, label):
+        written.append(label)
+        return write(df, label)
+
+    monkeypatch.setattr(similar, "materialise", materialise)
+    monkeypatch.setattr(similar, "SENT", 1, raising=False)
+    monkeypatch.setattr(similar, "SENT_PER_ROW", 1, raising=False)
+    rng = random.Random(12)
+    edges = [(s, "HAS_SKILL", rng.randrange(25)) for s in range(60) for _ in range(6)] + [(s, "LIVES_IN", s % 3) for s in range(60)]
+    df = spark.createDataFrame(edges, "src long, type string, dst long")
+    weights = {"HAS_SKILL": 2, "LIVES_IN": 1}
+    found = similar.most_similar(df, 3, weights, first_cap=4, growth=3)
+    assert sorted(map(tuple, found.withColumn("score", F.round("score", 9)).collect())) == [(s, o, round(x, 9)) for s, o, x in _brute_similar(edges, weights, 3)]
+    assert written.count("partial") > written.count("lists") > 1
